@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import dedup_exact
+from tidemark.llm import dedup_exact, pii, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii": pii.op1_pii,
+        "op3_secrets": secrets.op3_secrets,
         "op4_exact_dedup": dedup_exact.op4_exact_dedup,
     }
 
