@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import dedup_exact, pii, secrets
+from tidemark.llm import dedup_exact, dedup_near, pii, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": pii.op1_pii,
         "op3_secrets": secrets.op3_secrets,
         "op4_exact_dedup": dedup_exact.op4_exact_dedup,
+        "op8_minhash": dedup_near.op8_minhash,
     }
 
 
