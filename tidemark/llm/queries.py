@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import dedup_exact, dedup_near, dedup_vector, pii, secrets
+from tidemark.llm import dedup_exact, dedup_near, dedup_vector, langid, pii, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secrets": secrets.op3_secrets,
         "op4_exact_dedup": dedup_exact.op4_exact_dedup,
         "op8_minhash": dedup_near.op8_minhash,
+        "op9_language": langid.op9_language,
         "op10_vector_join": dedup_vector.op10_vector_join,
     }
 
