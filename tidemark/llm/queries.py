@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, dedup_exact, dedup_near, dedup_vector, langid, packing, pii, secrets, tokenbin
+from tidemark.llm import bpe, dedup_exact, dedup_near, dedup_vector, html, langid, packing, pii, secrets, tokenbin
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": tokenbin.op2_token_files,
         "op3_secrets": secrets.op3_secrets,
         "op4_exact_dedup": dedup_exact.op4_exact_dedup,
+        "op5_html": html.op5_html,
         "op6_bpe": bpe.op6_bpe,
         "op7_packing": packing.op7_packing,
         "op8_minhash": dedup_near.op8_minhash,
