@@ -12,6 +12,7 @@ exchanged, which adaptive execution splits.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,3 +58,22 @@ def components(links: DataFrame) -> DataFrame:
     if labels is None:
         return links.sparkSession.createDataFrame([], "node long, component long")
     return labels
+
+
+def forest(mask: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) pairs with the connectivity of a bipartite link mask."""
+    rows, cols = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
+    if not len(rows):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    part = mask[np.ix_(rows, cols)]
+    a, b = one[rows], two[cols]
+    la, lb, none = a.copy(), b.copy(), np.iinfo(np.int64).max
+    while True:
+        new_a = np.minimum(la, np.where(part, lb[None, :], none).min(axis=1))
+        new_b = np.minimum(lb, np.where(part, new_a[:, None], none).min(axis=0))
+        if (new_a == la).all() and (new_b == lb).all():
+            break
+        la, lb = new_a, new_b
+    nodes, roots = np.concatenate([a, b]), np.concatenate([la, lb])
+    at = nodes != roots
+    return nodes[at], roots[at]

@@ -13,16 +13,19 @@ link is confirmed on the full sets: ``100 * intersection >= 75 * union``.
 Linear work first, whole work after:
 
 * documents with equal sets form a class, represented by its smallest id;
-* a key shared by two classes is a pair at once. For a key shared by more, each class is paired
-  with the *centre* of that key (another one for each key), and only its nearest
-  centres by signature are checked. Links are contracted to components;
-* what is left are keys whose classes still lie in several components. All pairs of their classes
-  in different components are compared by signature in blocks; pairs within T are checked, the
-  nearest of a class first, in rounds that end when no pair is left unchecked. So no link is lost,
-  while groups of copies never expand into all their pairs.
-
-Blocks bound what one task holds: the classes outside a key's largest component are cut into
-blocks, the classes of the key into others, and each pair of blocks is a group of its own.
+* a key shared by two classes is a pair at once; of a key shared by more, each class is paired with
+  the key's *centre* (another one for each key). Pairs within T are contracted to *clusters*;
+* keys whose classes still lie in several clusters are searched in blocks, all classes outside the
+  key's largest cluster against all classes of the key, until every pair within T lies in one
+  cluster. A cluster needs connection only, so that a class hands back one pair for each cluster
+  it meets, never all its pairs.
+* inside a cluster all pairs are compared on full sets, two blocks of classes at a time, by a
+  product of incidence matrices; each two blocks hand back a forest of their links. Forests are
+  contracted to components.
+
+So no link between classes of a cluster is lost, and groups of copies never expand into pairs.
+Blocks bound what one task holds, in classes and in bytes; a hot key or a large cluster is spread
+over pairs of blocks.
 
 Defined cases: null or wordless text has an empty set and is linked with nothing; fewer than five
 words are one shingle. Rows that repeat an id are members of their sets' classes like any other
@@ -33,6 +36,7 @@ Extra columns are never read; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,19 +45,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, release, table, texts_of, written
-from tidemark.llm.components import components
+from tidemark.llm.common import documents, map_batches, release, short_batches, table, texts_of, written
+from tidemark.llm.components import components, forest
 
 WORDS = 5
 PLACES, CHUNK, LIMIT = 64, 4, 31
 CHUNKS = PLACES // CHUNK
 PERCENT = 75
-#: Centres that a class is checked with on full sets at first.
-NEAREST = 2
-#: Least classes in a block.
-BLOCK = 128
-#: Nearest classes checked in each whole round; None: all.
-ROUNDS = (4, 64, None)
+#: Least classes in a block of a key, classes and bytes of sets in a block of a cluster.
+BLOCK, CLUSTER_BLOCK, CLUSTER_BYTES = 128, 128, 16 << 20
 
 _MASK = (1 << 64) - 1
 
@@ -172,48 +172,12 @@ class _Bitmap:
         return docs.where(F.col(key).isNotNull()).where(there(F.pmod(F.xxhash64(key), F.lit(bits))))
 
 
-def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose full sets are linked. ``docs`` has doc_id and text."""
-    ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id")))
-    texts = _Bitmap(ids)(docs, "doc_id")
-    marks = reps.select("rep", "p", "q")
-    left = pairs.join(marks.toDF("u", "pu", "qu"), "u").join(marks.toDF("v", "pv", "qv"), "v")
-    one = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
-    two = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
-    both = left.join(two, "v").join(one, "u").select("u", "v", "pu", "qu", "pv", "qv", "tu", "tv")
-
-    def run(batch: pa.RecordBatch) -> dict:
-        known: dict[str, tuple] = {}
-
-        def get(text: str) -> tuple:
-            if (got := known.get(text)) is None:
-                if len(known) >= 64:
-                    known.clear()
-                items = shingles(text)
-                got = known[text] = (items, print_of(items) if len(items) else None)
-            return got
-
-        u, v = [], []
-        c = [batch.column(n).to_pylist() for n in range(8)]
-        for a, b, pu, qu, pv, qv, tu, tv in zip(*c, strict=True):
-            x, mark_x = get(tu or "")
-            y, mark_y = get(tv or "")
-            if mark_x != (pu, qu) or mark_y != (pv, qv):
-                continue  # another row under a repeated id
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * shared >= PERCENT * (len(x) + len(y) - shared):
-                u.append(a)
-                v.append(b)
-        return {"u": u, "v": v}
-
-    return map_batches(both, run, "u long, v long")
+def _across(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs (u, v) within the signature limit that connect clusters of classes sharing a key.
 
-
-def _block_pairs(members: DataFrame, keys: DataFrame, top: int | None) -> DataFrame:
-    """Pairs within the signature limit, across components, of the classes that share a key.
-
-    ``members``: key, rep, comp, sig; ``keys``: key, n, major (the key's largest component), n_minor.
-    Of each class outside the major component, the ``top`` nearest in every block.
+    ``members``: key, rep, comp, sig; ``keys``: key, n, major (the key's largest cluster), n_minor.
+    In every two blocks, each class outside the major cluster hands back its nearest class of every
+    other cluster it is near to.
     """
     size = f"greatest({BLOCK}, cast(ceil(sqrt(n)) as int))"
     rows = members.join(keys, "key").select(
@@ -226,92 +190,176 @@ def _block_pairs(members: DataFrame, keys: DataFrame, top: int | None) -> DataFr
     right = rows.select("key", F.col("mine").alias("b"), F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("m"), F.lit(False).alias("asks"), "rep", "comp", "sig")
     left = rows.where("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), F.col("row").alias("m"), F.lit(True).alias("asks"), "rep", "comp", "sig")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["asks"].to_numpy()
-        if not asks.any() or asks.all():
-            return pd.DataFrame({"u": [], "v": [], "more": []}).astype({"u": "int64", "v": "int64", "more": "bool"})
-        ids, comp, sig = group["rep"].to_numpy(), group["comp"].to_numpy(), _sigs(group["sig"])
+    def near(group: dict[str, np.ndarray]) -> tuple[list, list]:
+        u, v = [], []
+        asks = group["asks"]
         to = np.flatnonzero(~asks)
-        u, v, more = [], [], []
         for i in np.flatnonzero(asks):
-            away = (sig[to] != sig[i]).sum(axis=1)
-            good = np.flatnonzero((away <= LIMIT) & (comp[to] != comp[i]))
-            cut = top is not None and len(good) > top
-            if cut:
-                good = good[np.lexsort((ids[to[good]], away[good]))[:top]]
-            for j in to[good]:
-                u.append(min(ids[i], ids[j]))
-                v.append(max(ids[i], ids[j]))
-                more.append(cut)
-        return pd.DataFrame({"u": u, "v": v, "more": more}).astype({"u": "int64", "v": "int64", "more": "bool"})
+            away = (group["sig"][to] != group["sig"][i]).sum(axis=1)
+            good = np.flatnonzero((away <= LIMIT) & (group["comp"][to] != group["comp"][i]))
+            good = good[np.argsort(away[good], kind="stable")]
+            for j in to[good[np.unique(group["comp"][to[good]], return_index=True)[1]]]:
+                u.append(group["rep"][i])
+                v.append(group["rep"][j])
+        return u, v
+
+    names = ["key", "b", "m", "asks", "rep", "comp", "sig"]
 
-    return left.unionByName(right).groupBy("key", "b", "m").applyInPandas(run, "u long, v long, more boolean")
+    def load(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+        t = pa.Table.from_batches(batches)
+        return {c: t[c].to_numpy() for c in ("asks", "rep", "comp")} | {"sig": _sigs(t["sig"].to_pylist())}
 
+    return grouped(left.unionByName(right).select(*names), 3, lambda batches: near(load(batches)))
 
-def links_of(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(rep, component) for classes that are linked with another class; see the module's text.
 
-    ``reps``: rep, p, q, sig, written; ``docs``: doc_id, text.
+def grouped(rows: DataFrame, keys: int, run) -> DataFrame:
+    """(u, v) of ``run`` over the record batches of each group; the first ``keys`` columns name a group.
+
+    Rows are exchanged and sorted by the group, so that one group is held at a time.
     """
-    keyed = _keys(reps)
-    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("u"), F.max("rep").alias("v")).where("n > 1 and u <> v")
-    counted = written(counted, "keys")
-    many = counted.where("n > 2").select(F.col("key").alias("k"))
-    shared = written(keyed.join(many, F.col("key") == F.col("k"), "left_semi"), "shared")
-
-    centre = shared.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", "key")).alias("u"))
-    centre = written(centre.select(F.col("key").alias("k"), "u"), "centres")
-    star = shared.join(centre, F.col("key") == F.col("k")).where("rep <> u").select(F.least("rep", "u").alias("u"), F.greatest("rep", "u").alias("v"), F.col("rep").alias("of"))
-    twos = _within(counted.where("n = 2").select("u", "v", F.col("u").alias("of")).distinct(), reps).select("u", "v")
-    tried = written(twos.unionByName(_nearest(star.distinct(), reps)).distinct(), "tried")
-    first = written(confirm(tried, reps, docs), "links")
-    links = first
-    found = components(links)
-    for top in ROUNDS:
-        label = found.toDF("node", "component")
-        members = shared.join(label, shared["rep"] == label["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-        members = written(members, "members")
-        spread = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who")).where("lo <> hi")
-        spread = spread.groupBy("n", "who").agg(F.min("key").alias("key")).select("key", "n")
-        spread = written(spread, "spread")
-        if spread.isEmpty():
-            break
-        active = members.join(spread.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
-        active = written(active.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "comp", "sig"), "active")
-        major = active.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("best"), F.sum("c").alias("n"))
-        major = written(major.select("key", "n", F.col("best.comp").alias("major"), (F.col("n") - F.col("best.c")).alias("n_minor")), "major")
-        made = written(_block_pairs(active, major, top), "pairs")
-        more = not made.where("more").isEmpty()
-        pairs = written(made.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
-        got = written(confirm(pairs, reps, docs), "links")
-        tried = written(tried.unionByName(pairs), "tried")
-        if not got.isEmpty():
-            links = written(links.unionByName(got), "links")
-            found = components(links)
-        release(members, spread, active, major, made)
-        if not more:
-            break
-    return found.toDF("rep", "component")
+    names = rows.columns[:keys]
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        of, out = None, ([], [])
+
+        def close() -> None:
+            u, v = run(held)
+            out[0].extend(u)
+            out[1].extend(v)
+
+        def batch_of() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in out], names=["u", "v"])
+
+        for batch in batches:
+            marks = np.stack([batch.column(c).to_numpy() for c in range(keys)], axis=1)
+            starts = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1)])
+            for start, end in zip(starts, [*starts[1:], len(marks)], strict=True):
+                mine = tuple(marks[start].tolist())
+                if held and mine != of:
+                    close()
+                    held.clear()
+                of = mine
+                held.append(batch.slice(start, end - start))
+            if len(out[0]) > 10_000:
+                yield batch_of()
+                out[0].clear(), out[1].clear()
+        if held:
+            close()
+        if out[0]:
+            yield batch_of()
+
+    short_batches(rows.sparkSession)
+    return rows.repartition(*names).sortWithinPartitions(*names).mapInArrow(over, "u long, v long")
 
 
 def _within(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(u, v, of, away) for the pairs (u, v, of) within the signature limit."""
+    """Those of the pairs (u, v) within the signature limit."""
     a = reps.select(F.col("rep").alias("u"), F.col("sig").alias("a"))
     b = reps.select(F.col("rep").alias("v"), F.col("sig").alias("b"))
-    both = pairs.join(a, "u").join(b, "v").select("u", "v", "of", "a", "b")
+    both = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
 
     def run(batch: pa.RecordBatch) -> dict:
-        away = (_sigs(batch.column(3).to_pylist()) != _sigs(batch.column(4).to_pylist())).sum(axis=1)
-        keep = pa.array(away <= LIMIT)
-        return {"u": batch.column(0).filter(keep), "v": batch.column(1).filter(keep), "of": batch.column(2).filter(keep), "away": pa.array(away[away <= LIMIT].astype(np.int32))}
+        keep = pa.array((_sigs(batch.column(2).to_pylist()) != _sigs(batch.column(3).to_pylist())).sum(axis=1) <= LIMIT)
+        return {"u": batch.column(0).filter(keep), "v": batch.column(1).filter(keep)}
+
+    return map_batches(both, run, "u long, v long")
 
-    return map_batches(both, run, "u long, v long, of long, away int")
 
+def clusters_of(reps: DataFrame) -> DataFrame:
+    """(rep, cluster) of classes with another class within the signature limit; see the module's text."""
+    keyed = _keys(reps)
+    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("u"), F.max("rep").alias("v"), F.min_by("rep", F.xxhash64("rep", "key")).alias("centre")).where("n > 1")
+    counted = written(counted, "keys")
+    many = counted.where("n > 2").select(F.col("key").alias("k"), "centre")
+    shared = written(keyed.join(many, F.col("key") == F.col("k")).select("key", "rep", "centre"), "shared")
+    star = shared.where("rep <> centre").select(F.least("rep", "centre").alias("u"), F.greatest("rep", "centre").alias("v"))
+    pairs = written(counted.where("n = 2").select("u", "v").unionByName(star).distinct(), "pairs")
+    edges = written(_within(pairs, reps), "edges")
+    release(pairs, counted)
+    while True:
+        found = components(edges)
+        label = found.toDF("node", "component")
+        members = written(shared.join(label, shared["rep"] == label["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("comp")), "members")
+        spread = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("best"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("parts"))
+        spread = written(spread.where("parts > 1").select("key", "n", F.col("best.comp").alias("major"), (F.col("n") - F.col("best.c")).alias("n_minor")), "spread")
+        active = members.join(spread.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
+        active = written(active.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "comp", "sig"), "active")
+        more = written(_across(active, spread).distinct(), "edges")
+        release(members, active, spread)
+        if more.isEmpty():
+            release(more, edges, shared)
+            return found.toDF("rep", "cluster")
+        joined = written(edges.unionByName(more), "edges")
+        release(edges, more, found)
+        edges = joined
+
+
+def _shared_counts(items: list[np.ndarray], split: int) -> np.ndarray:
+    """Sizes of the intersections of each of the first ``split`` sets with each of the others."""
+    whole = np.concatenate(items)
+    of = np.repeat(np.arange(len(items)), [len(x) for x in items])
+    order = np.argsort(whole, kind="stable")
+    whole, of = whole[order], of[order]
+    first = np.r_[True, whole[1:] != whole[:-1]]
+    column = np.cumsum(first) - 1
+    often = np.bincount(column) > 1
+    place = np.cumsum(often) - 1
+    keep = often[column]
+    column, of = place[column[keep]], of[keep]
+    counts = np.zeros((split, len(items) - split), np.float32)
+    width = 1 << 14
+    bounds = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + width + 1, width))
+    for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        if hi > lo:
+            m = np.zeros((len(items), width), np.float32)
+            m[of[lo:hi], column[lo:hi] - k * width] = 1
+            counts += m[:split] @ m[split:].T
+    return counts.astype(np.int64)
+
+
+def links_of(reps: DataFrame, clusters: DataFrame, docs: DataFrame) -> DataFrame:
+    """(u, v): a forest of the links on full sets between classes of each cluster.
+
+    ``reps``: rep, n_shingles, p, q, sig; ``docs``: doc_id, text.
+    """
+    placed = clusters.join(reps.toDF(*[f"r_{c}" if c == "rep" else c for c in reps.columns]), F.col("rep") == F.col("r_rep")).drop("r_rep")
+    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("items"))
+    sizes = written(sizes.select(F.col("cluster").alias("c"), F.expr(f"cast(greatest(ceil(n / {CLUSTER_BLOCK}), ceil(items * 8 / {CLUSTER_BYTES})) as int)").alias("blocks")), "sizes")
+    placed = placed.join(sizes, F.col("cluster") == F.col("c")).select("rep", "cluster", "n_shingles", "p", "q", "sig", "blocks", F.expr("cast(pmod(xxhash64(rep, 5), blocks) as int)").alias("mine"))
+    placed = written(placed, "placed")
+    texts = _Bitmap(placed.select(F.col("rep").alias("id")))(docs, "doc_id").join(placed, F.col("doc_id") == F.col("rep"))
 
-def _nearest(star: DataFrame, reps: DataFrame) -> DataFrame:
-    """Of the pairs with a class's centres (at most one a key, so PLACES) the nearest ones."""
-    near = _within(star, reps).groupBy("of").agg(F.slice(F.array_sort(F.collect_set(F.struct("away", "u", "v"))), 1, NEAREST).alias("best"))
-    return near.select(F.explode("best").alias("x")).select("x.u", "x.v")
+    def run(batch: pa.RecordBatch) -> dict:
+        items = [shingles(t) for t in texts_of(batch.column(0))]
+        right = [len(x) > 0 and print_of(x) == mark for x, mark in zip(items, zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True), strict=True)]
+        keep = pa.array(right)  # a row under a repeated id may hold another text
+        out = {c: batch.column(3 + k).filter(keep) for k, c in enumerate(["rep", "cluster", "blocks", "mine", "sig"])}
+        return out | {"items": [x.tobytes() for x, ok in zip(items, right, strict=True) if ok]}
+
+    full = map_batches(texts.select("text", "p", "q", "rep", "cluster", "blocks", "mine", "sig"), run, "rep long, cluster long, blocks int, mine int, sig binary, items binary")
+    full = written(full.dropDuplicates(["rep"]), "items")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = full.select("rep", "cluster", "mine", "sig", "items", other.alias("other"))
+    rows = rows.select("cluster", F.least("mine", "other").cast("long").alias("a"), F.greatest("mine", "other").cast("long").alias("b"), F.col("mine").cast("long").alias("mine"), "rep", "sig", "items")
+
+    def link(batches: list[pa.RecordBatch]) -> tuple:
+        t = pa.Table.from_batches(batches)
+        one = t["a"][0].as_py() == t["b"][0].as_py()
+        mine, rep, sig = t["mine"].to_numpy(), t["rep"].to_numpy(), _sigs(t["sig"].to_pylist())
+        items = [np.frombuffer(x, np.uint64) for x in t["items"].to_pylist()]
+        first = np.flatnonzero(mine == t["a"][0].as_py())
+        second = first if one else np.flatnonzero(mine != t["a"][0].as_py())
+        if not len(first) or not len(second) or (one and len(first) < 2):
+            return [], []
+        if not any((np.count_nonzero(sig[second] != sig[i], axis=1) <= LIMIT).sum() > one for i in first):
+            return [], []
+        order = [items[k] for k in first] + [items[k] for k in second]
+        shared = _shared_counts(order, len(first))
+        a, b = np.array([len(items[k]) for k in first]), np.array([len(items[k]) for k in second])
+        return forest(100 * shared >= PERCENT * (a[:, None] + b[None, :] - shared), rep[first], rep[second])
+
+    return grouped(rows, 3, link)
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -320,7 +368,8 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     sets = written(sets_of(rows, "doc_id", "text"), "sets")
     classes = sets.where("p is not null and doc_id is not null").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
     reps = written(classes, "classes")
-    found = links_of(reps, rows)
+    links = written(links_of(reps, written(clusters_of(reps), "clusters"), rows), "links")
+    found = components(links)
     labelled = reps.join(found.toDF("r", "component"), F.col("rep") == F.col("r"), "left").select(F.col("p").alias("cp"), F.col("q").alias("cq"), F.col("n_shingles").alias("cn"), F.coalesce("component", "rep").alias("component"))
     labelled = written(labelled, "labelled")
     joined = sets.join(labelled, (F.col("p") == F.col("cp")) & (F.col("q") == F.col("cq")) & (F.col("n_shingles") == F.col("cn")), "left")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, map_batches, short_batches, table, written
-from tidemark.llm.components import components
+from tidemark.llm.components import components, forest
 
 THRESHOLD = 0.93
 #: Leading directions of the grid order, classes in a block, children of an interval (as bits).
@@ -184,25 +184,6 @@ def linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return mask
 
 
-def forest(mask: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, root) pairs with the connectivity of a bipartite link mask."""
-    rows, cols = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
-    if not len(rows):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    part = mask[np.ix_(rows, cols)]
-    a, b = one[rows], two[cols]
-    la, lb, none = a.copy(), b.copy(), np.iinfo(np.int64).max
-    while True:
-        new_a = np.minimum(la, np.where(part, lb[None, :], none).min(axis=1))
-        new_b = np.minimum(lb, np.where(part, new_a[:, None], none).min(axis=0))
-        if (new_a == la).all() and (new_b == lb).all():
-            break
-        la, lb = new_a, new_b
-    nodes, roots = np.concatenate([a, b]), np.concatenate([la, lb])
-    at = nodes != roots
-    return nodes[at], roots[at]
-
-
 def _joined(blocks: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """(u, v, n): links of class u weigh n where v is null; else u and v are connected."""
     side = lambda s: blocks.select(F.col("part").alias(f"part_{s}"), F.col("n").alias(f"n_{s}"), F.col("reps").alias(f"reps_{s}"), F.col("weights").alias(f"w_{s}"), F.col("vecs").alias(f"vecs_{s}"))
