@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from tidemark.plans import minute, scans, selection, series  # noqa: F401
+from tidemark.plans import minute, scans, selection, series, trade  # noqa: F401
