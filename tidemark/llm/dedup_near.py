@@ -14,11 +14,12 @@ Linear work first, whole work after:
 
 * documents with equal sets form a class, represented by its smallest id;
 * a key shared by two classes is a pair at once; of a key shared by more, each class is paired with
-  the key's *centre* (another one for each key). Pairs within T are contracted to *clusters*;
-* keys whose classes still lie in several clusters are searched in blocks, all classes outside the
-  key's largest cluster against all classes of the key, until every pair within T lies in one
-  cluster. A cluster needs connection only, so that a class hands back one pair for each cluster
-  it meets, never all its pairs.
+  the key's *centre* (the first of a fixed shuffled order, so that the keys of a group mostly have
+  one centre and pairs repeat). Pairs within T are contracted to *clusters*;
+* of keys whose classes lie in several clusters, each class outside the largest one is compared in
+  blocks with that whole cluster (once, however many keys bring them together) and with the key's
+  other classes outside it, until every pair within T lies in one cluster. A cluster needs
+  connection only, so that a class hands back each cluster it meets, never all its pairs;
 * inside a cluster all pairs are compared on full sets, two blocks of classes at a time, by a
   product of incidence matrices; each two blocks hand back a forest of their links. Forests are
   contracted to components.
@@ -173,11 +174,11 @@ class _Bitmap:
 
 
 def _across(members: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pairs (u, v) within the signature limit that connect clusters of classes sharing a key.
+    """Pairs (u, v) of clusters that hold classes of one key within the signature limit.
 
     ``members``: key, rep, comp, sig; ``keys``: key, n, major (the key's largest cluster), n_minor.
-    In every two blocks, each class outside the major cluster hands back its nearest class of every
-    other cluster it is near to.
+    In every two blocks, each class outside the major cluster hands back every other cluster that
+    it is near to.
     """
     size = f"greatest({BLOCK}, cast(ceil(sqrt(n)) as int))"
     rows = members.join(keys, "key").select(
@@ -196,11 +197,10 @@ def _across(members: DataFrame, keys: DataFrame) -> DataFrame:
         to = np.flatnonzero(~asks)
         for i in np.flatnonzero(asks):
             away = (group["sig"][to] != group["sig"][i]).sum(axis=1)
-            good = np.flatnonzero((away <= LIMIT) & (group["comp"][to] != group["comp"][i]))
-            good = good[np.argsort(away[good], kind="stable")]
-            for j in to[good[np.unique(group["comp"][to[good]], return_index=True)[1]]]:
-                u.append(group["rep"][i])
-                v.append(group["rep"][j])
+            for comp in np.unique(group["comp"][to[away <= LIMIT]]):
+                if comp != group["comp"][i]:
+                    u.append(group["comp"][i])
+                    v.append(comp)
         return u, v
 
     names = ["key", "b", "m", "asks", "rep", "comp", "sig"]
@@ -254,10 +254,10 @@ def grouped(rows: DataFrame, keys: int, run) -> DataFrame:
 
 
 def _within(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Those of the pairs (u, v) within the signature limit."""
+    """(cu, cv) of those pairs of classes (u, v, cu, cv) that are within the signature limit."""
     a = reps.select(F.col("rep").alias("u"), F.col("sig").alias("a"))
     b = reps.select(F.col("rep").alias("v"), F.col("sig").alias("b"))
-    both = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
+    both = pairs.join(a, "u").join(b, "v").select("cu", "cv", "a", "b")
 
     def run(batch: pa.RecordBatch) -> dict:
         keep = pa.array((_sigs(batch.column(2).to_pylist()) != _sigs(batch.column(3).to_pylist())).sum(axis=1) <= LIMIT)
@@ -266,33 +266,64 @@ def _within(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return map_batches(both, run, "u long, v long")
 
 
+def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels (rep, cluster) after clusters joined by ``edges`` (u, v) became one."""
+    found = components(edges)
+    out = written(labels.join(found, labels["cluster"] == found["node"], "left").select("rep", F.coalesce("component", "cluster").alias("cluster")), "labels")
+    release(found, labels)
+    return out
+
+
+def _sides(members: DataFrame) -> DataFrame:
+    """Keys of ``members`` (key, rep, comp) that lie in several clusters: key, n, major, n_minor."""
+    each = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    keys = each.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("best"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return written(keys.select("key", "n", F.col("best.comp").alias("major"), (F.col("n") - F.col("best.c")).alias("n_minor")), "sides")
+
+
+def _more(shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (u, v) of clusters with classes within the limit that share a key.
+
+    A class outside its key's largest cluster is compared with that whole cluster, once for all keys
+    that bring the two together, and with the other classes of the key outside the cluster.
+    """
+    members = written(shared.join(labels.toDF("r", "comp"), shared["rep"] == F.col("r")).select("key", "rep", "comp"), "members")
+    keys = _sides(members)
+    big = keys.select(F.col("key").alias("k"), "major")
+    minors = written(members.join(big, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("major"))).select("key", "rep", "comp", "major"), "minors")
+    release(members, keys)
+    asking = minors.select(F.col("major").alias("key"), "rep", "comp").distinct()
+    wanted = asking.select(F.col("key").alias("k")).distinct()
+    bodies = labels.join(wanted, F.col("cluster") == F.col("k"), "left_semi").select(F.col("cluster").alias("key"), "rep", F.col("cluster").alias("comp"))
+    out = None
+    for rows in (asking.unionByName(bodies), minors.select("key", "rep", "comp")):
+        rows = written(rows.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "comp", "sig"), "sides")
+        pairs = written(_across(rows, _sides(rows)).distinct(), "edges")
+        release(rows)
+        out = pairs if out is None else out.unionByName(pairs)
+    return written(out, "edges")
+
+
 def clusters_of(reps: DataFrame) -> DataFrame:
     """(rep, cluster) of classes with another class within the signature limit; see the module's text."""
     keyed = _keys(reps)
-    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("u"), F.max("rep").alias("v"), F.min_by("rep", F.xxhash64("rep", "key")).alias("centre")).where("n > 1")
+    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("u"), F.max("rep").alias("v"), F.min_by("rep", F.xxhash64("rep", F.lit(3))).alias("centre")).where("n > 1")
     counted = written(counted, "keys")
     many = counted.where("n > 2").select(F.col("key").alias("k"), "centre")
     shared = written(keyed.join(many, F.col("key") == F.col("k")).select("key", "rep", "centre"), "shared")
     star = shared.where("rep <> centre").select(F.least("rep", "centre").alias("u"), F.greatest("rep", "centre").alias("v"))
-    pairs = written(counted.where("n = 2").select("u", "v").unionByName(star).distinct(), "pairs")
-    edges = written(_within(pairs, reps), "edges")
+    pairs = written(counted.where("n = 2").select("u", "v").unionByName(star).distinct().select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv")), "pairs")
+    labels = written(reps.select("rep", F.col("rep").alias("cluster")), "labels")
+    labels = _merged(labels, _within(pairs, reps))
     release(pairs, counted)
+    shared = shared.select("key", "rep")
     while True:
-        found = components(edges)
-        label = found.toDF("node", "component")
-        members = written(shared.join(label, shared["rep"] == label["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("comp")), "members")
-        spread = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("best"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("parts"))
-        spread = written(spread.where("parts > 1").select("key", "n", F.col("best.comp").alias("major"), (F.col("n") - F.col("best.c")).alias("n_minor")), "spread")
-        active = members.join(spread.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
-        active = written(active.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "comp", "sig"), "active")
-        more = written(_across(active, spread).distinct(), "edges")
-        release(members, active, spread)
+        more = _more(shared, labels, reps)
         if more.isEmpty():
-            release(more, edges, shared)
-            return found.toDF("rep", "cluster")
-        joined = written(edges.unionByName(more), "edges")
-        release(edges, more, found)
-        edges = joined
+            break
+        labels = _merged(labels, more)
+    sizes = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("cluster").alias("c"))
+    return labels.join(sizes, F.col("cluster") == F.col("c"), "left_semi")
 
 
 def _shared_counts(items: list[np.ndarray], split: int) -> np.ndarray:
