@@ -266,7 +266,7 @@ def intraday_features(bars: DataFrame, lookback: int, warmup: int, interval: int
     rows = rows.withColumn("__island", F.sum(F.col("__gap").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     run = Window.partitionBy(*keys, "__island").orderBy("dt")
     frame, steps = run.rowsBetween(1 - lookback, 0), run.rowsBetween(2 - lookback, 0)
-    rows = rows.withColumn("__n", F.row_number().over(run)).withColumn("__r", F.col("close") / F.lag("close").over(run) - 1)
+    rows = rows.withColumn("__n", F.row_number().over(run)).withColumn("__r", F.try_divide(F.col("close"), F.lag("close").over(run)) - 1)
     mean = F.avg("volume").over(frame)
     return rows.select(
         F.col(code).alias("code"), "trading_date", "session_id", "dt",
@@ -290,7 +290,7 @@ def intraday_labels(bars: DataFrame, horizon: int, entry: str = "close", overlap
         F.lead("close", horizon + shift).over(w).alias("exit_price"), F.lead("dt", horizon + shift).over(w).alias("label_end"), F.lead(available, horizon + shift).over(w).alias("available_time"),
     ).where(F.col("exit_price").isNotNull())
     rows = rows if overlap else rows.where(F.col("__k") % horizon == 0)
-    return rows.withColumn("future_return", F.col("exit_price") / F.col("entry_price") - 1).drop("__k")
+    return rows.withColumn("future_return", F.try_divide(F.col("exit_price"), F.col("entry_price")) - 1).drop("__k")
 
 
 def signals(features: DataFrame, feature: str, threshold: float) -> DataFrame:

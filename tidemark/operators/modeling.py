@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
 from tidemark.operators.pit import guard
+from tidemark.operators.statistics import correlation
 
 
 def wide_samples(features: DataFrame, labels: DataFrame, keys: Sequence[str], names: Sequence[str], target: str) -> DataFrame:
@@ -54,7 +55,7 @@ def fit_preprocessor(train: DataFrame, columns: Sequence[str], target: str = "ta
     first = train.agg(*[F.coalesce(F.median(number(c)), F.lit(0.0)).alias(c) for c in columns]).first()
     medians = {c: float(first[c]) for c in columns}
     fill = lambda c: F.coalesce(number(c), F.lit(medians[c]))
-    second = train.agg(*[x for c in columns for x in (F.avg(fill(c)).alias(f"{c}__m"), F.stddev_pop(fill(c)).alias(f"{c}__s"), F.corr(fill(c), F.col(target).cast("double")).alias(f"{c}__r"))]).first()
+    second = train.agg(*[x for c in columns for x in (F.avg(fill(c)).alias(f"{c}__m"), F.stddev_pop(fill(c)).alias(f"{c}__s"), correlation(fill(c), F.col(target).cast("double")).alias(f"{c}__r"))]).first()
     scales = {c: float(second[f"{c}__s"] or 0.0) or 1.0 for c in columns}
     strength = lambda c: 0.0 if (r := second[f"{c}__r"]) is None or r != r else abs(r)
     chosen = tuple(columns) if select is None or select >= len(columns) else tuple(sorted(columns, key=lambda c: (-strength(c), c))[:select])

@@ -10,7 +10,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
@@ -111,14 +111,21 @@ def adjust_p(df: DataFrame, family: Sequence[str], p: str, candidate: str, metho
     return rows.drop("__n", "__k", "__raw")
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation, null where either side is constant."""
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 # Selection bias --------------------------------------------------------------------------------
 
 
 def sharpe_moments(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Per group: n, Sharpe ratio (sample deviation), raw skew and raw kurtosis by that deviation."""
     w = Window.partitionBy(*group)
-    rows = df.where(F.col(value).isNotNull()).withColumn("__z", (F.col(value) - F.avg(value).over(w)) / F.stddev_samp(value).over(w))
-    return rows.groupBy(*group).agg(F.count(F.lit(1)).alias("sample_size"), (F.avg(value) / F.stddev_samp(value)).alias("sharpe"), F.avg(F.pow("__z", F.lit(3))).alias("skew"), F.avg(F.pow("__z", F.lit(4))).alias("kurtosis"))
+    rows = df.where(F.col(value).isNotNull()).withColumn("__z", F.try_divide(F.col(value) - F.avg(value).over(w), F.stddev_samp(value).over(w)))
+    return rows.groupBy(*group).agg(F.count(F.lit(1)).alias("sample_size"), F.try_divide(F.avg(value), F.stddev_samp(value)).alias("sharpe"), F.avg(F.pow("__z", F.lit(3))).alias("skew"), F.avg(F.pow("__z", F.lit(4))).alias("kurtosis"))
 
 
 def psr_z(moments: DataFrame, benchmark: float = 0.0) -> DataFrame:
@@ -145,7 +152,7 @@ def correlation_squares(df: DataFrame, order: str, candidate: str, value: str) -
     """(first, second, correlation) for every ordered pair of candidates, by a join on the period."""
     a = df.select(F.col(order).alias("__t"), F.col(candidate).alias("first"), F.col(value).alias("x"))
     b = df.select(F.col(order).alias("__t"), F.col(candidate).alias("second"), F.col(value).alias("y"))
-    return a.join(b, "__t").groupBy("first", "second").agg(F.corr("x", "y").alias("correlation"))
+    return a.join(b, "__t").groupBy("first", "second").agg(correlation(F.col("x"), F.col("y")).alias("correlation"))
 
 
 def effective_trials(df: DataFrame, order: str, candidate: str, value: str) -> DataFrame:

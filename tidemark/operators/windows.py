@@ -38,7 +38,7 @@ def cross_section(df: DataFrame, date: Sequence[str], column: str, method: str,
         ties = F.count(column).over(Window.partitionBy(*date, column))
         return df.withColumn(name, F.when(x.isNotNull(), (first + (ties - 1) / 2) / n))
     if method == "zscore":
-        return df.withColumn(name, (x - F.avg(x).over(w)) / F.stddev_samp(x).over(w))
+        return df.withColumn(name, F.try_divide(x - F.avg(x).over(w), F.stddev_samp(x).over(w)))
     if method == "demean":
         return df.withColumn(name, x - F.avg(x).over(w))
     if method == "winsorize":
@@ -66,7 +66,7 @@ def forward_label(df: DataFrame, entity: Sequence[str], order: Sequence[str], pr
     if horizon < 1:
         raise ContractError("a label looks ahead at least one row")
     w = Window.partitionBy(*entity).orderBy(*order)
-    return df.withColumn(name, F.lead(price, horizon).over(w) / F.col(price) - 1).withColumn(f"{name}_available", F.lead(available, horizon).over(w))
+    return df.withColumn(name, F.try_divide(F.lead(price, horizon).over(w), F.col(price)) - 1).withColumn(f"{name}_available", F.lead(available, horizon).over(w))
 
 
 def session_index(calendar: DataFrame, date: str) -> DataFrame:
@@ -94,7 +94,7 @@ def drawdown(df: DataFrame, entity: Sequence[str], order: Sequence[str], equity:
     """equity over its running peak, less one; with ``floor`` the peak starts there."""
     peak = F.max(equity).over(Window.partitionBy(*entity).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     peak = peak if floor is None else F.greatest(peak, F.lit(floor))
-    return df.withColumn("drawdown", F.col(equity) / peak - 1)
+    return df.withColumn("drawdown", F.try_divide(F.col(equity), peak) - 1)
 
 
 def running_sum(df: DataFrame, entity: Sequence[str], order: Sequence[str], column: str, name: str) -> DataFrame:

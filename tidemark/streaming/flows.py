@@ -16,7 +16,7 @@ def windowed_bars(ticks: DataFrame, interval: str, late: str, code: str = "code"
     A bar holds (start, end], so ticks are moved back by a microsecond before they meet Spark's
     [start, end) windows.
     """
-    moved = ticks.withWatermark(time, late).withColumn("__t", F.col(time) - F.expr("interval 1 microsecond"))
+    moved = ticks.withColumn("__t", F.col(time) - F.expr("interval 1 microsecond"))
     w = F.window("__t", interval)
     return (
         moved.withWatermark("__t", late)
