@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -33,7 +35,9 @@ def scratch_dir(spark: SparkSession) -> str:
     held = context._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    own = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
