@@ -27,7 +27,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def _without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """``docs`` but for the rows whose id is decided against; a null id is never dropped.
 
-    Only the ids that go are joined. Rows that repeat a kept id become one, the longest text of it.
+    Only the ids that go are joined. An id that any of its rows keeps stays, with all its rows.
     """
     gone = decisions.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("gone")).distinct()
     gone = written(gone.join(decisions.where("kept").select("doc_id"), F.col("gone") == F.col("doc_id"), "left_anti"), "gone")

@@ -70,6 +70,10 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def _typed(values, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
+
+
 def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     """``run`` takes a pyarrow RecordBatch and returns a dict of columns (or None for no rows)."""
     short_batches(df.sparkSession)
@@ -84,7 +88,7 @@ def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataF
             if batch.num_rows:
                 out = run(batch)
                 if out is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) if not isinstance(out[f.name], pa.Array) else out[f.name] for f in arrow], schema=arrow)
+                    yield pa.RecordBatch.from_arrays([_typed(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(over, schema)
 
