@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import checks, ledger, trading
+from tidemark.operators import checks, ledger, simulation, trading
 from tidemark.registry import query as register
 from tidemark.sources.tables import scan
 
@@ -334,3 +334,76 @@ def ledger_futures_fold(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("account").agg(F.max_by("equity_units", "seq").alias("spent"))
 
 
+
+
+# Simulations -----------------------------------------------------------------------------------
+
+
+@register("simulate_minute_targets")
+def simulate_minute_targets(spark: SparkSession, d: str) -> DataFrame:
+    """Targets of every third decision bar of a user, traded in the user's 120-minute bars."""
+    from tidemark.plans.minute import resampled
+
+    rows = resampled(spark, d, 120).select(
+        (F.col("code").cast("bigint") % 10).alias("account"), "code", F.col("trading_date").cast("string").alias("session"), "bar_start", "dt", F.col("dt").alias("available_time"), F.lit(0).cast("bigint").alias("seq"),
+        F.round(F.col("open") * 100).cast("bigint").alias("open_units"), F.round(F.col("close") * 100).cast("bigint").alias("close_units"), (F.col("volume") * 1000).cast("bigint").alias("volume"), F.lit(True).alias("completed"), F.lit("pass").alias("quality_status"),
+        F.lit(10_000_000).cast("bigint").alias("high_limit_units"), F.lit(0).cast("bigint").alias("low_limit_units"),
+    )
+    w = Window.partitionBy("code").orderBy("dt")
+    asked = rows.withColumn("k", F.row_number().over(w)).withColumn("left", F.lead("bar_start").over(w)).where("k % 3 = 1 and left >= dt").select("account", "code", F.col("dt").alias("decision_time"), ((F.col("k") % 5 + 1) * 100).cast("bigint").alias("target_quantity"))
+    last = rows.groupBy("account").agg(F.max("bar_start").alias("end"))
+    asked = asked.join(last, "account").where("decision_time <= end").drop("end")
+    return simulation.simulate_minutes(rows, asked, simulation.MinutePolicy(), 100_000_000)
+
+
+@register("simulate_futures_daily")
+def simulate_futures_daily(spark: SparkSession, d: str) -> DataFrame:
+    rows = held(spark, d).where("account < 30")
+    marks = rows.select(F.col("account").cast("string").alias("product"), F.col("month").cast("date").alias("session"), F.lit("c").alias("contract"), F.lit(100_000).cast("bigint").alias("settlement_units"))
+    w = Window.partitionBy("account").orderBy("month")
+    moves = rows.select("account", "month", F.lag(F.lit("c")).over(w).alias("old_contract"), F.lit("c").alias("new_contract"), F.lit(False).alias("roll"), F.coalesce(F.lag("contracts").over(w), F.lit(0)).alias("held"), F.col("contracts").alias("target"))
+    legs = trading.decompose_roll(moves).select(F.col("account").cast("string").alias("product"), F.col("month").cast("date").alias("session"), "leg", "contract", "side", "contracts", F.when(F.col("offset") == "close_today", "close_yesterday").otherwise(F.col("offset")).alias("offset"), F.lit(100_000).cast("bigint").alias("open_units"), F.lit(False).alias("blocked"))
+    rules = simulation.FuturesRules(1, 100, (("open", 3), ("close_today", 2), ("close_yesterday", 1)))
+    return simulation.simulate_futures(legs, marks, rules, 1_000_000_000)
+
+
+def _simulated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    rows = orders(spark, d).where("account < 200").select("account", F.col("id").alias("seq"), F.col("id").cast("string").alias("order_id"), F.col("day").cast("string").alias("day"), F.col("code").cast("string").alias("code"), "side", "quantity", "paused", "open_units", (F.col("high_limit_units") + 50).alias("high_limit_units"), (F.col("low_limit_units") - 50).alias("low_limit_units"), (F.col("sellable") * 3).alias("capacity"))
+    w = Window.partitionBy("account").orderBy("day", "seq")
+    rows = rows.withColumn("seq", F.row_number().over(w).cast("bigint"))
+    done = ledger.simulate_cash(rows, POLICY, 200_000_000)
+    return simulation.project_cash(done.join(rows.select("order_id", "day"), "order_id"), 200_000_000)
+
+
+@register("result_findings", """SELECT '' AS "check", '' AS key, '' AS expected, '' AS stated WHERE FALSE""")
+def result_findings(spark: SparkSession, d: str) -> DataFrame:
+    """Simulated results recomputed from their six tables: nothing to find."""
+    return simulation.verify_result(_simulated(spark, d))
+
+
+@register("result_gates", "SELECT gate, CASE WHEN gate = 'statistics' THEN 'not_applicable' ELSE 'pass' END AS status, '' AS reason_codes FROM (VALUES ('data.pit'), ('label.split'), ('search.holdout'), ('statistics'), ('financial.tradability')) g(gate)")
+def result_gates(spark: SparkSession, d: str) -> DataFrame:
+    return simulation.gates(result_findings(spark, d), not_applicable=("statistics",))
+
+
+@register(
+    "futures_audit",
+    """WITH m AS (SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey AS VARCHAR) AS code, COUNT(*) AS n FROM lineitem WHERE l_suppkey < 20 AND l_shipdate < TIMESTAMP '1997-01-01' GROUP BY 1, 2)
+SELECT issue, dataset, CAST(COUNT(*) AS BIGINT) AS findings FROM (SELECT 'duplicate_primary_key' AS issue, 'market' AS dataset FROM m WHERE n > 1 UNION ALL SELECT 'settlement_missing', 'settlement' FROM m, range(CAST(n AS BIGINT)) r WHERE CAST(code AS INT) % 4 = 0 UNION ALL SELECT DISTINCT 'lifecycle_missing', 'lifecycle' || '' FROM m WHERE FALSE) GROUP BY 1, 2""",
+)
+def futures_audit(spark: SparkSession, d: str) -> DataFrame:
+    day = F.col("l_shipdate").cast("date")
+    market = scan(spark, d, "lineitem").where("l_suppkey < 20").select(day.alias("date"), F.col("l_suppkey").cast("string").alias("code"), *[F.col("l_extendedprice").alias(c) for c in ("open", "high", "low", "close")], F.col("l_quantity").alias("volume"), F.col("l_quantity").alias("open_interest"))
+    codes = [str(k) for k in range(20)]
+    lifecycle = spark.range(20).select(F.col("id").cast("string").alias("code"), F.lit("1980-01-01").cast("date").alias("listed"), F.lit("2040-01-01").cast("date").alias("delisted"))
+    settled = market.where("code % 4 <> 0").select("date", "code", F.col("close").alias("settle_price")).dropDuplicates(["date", "code"])
+    out = simulation.audit_futures(market, lifecycle, codes, F.lit("1990-01-01").cast("date"), F.lit("1996-12-31").cast("date"), settled)
+    return out.groupBy("issue", "dataset").agg(F.count(F.lit(1)).alias("findings"))
+
+
+@register("execution_price_audit", "SELECT verdict, COUNT(*) AS samples FROM (SELECT CASE WHEN p_partkey % 3 = 0 AND p_size > 40 THEN 'fail' WHEN p_partkey % 3 = 0 THEN 'verified' WHEN p_partkey % 3 = 1 AND p_size <= 40 THEN 'vendor_confirmed' WHEN p_partkey % 3 = 1 THEN 'warn' ELSE 'unverified' END AS verdict FROM part) GROUP BY 1")
+def execution_price_audit(spark: SparkSession, d: str) -> DataFrame:
+    p, price = F.col("p_partkey") % 3, F.col("p_retailprice")
+    other = F.when(F.col("p_size") > 40, price * 1.1).otherwise(price)
+    rows = scan(spark, d, "part").select(price.alias("local_price"), F.when(p == 0, other).alias("official_price"), F.when(p == 1, other).alias("vendor_price"))
+    return simulation.audit_execution_prices(rows, 5).groupBy("verdict").agg(F.count(F.lit(1)).alias("samples"))

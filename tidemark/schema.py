@@ -13,7 +13,18 @@ from tidemark.errors import ContractError
 #: Logical type names and the Spark types they are stored as.
 LOGICAL = {
     "string": "string",
+    "varchar": "string",
     "boolean": "boolean",
+    "bool": "boolean",
+    "int8": "tinyint",
+    "int16": "smallint",
+    "int32": "int",
+    "int64": "bigint",
+    "float32": "float",
+    "float64": "double",
+    "decimal128": "decimal(38,18)",
+    "date32": "date",
+    "timestamp": "timestamp_ntz",
     "integer": "bigint",
     "number": "double",
     "decimal": "decimal(38,9)",
