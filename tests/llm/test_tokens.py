@@ -31,6 +31,24 @@ def test_ids_are_the_librarys(kind, path):
             assert encode.decode(want) == plain.decode(want, skip_special_tokens=False), text
 
 
+def test_a_batch_has_the_ids_of_its_texts():
+    import pyarrow as pa
+
+    for encode in (tokens.WordEncoder(WORD), tokens.ByteEncoder(BYTE)):
+        check_batches(pa, encode)
+
+
+def check_batches(pa, encode):
+    rows = [*odd_texts(500, seed=3), None, "", "\n", "a  b\n\nc ", *odd_texts(50, seed=4)]
+    for column in (pa.array(rows), pa.array(rows).slice(7, 300), pa.array([], pa.string()), pa.array([None, ""], pa.string())):
+        ids, ends = encode.encode_all(column)
+        texts, start = column.to_pylist(), 0
+        assert len(ends) == len(texts) and (not len(ends) or ends[-1] == len(ids))
+        for text, end in zip(texts, ends, strict=True):
+            assert ids[start:end].tolist() == encode.ids(text or "").tolist()
+            start = end
+
+
 def documents(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
     return [(r.doc_id, r.text) for r in rows][:300] + [(10_000 + k, t) for k, t in enumerate(odd_texts(60))] + [(20_000, None), (20_001, ""), (-5, "below zero"), (20_002, "many words " * 9000)]

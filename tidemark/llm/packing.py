@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, short_batches, table, texts_of, written
+from tidemark.llm.common import documents, map_batches, short_batches, table, written
 from tidemark.llm.tokens import WordEncoder, encoder
 
 LENGTH, END = 2048, 1
@@ -94,8 +94,9 @@ def pieces_of(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
         encode, part, seen = encoder(WordEncoder, path), TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
         for batch in batches:
             at, out = [], []
-            for row, value in enumerate(texts_of(batch.column(1))):
-                ids = np.append(encode.ids(value), np.array([end], encode.width)).astype("<u4")
+            whole, ends = encode.encode_all(batch.column(1))
+            for row in range(batch.num_rows):
+                ids = np.append(whole[ends[row - 1] if row else 0 : ends[row]], np.array([end], encode.width)).astype("<u4")
                 for start in range(0, len(ids), length):
                     piece = ids[start : start + length]
                     at.append(row)

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructType
 
-from tidemark.llm.common import documents, map_batches, short_batches, table, texts_of, written
+from tidemark.llm.common import documents, map_batches, short_batches, table, written
 from tidemark.llm.tokens import WordEncoder, encoder
 
 END = 2
@@ -165,9 +165,10 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for k, value in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+            whole, ends = encode.encode_all(batch.column(1))
+            for row, k in enumerate(batch.column(0).to_pylist()):
                 keys.append(k)
-                parts.append(encode.encode(value) + tail)
+                parts.append(whole[ends[row - 1] if row else 0 : ends[row]].tobytes() + tail)
                 size += len(parts[-1])
                 if len(keys) >= SEGMENT_DOCS or size >= SEGMENT_BYTES:
                     yield close()
