@@ -27,6 +27,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,22 +125,35 @@ def assemble(encode: ByteEncoder, kinds: list[str], runs: list[int], parts: list
     return np.concatenate(out) if out else np.empty(0, encode.width)
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(ends, np.concatenate([*parts, np.empty(0, np.int32)]).astype(np.int32))
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key`` and ``ids``, the tokenizer's ids of the whole text."""
+def _runs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column one after another, and where each list's values end; null is empty."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)
+
+
+def ids_column(e: ByteEncoder, ids: np.ndarray, ends: np.ndarray) -> dict:
+    """What :func:`encode` gives of the ids of a batch: the ids themselves."""
+    return {"ids": _lists(ids, ends)}
+
+
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", columns: str = "ids array<int>", give=ids_column) -> DataFrame:
+    """Per row: ``key`` and ``ids``, the tokenizer's ids of the whole text.
+
+    ``give`` may make other ``columns`` of the ids where they are, lest they travel.
+    """
     rows = documents(docs, key, text).toDF("key", "text")
     kind = rows.schema["key"].dataType.simpleString()
     size = F.length(F.coalesce("text", F.lit("")))
 
     def direct(batch: pa.RecordBatch) -> dict:
         e = encoder(ByteEncoder, path)
-        return {"key": batch.column(0), "ids": _lists([e.ids(t) for t in texts_of(batch.column(1))])}
+        return {"key": batch.column(0)} | give(e, *e.encode_all(batch.column(1)))
 
-    short = map_batches(rows.where(size <= LONG), direct, f"key {kind}, ids array<int>")
+    short = map_batches(rows.where(size <= LONG), direct, f"key {kind}, {columns}")
     # the written table fixes the numbers of rows, which tell repeated rows apart
     long = written(rows.where(size > LONG).withColumn("row", F.monotonically_increasing_id()), "long")
 
@@ -161,12 +175,13 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         e = encoder(ByteEncoder, path)
         group = group.sort_values("block")
         ids = assemble(e, group["kind"].tolist(), group["run"].tolist(), [np.frombuffer(x, e.width) for x in group["ids"]])
-        return pd.DataFrame({"row": [group["row"].iloc[0]], "ids": [ids.astype(np.int32)]})
+        out = give(e, ids.astype(np.int32), np.array([len(ids)]))
+        return pd.DataFrame({"row": [group["row"].iloc[0]]} | {c: x.to_pylist() if isinstance(x, pa.Array) else x for c, x in out.items()})
 
     blocks = map_batches(long.select("row", "text"), cut, "row long, block int, kind string, run int, content string")
     parts = map_batches(blocks.repartition("row", "block"), part, "row long, block int, kind string, run int, ids binary")
-    done = parts.groupBy("row").applyInPandas(whole, "row long, ids array<int>")
-    joined = long.select("key", "row").join(done, "row").select("key", "ids")
+    done = parts.groupBy("row").applyInPandas(whole, f"row long, {columns}")
+    joined = long.select("key", "row").join(done, "row").drop("row")
     return short.unionByName(joined).withColumnRenamed("key", key)
 
 
@@ -177,20 +192,20 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
 
     def run(batch: pa.RecordBatch) -> dict:
         e = encoder(ByteEncoder, path)
-        return {key: batch.column(0), ids: batch.column(1), "text": [e.decode(x or []) for x in batch.column(1).to_pylist()]}
+        return {key: batch.column(0), ids: batch.column(1), "text": [t.decode() for t in e.decode_all(*_runs(batch.column(1)))]}
 
     return map_batches(rows, run, f"`{key}` {kind}, `{ids}` array<int>, text string")
 
 
+def digests(e: ByteEncoder, ids: np.ndarray, ends: np.ndarray) -> dict:
+    """Numbers of ids, and SHA-256 of the ids in decimals and of the texts they decode to."""
+    sha = lambda texts: [hashlib.sha256(t).hexdigest() for t in texts]
+    return {"n_tokens": np.diff(ends, prepend=0).tolist(), "ids_sha256": sha(e.joined_all(ids, ends)), "decoded_sha256": sha(e.decode_all(ids, ends))}
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    round_trip = decode(encode(table(spark, sf_dir, "documents"), path), path)
-
-    def digest(batch: pa.RecordBatch) -> dict:
-        e, ids = encoder(ByteEncoder, path), batch.column(1).to_pylist()
-        sha = lambda text: hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
-        return {"doc_id": batch.column(0), "n_tokens": [len(x) for x in ids], "ids_sha256": [sha(e.joined(x)) for x in ids], "decoded_sha256": [sha(t) for t in batch.column(2).to_pylist()]}
-
-    return map_batches(round_trip, digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encode(table(spark, sf_dir, "documents"), path, columns=columns, give=digests)
