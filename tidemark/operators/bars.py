@@ -7,7 +7,6 @@ one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -306,7 +305,3 @@ def targets(signals_: DataFrame, quantity: int) -> DataFrame:
 def observation_rows(bars: DataFrame, start: datetime, end: datetime) -> DataFrame:
     lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
     return bars.where((F.col("dt") >= lit(start)) & (F.col("dt") < lit(end))).agg(F.count(F.lit(1)).alias("row_count"), F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"))
-
-
-def columns_of(bars: DataFrame, names: Sequence[str]) -> DataFrame:
-    return bars.select(*names)

@@ -286,8 +286,8 @@ def gates(findings: DataFrame, code: str = "check", not_applicable: Sequence[str
 # Futures data audit ----------------------------------------------------------------------------
 
 
-def audit_futures(market: DataFrame, lifecycle: DataFrame, contracts: Sequence[str], start, end, settlement: DataFrame | None = None, max_missing: float = 0.0, trading: bool = True) -> DataFrame:
-    """Findings over daily futures data of named contracts in a window: (issue, dataset, key, severity).
+def audit_futures(market: DataFrame, lifecycle: DataFrame, contracts: Sequence[str] | None, start, end, settlement: DataFrame | None = None, max_missing: float = 0.0, trading: bool = True) -> DataFrame:
+    """Findings over daily futures data of named contracts (None: all) in a window: (issue, dataset, key, severity).
 
     ``market``: date, code, open, high, low, close, volume, open_interest; ``lifecycle``: code,
     listed, delisted; ``settlement``: date, code, settle_price (needed to trade).
@@ -295,7 +295,8 @@ def audit_futures(market: DataFrame, lifecycle: DataFrame, contracts: Sequence[s
     if trading and settlement is None:
         raise ContractError("a trading audit needs settlements")
     c = F.col
-    rows = market.where(c("code").isin(*contracts) & c("date").between(F.lit(start), F.lit(end)))
+    rows = market.where(c("date").between(F.lit(start), F.lit(end)))
+    rows = rows if contracts is None else rows.where(c("code").isin(*contracts))
     key = F.concat_ws(":", c("date").cast("string"), c("code"))
     finding = lambda df, issue, dataset, k, severity="fail": df.select(F.lit(issue).alias("issue"), F.lit(dataset).alias("dataset"), k.alias("key"), F.lit(severity).alias("severity"))
     positive = lambda x: F.coalesce((c(x) > 0) & ~F.isnan(c(x).cast("double")), F.lit(False))

@@ -12,12 +12,12 @@ from tidemark.sources.tables import scan
 
 #: Daily returns of nations: relative changes of the value ordered each day by customers of a nation.
 _RETURNS = """SELECT nation, day, total / LAG(total) OVER (PARTITION BY nation ORDER BY day) - 1 AS r, total FROM
- (SELECT c_nationkey AS nation, date_trunc('quarter', o_orderdate) AS day, ROUND(SUM(o_totalprice), 2) AS total FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate < TIMESTAMP '2001-07-01' GROUP BY 1, 2)"""
+ (SELECT c_nationkey AS nation, date_trunc('quarter', o_orderdate) AS day, ROUND(SUM(o_totalprice), 2) AS total FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2)"""
 
 
 def returns(spark: SparkSession, d: str) -> DataFrame:
     quarter = F.make_timestamp_ntz(F.year("o_orderdate"), (F.quarter("o_orderdate") * 3 - 2).cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    rows = scan(spark, d, "orders").where(F.col("o_orderdate") < F.lit("2001-07-01").cast("timestamp_ntz")).join(scan(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    rows = scan(spark, d, "orders").join(scan(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     totals = rows.groupBy(F.col("c_nationkey").alias("nation"), quarter.alias("day")).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
     w = Window.partitionBy("nation").orderBy("day")
     return totals.select("nation", "day", (F.col("total") / F.lag("total").over(w) - 1).alias("r"), "total")
@@ -43,10 +43,10 @@ def hac_mean(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "overlap_lag",
-    "WITH i AS (SELECT user_id, ts, ts + to_hours(CAST(12 + event_id % 60 AS BIGINT)) AS te FROM events WHERE user_id < 40) SELECT user_id, MAX(n) AS overlap_lag FROM (SELECT a.user_id, a.ts, COUNT(b.ts) AS n FROM i a LEFT JOIN i b ON b.user_id = a.user_id AND b.ts > a.ts AND b.ts < a.te GROUP BY 1, 2) GROUP BY 1",
+    "WITH i AS (SELECT user_id, ts, ts + to_hours(CAST(12 + event_id % 60 AS BIGINT)) AS te FROM events) SELECT user_id, MAX(n) AS overlap_lag FROM (SELECT a.user_id, a.ts, COUNT(b.ts) AS n FROM i a LEFT JOIN i b ON b.user_id = a.user_id AND b.ts > a.ts AND b.ts < a.te GROUP BY 1, 2) GROUP BY 1",
 )
 def overlap_lag(spark: SparkSession, d: str) -> DataFrame:
-    rows = scan(spark, d, "events").where("user_id < 40").select("user_id", "ts", (F.col("ts") + F.make_dt_interval(F.lit(0), (F.lit(12) + F.col("event_id") % 60).cast("int"))).alias("te"))
+    rows = scan(spark, d, "events").select("user_id", "ts", (F.col("ts") + F.make_dt_interval(F.lit(0), (F.lit(12) + F.col("event_id") % 60).cast("int"))).alias("te"))
     return statistics.overlap_lag(rows, ["user_id"], "ts", "te")
 
 
@@ -202,18 +202,18 @@ def comparable_runs(spark: SparkSession, d: str) -> DataFrame:
 
 # Validation ------------------------------------------------------------------------------------
 
-_SAMPLES = "SELECT o_orderkey AS sample_id, o_orderdate AS t, o_orderdate + INTERVAL 1 DAY AS ls, o_orderdate + to_days(CAST(2 + o_orderkey % 9 AS INTEGER)) AS le FROM orders WHERE o_orderdate < TIMESTAMP '1995-07-01'"
-_SESSIONS = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS session FROM orders WHERE o_orderdate < TIMESTAMP '1995-08-01'"
+_SAMPLES = "SELECT o_orderkey AS sample_id, o_orderdate AS t, o_orderdate + INTERVAL 1 DAY AS ls, o_orderdate + to_days(CAST(2 + o_orderkey % 9 AS INTEGER)) AS le FROM orders"
+_SESSIONS = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS session FROM orders"
 
 
 def samples(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("o_orderdate")
     end = t + F.make_dt_interval((F.lit(2) + F.col("o_orderkey") % 9).cast("int"))
-    return scan(spark, d, "orders").where(t < F.lit("1995-07-01").cast("timestamp_ntz")).select(F.col("o_orderkey").alias("sample_id"), t.alias("observation_time"), t.alias("decision_time"), (t + F.expr("interval 1 day")).alias("label_start"), end.alias("label_end"), end.alias("label_available"))
+    return scan(spark, d, "orders").select(F.col("o_orderkey").alias("sample_id"), t.alias("observation_time"), t.alias("decision_time"), (t + F.expr("interval 1 day")).alias("label_start"), end.alias("label_end"), end.alias("label_available"))
 
 
 def sessions(spark: SparkSession, d: str) -> DataFrame:
-    return scan(spark, d, "orders").where(F.col("o_orderdate") < F.lit("1995-08-01").cast("timestamp_ntz")).select(F.col("o_orderdate").cast("date").alias("session")).distinct()
+    return scan(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("session")).distinct()
 
 
 @register(
@@ -227,19 +227,19 @@ def purged_kfold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _walk_sql(first: str) -> str:
-    return f"""WITH s AS ({_SAMPLES}), c AS (SELECT session, ROW_NUMBER() OVER (ORDER BY session) AS n FROM ({_SESSIONS})), o AS (SELECT UNNEST(range(0, 400, 30)) AS o), f AS (SELECT ROW_NUMBER() OVER (ORDER BY o) AS fold, {first} AS a, o + 60 AS b, o + 80 AS c, o + 82 AS d, o + 97 AS e FROM o WHERE o + 97 <= (SELECT MAX(n) FROM c)),
+    return f"""WITH s AS ({_SAMPLES}), c AS (SELECT session, ROW_NUMBER() OVER (ORDER BY session) AS n FROM ({_SESSIONS})), o AS (SELECT UNNEST(range(0, 4000, 250)) AS o), f AS (SELECT ROW_NUMBER() OVER (ORDER BY o) AS fold, {first} AS a, o + 500 AS b, o + 620 AS c, o + 625 AS d, o + 685 AS e FROM o WHERE o + 685 <= (SELECT MAX(n) FROM c)),
 r AS (SELECT f.fold, s.sample_id, s.t, s.le, CASE WHEN n <= b THEN 'train' WHEN n <= f.c THEN 'validation' WHEN n <= d THEN 'embargoed' ELSE 'test' END AS part FROM s JOIN c ON c.session = CAST(s.t AS DATE) JOIN f ON n BETWEEN a AND e),
 x AS (SELECT *, MIN(CASE WHEN part = 'validation' THEN t END) OVER (PARTITION BY fold) AS v, MIN(CASE WHEN part = 'test' THEN t END) OVER (PARTITION BY fold) AS w FROM r)
 SELECT fold, sample_id, CASE WHEN part = 'train' AND NOT (le < v AND le <= v) THEN 'purged' WHEN part = 'validation' AND NOT (le < w AND le <= w) THEN 'purged' ELSE part END AS role FROM x"""
 
 
-register("walk_forward_expanding", _walk_sql("1"))(lambda spark, d: validation.walk_forward(samples(spark, d), sessions(spark, d), 60, 20, 15, 30, 2, True))
-register("walk_forward_rolling", _walk_sql("o + 1"))(lambda spark, d: validation.walk_forward(samples(spark, d), sessions(spark, d), 60, 20, 15, 30, 2, False))
+register("walk_forward_expanding", _walk_sql("1"))(lambda spark, d: validation.walk_forward(samples(spark, d), sessions(spark, d), 500, 120, 60, 250, 5, True))
+register("walk_forward_rolling", _walk_sql("o + 1"))(lambda spark, d: validation.walk_forward(samples(spark, d), sessions(spark, d), 500, 120, 60, 250, 5, False))
 
 
 @register("nested_validation")
 def nested_validation(spark: SparkSession, d: str) -> DataFrame:
-    outer = validation.walk_forward(samples(spark, d), sessions(spark, d), 60, 20, 15, 30, 2, True)
+    outer = validation.walk_forward(samples(spark, d), sessions(spark, d), 500, 120, 60, 250, 5, True)
     out = validation.nested(samples(spark, d), sessions(spark, d), outer, 3, 1)
     return out.groupBy("outer_fold", "inner_fold", "role").agg(F.count(F.lit(1)).alias("samples"))
 
@@ -349,13 +349,13 @@ def session_offset(spark: SparkSession, d: str) -> DataFrame:
     return causal.session_at_offset(sessions(spark, d), "session", 5, "fifth")
 
 
-@register("completed_bar_trace", "SELECT event_id, ts AS event_time, ts + INTERVAL 1 MINUTE AS observation_time, ts + INTERVAL 1 MINUTE AS available_time FROM events WHERE user_id < 20")
+@register("completed_bar_trace", "SELECT event_id, ts AS event_time, ts + INTERVAL 1 MINUTE AS observation_time, ts + INTERVAL 1 MINUTE AS available_time FROM events")
 def completed_bar_trace(spark: SparkSession, d: str) -> DataFrame:
-    rows = scan(spark, d, "events").where("user_id < 20").select("event_id", "ts", (F.col("ts") + F.expr("interval 1 minute")).alias("end"))
+    rows = scan(spark, d, "events").select("event_id", "ts", (F.col("ts") + F.expr("interval 1 minute")).alias("end"))
     return causal.completed_bar_trace(rows, "ts", "end").select("event_id", "event_time", "observation_time", "available_time")
 
 
-@register("label_time_rules", "SELECT COUNT(*) AS labels FROM orders WHERE o_orderdate < TIMESTAMP '1995-07-01'")
+@register("label_time_rules", "SELECT COUNT(*) AS labels FROM orders")
 def label_time_rules(spark: SparkSession, d: str) -> DataFrame:
     return causal.require_future(samples(spark, d), "decision_time", "label_start", "label_end", "label_available").agg(F.count(F.lit(1)).alias("labels"))
 

@@ -99,13 +99,13 @@ def session_reconcile(spark: SparkSession, d: str) -> DataFrame:
 
 # Adjustment: parts as instruments, one action for each line status day -------------------------
 
-_ACTIONS = """SELECT CAST(p_partkey % 50 AS VARCHAR) AS instrument, TIMESTAMP '2024-01-05 09:30:00' + to_days(CAST(p_partkey % 11 AS INTEGER)) AS effective_at, TIMESTAMP '2024-01-04 00:00:00' + to_days(CAST(p_partkey % 13 AS INTEGER)) AS available, CAST(p_size AS DECIMAL(18,4)) / 100 AS cash, CASE WHEN p_size % 5 = 0 THEN 1.5 ELSE 1.0 END AS ratio, CAST(p_retailprice AS DECIMAL(18,2)) AS previous_close FROM part WHERE p_partkey < 400"""
+_ACTIONS = """SELECT CAST(p_partkey // 4 AS VARCHAR) AS instrument, TIMESTAMP '2024-01-05 09:30:00' + to_days(CAST(p_partkey % 11 AS INTEGER)) AS effective_at, TIMESTAMP '2024-01-04 00:00:00' + to_days(CAST(p_partkey % 13 AS INTEGER)) AS available, CAST(p_size AS DECIMAL(18,4)) / 100 AS cash, CASE WHEN p_size % 5 = 0 THEN 1.5 ELSE 1.0 END AS ratio, CAST(p_retailprice AS DECIMAL(18,2)) AS previous_close FROM part"""
 
 
 def actions(spark: SparkSession, d: str) -> DataFrame:
     day = lambda start, n: F.lit(start).cast("timestamp_ntz") + F.make_dt_interval((F.col("p_partkey") % n).cast("int"))
-    return scan(spark, d, "part").where("p_partkey < 400").select(
-        (F.col("p_partkey") % 50).cast("string").alias("instrument"), day("2024-01-05 09:30:00", 11).alias("effective_at"), day("2024-01-04 00:00:00", 13).alias("available"),
+    return scan(spark, d, "part").select(
+        F.floor(F.col("p_partkey") / 4).cast("string").alias("instrument"), day("2024-01-05 09:30:00", 11).alias("effective_at"), day("2024-01-04 00:00:00", 13).alias("available"),
         (F.col("p_size").cast("decimal(18,4)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,4)").alias("cash"), F.when(F.col("p_size") % 5 == 0, 1.5).otherwise(1.0).alias("ratio"), F.col("p_retailprice").cast("decimal(18,2)").alias("previous_close"),
     )
 
@@ -126,13 +126,13 @@ def factor_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _adjust_sql(base: str) -> str:
-    return f"""{_FACTORS}, raw AS ({BARS}), b AS (SELECT * FROM raw WHERE CAST(code AS INT) < 50 AND dt >= TIMESTAMP '{START}' AND dt < TIMESTAMP '{END}')
+    return f"""{_FACTORS}, raw AS ({BARS}), b AS (SELECT * FROM raw WHERE dt >= TIMESTAMP '{START}' AND dt < TIMESTAMP '{END}')
 SELECT b.code, b.dt, ROUND(b.close * f.factor / {base}, 5) AS close, ROUND(b.volume / (f.factor / {base}), 5) AS volume, ROUND(b.money, 5) AS money FROM b JOIN f ON f.instrument = b.code AND b.dt >= f.segment_start AND b.dt < f.segment_end"""
 
 
 def _adjusted(spark, d, **mode) -> DataFrame:
     lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
-    rows = minute_bars(spark, d).where((F.col("code").cast("int") < 50) & (F.col("dt") >= lit(START)) & (F.col("dt") < lit(END)))
+    rows = minute_bars(spark, d).where((F.col("dt") >= lit(START)) & (F.col("dt") < lit(END)))
     return rounded(bars.adjust(rows, factors(spark, d), **mode), "close", "volume", "money", digits=5).select("code", "dt", "close", "volume", "money")
 
 
@@ -162,12 +162,11 @@ def bars_quality(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "bars_expected_slots",
-    f"""{_WITH}, m AS (SELECT * FROM b WHERE CAST(code AS INT) < 3), w AS (SELECT DISTINCT m.code, s.start, s."end", s.trading_date FROM (SELECT DISTINCT code, trading_date FROM m) m JOIN seg s USING (trading_date))
-SELECT code, COUNT(*) - (SELECT COUNT(*) FROM m x WHERE x.code = w.code) AS missing FROM w, range(1, date_diff('minute', start, "end") + 1) r(k) GROUP BY code""",
+    f"""{_WITH}, m AS (SELECT * FROM b), w AS (SELECT DISTINCT m.code, s.start, s."end", s.trading_date FROM (SELECT DISTINCT code, trading_date FROM m) m JOIN seg s USING (trading_date)),
+n AS (SELECT code, CAST(SUM(date_diff('minute', start, "end")) AS BIGINT) AS slots FROM w GROUP BY 1) SELECT n.code, n.slots - h.have AS missing FROM n JOIN (SELECT code, COUNT(*) AS have FROM m GROUP BY 1) h USING (code)""",
 )
 def bars_expected_slots(spark: SparkSession, d: str) -> DataFrame:
-    rows = minute_bars(spark, d).where(F.col("code").cast("int") < 3)
-    issues = bars.quality_issues(rows, segments(spark, d)).where("issue = 'minute.session.missing_expected_bar'")
+    issues = bars.quality_issues(minute_bars(spark, d), segments(spark, d)).where("issue = 'minute.session.missing_expected_bar'")
     return issues.groupBy("code").agg(F.count(F.lit(1)).alias("missing"))
 
 
