@@ -54,7 +54,7 @@ PLACES, CHUNK, LIMIT = 64, 4, 31
 CHUNKS = PLACES // CHUNK
 PERCENT = 75
 #: Least classes in a block of a key, classes and bytes of sets in a block of a cluster.
-BLOCK, CLUSTER_BLOCK, CLUSTER_BYTES = 128, 128, 16 << 20
+BLOCK, CLUSTER_BLOCK, CLUSTER_BYTES = 128, 128, 4 << 20
 
 _MASK = (1 << 64) - 1
 
@@ -145,7 +145,9 @@ def _keys(reps: DataFrame) -> DataFrame:
         keys = keys_of(_sigs(batch.column(1).to_pylist()))
         return {"key": pa.array(keys.ravel()), "rep": pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), PLACES))}
 
-    return map_batches(reps.select("rep", "sig"), run, "key long, rep long")
+    # every class makes PLACES rows: many small tasks, lest a task's counts of keys fill its memory
+    parts = max(1, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return map_batches(reps.select("rep", "sig").repartition(parts, "rep"), run, "key long, rep long")
 
 
 class _Bitmap:
