@@ -19,7 +19,8 @@ def test_every_operator_has_one_query():
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_rows_are_those_of_the_sql(spark, name):
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = c.execute(queries.oracle_sql()[name])
     columns = [x[0] for x in found.description]
     want = sorted(found.fetchall())

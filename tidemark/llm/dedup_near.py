@@ -412,3 +412,19 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
+
+
+#: The same rows in DuckDB, from an index of all shingles.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ') || '#' || CAST(len(w) AS VARCHAR)]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS x FROM d
+), n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS u, b.doc_id AS w, COUNT(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT p.u, p.w FROM p JOIN n a ON a.doc_id = p.u JOIN n b ON b.doc_id = p.w WHERE 100 * k >= 75 * (a.n + b.n - k)),
+r(u, w) AS (SELECT u, w FROM l UNION SELECT r.u, l.w FROM r JOIN l ON r.w = l.u), c AS (SELECT u, MIN(w) AS m FROM r GROUP BY 1)
+SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, LEAST(d.doc_id, COALESCE(m, d.doc_id)) AS component_id, d.doc_id = LEAST(d.doc_id, COALESCE(m, d.doc_id)) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.u = d.doc_id
+"""

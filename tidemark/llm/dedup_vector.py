@@ -230,3 +230,19 @@ def vector_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
 def op10_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup(table(spark, sf_dir, "embeddings"))
+
+
+#: The same rows in DuckDB, all pairs of a label against each other.
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), r(u, w) AS (SELECT u, w FROM l UNION SELECT r.u, l.w FROM r JOIN l ON r.w = l.u),
+n AS (SELECT u, COUNT(*) AS n FROM l GROUP BY 1), c AS (SELECT u, MIN(w) AS m FROM r GROUP BY 1)
+SELECT vec_id, COALESCE(n, 0) AS n_links, LEAST(vec_id, COALESCE(m, vec_id)) AS component_id, vec_id = LEAST(vec_id, COALESCE(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN c ON c.u = vec_id
+"""

@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": dedup_exact.ORACLE}
+    return {"op4_exact_dedup": dedup_exact.ORACLE, "op8_minhash": dedup_near.ORACLE, "op10_vector_join": dedup_vector.ORACLE}
