@@ -20,15 +20,22 @@ from tidemark.operators.windows import session_index
 
 
 def fold_blocks(samples: DataFrame, folds: int, time: str = "observation_time") -> DataFrame:
-    """``fold`` from 1: consecutive blocks in order of time, the first ones a row longer where uneven."""
+    """``fold`` from 1: consecutive blocks in order of time, the first ones a row longer where uneven.
+
+    A sample's place is the number of samples at earlier times, a running sum over the distinct times,
+    and its place among those of its own time; samples themselves are never sorted in one task.
+    """
     if folds < 2:
         raise ContractError("at least two folds")
-    w = Window.orderBy(time, "sample_id")
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    k = F.row_number().over(w) - 1
+    at = samples.groupBy(F.col(time).alias("__t")).agg(F.count(F.lit(1)).alias("__m"))
+    before = F.sum("__m").over(Window.orderBy("__t").rowsBetween(Window.unboundedPreceding, -1))
+    at = at.select("__t", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__m").over(Window.partitionBy()).alias("__all"))
+    placed = samples.join(at, F.col(time).eqNullSafe(F.col("__t")))
+    n = F.col("__all")
+    k = F.col("__before") + F.row_number().over(Window.partitionBy(time).orderBy("sample_id")) - 1
     small, longer = F.floor(n / folds), F.pmod(n, F.lit(folds))
     block = F.when(k < longer * (small + 1), F.floor(k / (small + 1))).otherwise(longer + F.floor((k - longer * (small + 1)) / F.greatest(small, F.lit(1))))
-    return samples.withColumn("fold", (block + 1).cast("int"))
+    return placed.withColumn("fold", (block + 1).cast("int")).drop("__t", "__before", "__all")
 
 
 def purged_kfold(samples: DataFrame, calendar: DataFrame, folds: int, embargo: int = 0, date: str = "session") -> DataFrame:
