@@ -41,15 +41,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def written(df: DataFrame, what: str = "t") -> DataFrame:
+def written(df: DataFrame, what: str = "t", slim: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
+    A ``slim`` table (a few numbers a row) goes to an eighth of the shuffle's partitions, because
+    every file costs calls to the store.
+
     This cuts the lineage: a lost executor costs a re-read, not a recomputation, and later plans
     prune columns of the written table.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tidemark/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    out = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if slim else df
+    out.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out

@@ -29,30 +29,25 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` has two long columns ``u`` and ``v``. Direction and repeats do not matter; links with
     a null end or from a node to itself link nothing.
     """
-    edges = written(links.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
+    edges = written(links.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links", slim=True)
     labels = None
     while not edges.isEmpty():
-        parent = written(_both(edges).groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("label"), F.least("u", "low").alias("parent")), "parent")
+        parent = _both(edges).groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("label"), F.least("u", "low").alias("parent"))
         for _ in range(2):
             up = parent.select(F.col("label").alias("mid"), F.col("parent").alias("top"))
-            jumped = written(parent.join(up, parent["parent"] == up["mid"]).select("label", F.col("top").alias("parent")), "parent")
-            release(parent)
-            parent = jumped
+            parent = parent.join(up, parent["parent"] == up["mid"]).select("label", F.col("top").alias("parent"))
+        parent = written(parent, "parent", slim=True)
         if labels is None:
-            labels, old = parent.select(F.col("label").alias("node"), F.col("parent").alias("component")), None
-            labels = written(labels, "labels")
+            labels = written(parent.select(F.col("label").alias("node"), F.col("parent").alias("component")), "labels", slim=True)
         else:
             old = labels
-            labels = written(
-                old.join(parent, old["component"] == parent["label"], "left").select("node", F.coalesce("parent", "component").alias("component")), "labels"
-            )
+            labels = written(old.join(parent, old["component"] == parent["label"], "left").select("node", F.coalesce("parent", "component").alias("component")), "labels", slim=True)
             release(old)
         left = parent.select(F.col("label").alias("u"), F.col("parent").alias("pu"))
         right = parent.select(F.col("label").alias("v"), F.col("parent").alias("pv"))
-        moved = written(edges.join(left, "u").select("v", "pu"), "links")
-        again = moved.join(right, "v").where("pu <> pv")
-        nxt = written(again.select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct(), "links")
-        release(edges, moved, parent)
+        moved = edges.join(left, "u").select("v", "pu").join(right, "v").where("pu <> pv")
+        nxt = written(moved.select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct(), "links", slim=True)
+        release(edges, parent)
         edges = nxt
     release(edges)
     if labels is None:

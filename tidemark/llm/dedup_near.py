@@ -271,7 +271,7 @@ def _within(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels (rep, cluster) after clusters joined by ``edges`` (u, v) became one."""
     found = components(edges)
-    out = written(labels.join(found, labels["cluster"] == found["node"], "left").select("rep", F.coalesce("component", "cluster").alias("cluster")), "labels")
+    out = written(labels.join(found, labels["cluster"] == found["node"], "left").select("rep", F.coalesce("component", "cluster").alias("cluster")), "labels", slim=True)
     release(found, labels)
     return out
 
@@ -280,7 +280,7 @@ def _sides(members: DataFrame) -> DataFrame:
     """Keys of ``members`` (key, rep, comp) that lie in several clusters: key, n, major, n_minor."""
     each = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     keys = each.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("best"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return written(keys.select("key", "n", F.col("best.comp").alias("major"), (F.col("n") - F.col("best.c")).alias("n_minor")), "sides")
+    return keys.select("key", "n", F.col("best.comp").alias("major"), (F.col("n") - F.col("best.c")).alias("n_minor"))
 
 
 def _more(shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
@@ -292,18 +292,17 @@ def _more(shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     members = written(shared.join(labels.toDF("r", "comp"), shared["rep"] == F.col("r")).select("key", "rep", "comp"), "members")
     keys = _sides(members)
     big = keys.select(F.col("key").alias("k"), "major")
-    minors = written(members.join(big, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("major"))).select("key", "rep", "comp", "major"), "minors")
-    release(members, keys)
+    minors = written(members.join(big, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("major"))).select("key", "rep", "comp", "major"), "minors", slim=True)
+    release(members)
     asking = minors.select(F.col("major").alias("key"), "rep", "comp").distinct()
     wanted = asking.select(F.col("key").alias("k")).distinct()
     bodies = labels.join(wanted, F.col("cluster") == F.col("k"), "left_semi").select(F.col("cluster").alias("key"), "rep", F.col("cluster").alias("comp"))
     out = None
     for rows in (asking.unionByName(bodies), minors.select("key", "rep", "comp")):
-        rows = written(rows.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "comp", "sig"), "sides")
-        pairs = written(_across(rows, _sides(rows)).distinct(), "edges")
-        release(rows)
+        rows = written(rows.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "comp", "sig"), "sides", slim=True)
+        pairs = _across(rows, _sides(rows))
         out = pairs if out is None else out.unionByName(pairs)
-    return written(out, "edges")
+    return written(out.distinct(), "edges", slim=True)
 
 
 def clusters_of(reps: DataFrame) -> DataFrame:
@@ -314,10 +313,10 @@ def clusters_of(reps: DataFrame) -> DataFrame:
     many = counted.where("n > 2").select(F.col("key").alias("k"), "centre")
     shared = written(keyed.join(many, F.col("key") == F.col("k")).select("key", "rep", "centre"), "shared")
     star = shared.where("rep <> centre").select(F.least("rep", "centre").alias("u"), F.greatest("rep", "centre").alias("v"))
-    pairs = written(counted.where("n = 2").select("u", "v").unionByName(star).distinct().select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv")), "pairs")
+    pairs = counted.where("n = 2").select("u", "v").unionByName(star).distinct().select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv"))
     labels = written(reps.select("rep", F.col("rep").alias("cluster")), "labels")
     labels = _merged(labels, _within(pairs, reps))
-    release(pairs, counted)
+    release(counted)
     shared = shared.select("key", "rep")
     while True:
         more = _more(shared, labels, reps)
@@ -358,7 +357,7 @@ def links_of(reps: DataFrame, clusters: DataFrame, docs: DataFrame) -> DataFrame
     """
     placed = clusters.join(reps.toDF(*[f"r_{c}" if c == "rep" else c for c in reps.columns]), F.col("rep") == F.col("r_rep")).drop("r_rep")
     sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("items"))
-    sizes = written(sizes.select(F.col("cluster").alias("c"), F.expr(f"cast(greatest(ceil(n / {CLUSTER_BLOCK}), ceil(items * 8 / {CLUSTER_BYTES})) as int)").alias("blocks")), "sizes")
+    sizes = sizes.select(F.col("cluster").alias("c"), F.expr(f"cast(greatest(ceil(n / {CLUSTER_BLOCK}), ceil(items * 8 / {CLUSTER_BYTES})) as int)").alias("blocks"))
     placed = placed.join(sizes, F.col("cluster") == F.col("c")).select("rep", "cluster", "n_shingles", "p", "q", "sig", "blocks", F.expr("cast(pmod(xxhash64(rep, 5), blocks) as int)").alias("mine"))
     placed = written(placed, "placed")
     texts = _Bitmap(placed.select(F.col("rep").alias("id")))(docs, "doc_id").join(placed, F.col("doc_id") == F.col("rep"))
@@ -401,10 +400,8 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     sets = written(sets_of(rows, "doc_id", "text"), "sets")
     classes = sets.where("p is not null and doc_id is not null").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
     reps = written(classes, "classes")
-    links = written(links_of(reps, written(clusters_of(reps), "clusters"), rows), "links")
-    found = components(links)
+    found = components(links_of(reps, clusters_of(reps), rows))
     labelled = reps.join(found.toDF("r", "component"), F.col("rep") == F.col("r"), "left").select(F.col("p").alias("cp"), F.col("q").alias("cq"), F.col("n_shingles").alias("cn"), F.coalesce("component", "rep").alias("component"))
-    labelled = written(labelled, "labelled")
     joined = sets.join(labelled, (F.col("p") == F.col("cp")) & (F.col("q") == F.col("cq")) & (F.col("n_shingles") == F.col("cn")), "left")
     component = F.coalesce("component", "doc_id")
     return joined.select(F.col("doc_id").alias(key), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
