@@ -95,6 +95,24 @@ def test_article_text_that_recurs_is_kept(spark):
     assert {t for *_, t in run(spark, rows)} == {"The same story again."}
 
 
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_boilerplate_inside_the_article_is_deleted(spark, sent):
+    page_of = lambda k, top: (k, f"http://d.example/{k}", f"<{top}><h1>Page {k}</h1><p class='by'>By us</p><div class='ad'>Buy</div><h3>Words</h3><p>Own words of page {k}, which are plain.</p><div>All rights held by us</div><h2>On us</h2><div><p>We write</p></div><ul><li>yes</li><li>{k}</li></ul></{top.split()[0]}>")
+    rows = [page_of(k, ("article", "main", "div id=content")[k % 3]) for k in range(24)]
+    assert {k: t for k, _, t in run(spark, rows, sent=sent)} == {k: f"Page {k}\n\nWords\n\nOwn words of page {k}, which are plain.\n\nyes\n\n{k}" for k in range(24)}
+
+
+def test_whole_repeated_articles_are_kept(spark):
+    copies = [(k, f"http://e.example/{k}", f"<article>{''.join(f'<p>Part {n} of the story.</p>' for n in range(5))}</article>") for k in range(20)]
+    nearly = [(k, f"http://f.example/{k}", f"<article>{''.join(f'<p>Part {n} of the story.</p>' for n in range(9))}<p>No {k}</p></article>") for k in range(20)]
+    assert all(t.count("Part") == 5 for *_, t in run(spark, copies)) and all(t.count("Part") == 9 for *_, t in run(spark, nearly))
+
+
+def test_many_pages_make_a_template_on_a_large_host(spark):
+    rows = [(k, "http://g.example/", f"<article><p>Own words number {k} of this page.</p><p>{'Held by us' if k < 100 else k}</p></article>") for k in range(500)]
+    assert not any("Held" in t for *_, t in run(spark, rows))
+
+
 def test_edges_of_the_input(spark):
     rows = [(1, None, None), (2, "http://x.example", ""), (None, "http://[bad", "<p>a"), (4, "", "<p>b"), (4, "", "<p>b")]
     assert run(spark, rows) == sorted([(1, None, ""), (2, "http://x.example", ""), (None, "http://[bad", "a"), (4, "", "b"), (4, "", "b")], key=str)

@@ -1,13 +1,18 @@
 """Main text of web pages, with site templates removed by counting subtrees per host.
 
-Pass one parses every page, hashes each block-level subtree outside the page's article (tag,
-attributes, text and children; the host is part of the hash) and counts in Spark on how many pages
-of the host it stands. A subtree is template if it stands on at least ``LEAST_PAGES`` pages and a
-share of ``LEAST_SHARE`` of the host's pages. Pass two parses again, deletes template subtrees and
+Pass one parses every page, hashes each block-level subtree (tag, attributes, text and children;
+the host is part of the hash) and counts in Spark on how many pages of the host it stands. A
+subtree is template if it stands on at least ``LEAST_PAGES`` pages and on a share of
+``LEAST_SHARE`` of the host's pages or on ``MANY_PAGES`` of them. Pass two parses again, deletes template subtrees and
 what its markup says is no article (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments), and takes the text of the rest: of the article if the page
 marks one (``article``, else ``main`` and its like), else of the body without blocks of links.
-The article itself is never searched for templates, so text that recurs on a host is kept there.
+
+Inside the marked article a subtree counts once for each distinct article, so that copies of one
+article make no template of its paragraphs. There a template subtree goes unless it holds at least
+``WHOLE`` of the article's letters, and none goes if less than ``OWN`` of the letters would be
+left: both tell an article that is repeated as a whole. List items, table rows and cells recur as
+data and go only with their list or table; a template heading goes only if the next element goes.
 
 Template hashes go to the executors as one sorted array if there are at most ``SENT`` (8 MB); a
 larger number is joined to the pages' own subtrees by hash and gathered per page instead. Both
@@ -37,6 +42,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, map_batches, table, texts_of, written
 
 LEAST_PAGES, LEAST_SHARE, SENT = 8, 0.25, 1 << 20
+#: Pages from which a subtree is template whatever its share of the host.
+MANY_PAGES = 100
+#: Shares of an article's letters: of one subtree that is never template, and least left of the article's own.
+WHOLE, OWN = 0.5, 0.2
 
 #: Fixed values of HTML: elements without content, raw text, blocks, and what ends an open p.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,6 +80,9 @@ PARTS = frozenset(
     "skiplink topbar bottombar alert".split()
 )
 HEADERS = frozenset(("header", "topbar", "masthead"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Blocks that are parts of a larger one, whose small values recur as data.
+PIECES = frozenset("li dt dd tr td th tbody thead tfoot caption legend summary figcaption".split())
 CONTENT = frozenset(("article", "articlebody", "content", "main", "maincontent", "post", "postbody", "entry", "story", "storybody"))
 
 TOKEN = re.compile(
@@ -251,15 +263,65 @@ def host_hash(url: str | None) -> int | None:
     return xxhash.xxh3_64_intdigest(host) if host else None
 
 
-def subtrees(html: str, url: str | None) -> set[int]:
-    """Hashes of the block-level subtrees of a page outside its article."""
+def inside(article: Node) -> list[Node]:
+    """The nodes within an article that hold its text, in page order."""
+    out, todo = [], list(reversed(article.children))
+    while todo:
+        node = todo.pop()
+        if isinstance(node, Node) and not no_article(node, True):
+            out.append(node)
+            todo += reversed(node.children)
+    return out
+
+
+def counted(node: Node) -> bool:
+    """Whether a node within an article may be template."""
+    return node.tag in BLOCK and node.tag not in PIECES
+
+
+def hashes(html: str, url: str | None) -> tuple[set[int], set[int], int]:
+    """Hashes of a page's block-level subtrees outside and only inside its article, and the article's own."""
     host = host_hash(url)
     if host is None or not html:
-        return set()
+        return set(), set(), 0
     root = parse(html)
     article = article_of(root)
     around = [n for n in outside(root, lambda n: n is article or n.tag in NO_TEXT) if n is not article and n.tag in BLOCK and n.tag not in NO_TEXT and n.tag not in ("html", "body")]
-    return {in_host(host, n.digest) for n in around}
+    out = {in_host(host, n.digest) for n in around}
+    if article is None:
+        return out, set(), 0
+    return out, {in_host(host, n.digest) for n in inside(article) if counted(n)} - out, in_host(host, article.digest)
+
+
+def subtrees(html: str, url: str | None) -> set[int]:
+    """Hashes of the block-level subtrees of a page."""
+    out, within, _ = hashes(html, url)
+    return out | within
+
+
+def repeated(article: Node, host: int, is_template) -> set[Node]:
+    """The nodes within an article that are a host's template and not the article's own text."""
+    nodes = inside(article)
+    found = {n for n in nodes if counted(n) and is_template(in_host(host, n.digest))}
+    if not found:
+        return found
+    size: dict[Node, int] = {}
+    for node in (*reversed(nodes), article):  # children before parents
+        size[node] = sum(size.get(c, 0) if isinstance(c, Node) else len("".join(c.split())) for c in node.children)
+    total = size[article]
+    found = {n for n in found if size[n] < WHOLE * total}
+    gone = {n for n in found if n.tag not in HEADINGS}
+    lost, todo = 0, [article]
+    while todo:
+        children = [c for c in todo.pop().children if isinstance(c, Node) and c in size]
+        headed = False
+        for child in reversed(children):  # a heading goes with what it heads
+            if headed and child in found and child.tag in HEADINGS:
+                gone.add(child)
+            headed = child in gone
+        lost += sum(size[c] for c in children if c in gone)
+        todo += [c for c in children if c not in gone]
+    return gone if total - lost >= OWN * total else set()
 
 
 def extract(html: str, url: str | None, is_template) -> str:
@@ -268,6 +330,7 @@ def extract(html: str, url: str | None, is_template) -> str:
         return ""
     root, host = parse(html), host_hash(url)
     article = article_of(root)
+    gone = set() if article is None or host is None else repeated(article, host, is_template)
     blocks: list[str] = []
     held: list[str] = []
     linked = [0, 0]  # characters of the block, and of links in it
@@ -291,7 +354,7 @@ def extract(html: str, url: str | None, is_template) -> str:
         if node is None:
             flush()
             continue
-        if node is not article and no_article(node, leave):
+        if node in gone or (node is not article and no_article(node, leave)):
             continue
         block = node.tag in BLOCK
         if article is None and block and host is not None and node.tag not in ("html", "body") and is_template(in_host(host, node.digest)):
@@ -312,19 +375,22 @@ def _templates(pages: DataFrame) -> DataFrame:
     """(hash) of the template subtrees of all hosts. ``pages``: url, html."""
 
     def count(batch: pa.RecordBatch) -> dict:
-        out = {"host": [], "hash": []}
+        out = {"host": [], "hash": [], "article": []}
         for url, html in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
             host = host_hash(url)
             if host is not None:
-                found = [0, *subtrees(html, url)]
-                out["hash"] += found  # 0 stands for the page itself
-                out["host"] += [host - (1 << 63)] * len(found)
+                around, within, article = hashes(html, url)
+                out["hash"] += [0, *around, *within]  # 0 stands for the page itself
+                out["article"] += [None] * (1 + len(around)) + [article] * len(within)
+                out["host"] += [host - (1 << 63)] * (1 + len(around) + len(within))
         return out
 
-    counts = map_batches(pages.select("url", "html"), count, "host long, hash long").groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    each = map_batches(pages.select("url", "html"), count, "host long, hash long, article long").groupBy("host", "hash", "article").agg(F.count(F.lit(1)).alias("n"))
+    counts = each.groupBy("host", "hash").agg(F.sum(F.when(F.col("article").isNull(), F.col("n")).otherwise(1)).alias("n"))
     counts = written(counts.where(f"n >= {LEAST_PAGES}"), "subtrees")
     size = counts.where("hash = 0").select(F.col("host").alias("h"), F.col("n").alias("pages"))
-    return counts.where("hash <> 0").join(size, F.col("host") == F.col("h")).where(F.col("n") >= F.col("pages") * LEAST_SHARE).select("hash").distinct()
+    many = F.least(F.col("pages") * LEAST_SHARE, F.lit(float(MANY_PAGES)))
+    return counts.where("hash <> 0").join(size, F.col("host") == F.col("h")).where(F.col("n") >= many).select("hash").distinct()
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", sent: int = SENT) -> DataFrame:
@@ -351,9 +417,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
         def own(batch: pa.RecordBatch) -> dict:
             out = {"key": [], "hash": []}
             for k, u, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), strict=True):
-                hashes = subtrees(h, u)
-                out["hash"] += hashes
-                out["key"] += [k] * len(hashes)
+                found = subtrees(h, u)
+                out["hash"] += found
+                out["key"] += [k] * len(found)
             return out
 
         each = map_batches(rows, own, f"key {kind}, hash long").join(templates.withColumnRenamed("hash", "t"), F.col("hash") == F.col("t"))
