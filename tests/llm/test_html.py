@@ -52,6 +52,38 @@ def test_hostile_markup_is_linear():
         assert time.time() - start < 20, markup[:20]
 
 
+def test_long_attribute_values_stay_in_their_tag():
+    for size in (100, 5000, 300_000):
+        for quote in "\"'":
+            value = "x" * size + " <b>junk</b> </article><script>tail"
+            assert text(f"<article><p data-x={quote}{value}{quote}>real</p><p srcdoc={quote}a>b{quote} {'k ' * size}>more</p></article>") == "real\n\nmore"
+    assert text("<p " + "a='>' " * 500 + ">x</p>") == "x"
+    assert text("<p title='it" + "x" * 5000 + ">y</p>") == "y"
+
+
+def test_tokens_are_those_of_a_plain_scan():
+    import random
+    import re
+
+    plain = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S)
+    rng = random.Random(5)
+    pieces = ["<", "<a", "</b", ">", '"', "'", " ", "x=", "/", "<!", "<!--", "-->", "<![CDATA[", "]]>", "<?", "q" * 70, "é", "\n", "z" * 300, "=' '"]
+    for _ in range(20_000):
+        markup = "".join(rng.choice(pieces) for _ in range(rng.randrange(30)))
+        tokens, at, got = page.Tokens(markup), 0, []
+        while found := tokens.next(at):
+            got.append(found)
+            at = found[1]
+        assert got == [(*m.span(), m[1] or "", m[2], m[3] or "") for m in plain.finditer(markup)], markup
+
+
+def test_hostile_quotes_are_linear():
+    for markup in ("<a href='" * 60_000 + ">'", '<a "' * 60_000 + '>"', "<a \"'" * 60_000 + ">\"'", "<a" * 100_000 + " \">\"", "<!" * 200_000, "<a " * 100_000 + "'>'", "<a '\"" * 60_000 + "<b '>' \">\""):
+        start = time.time()
+        page.parse(markup)
+        assert time.time() - start < 20, markup[:20]
+
+
 def site(n, boiler=True):
     out = []
     for k in range(n):

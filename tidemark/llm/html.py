@@ -85,10 +85,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 PIECES = frozenset("li dt dd tr td th tbody thead tfoot caption legend summary figcaption".split())
 CONTENT = frozenset(("article", "articlebody", "content", "main", "maincontent", "post", "postbody", "entry", "story", "storybody"))
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4096}+"|'[^']{0,4096}+'|["'])*+)>""",
-    re.S,
-)
+#: Most tags. Its bounds only keep a failed try short: what it does not match goes to ``Tokens.tag``.
+SHORT_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]{0,64}+)(?=[\s/>])((?:[^>"']{1,256}+|"[^"]{0,256}+"|'[^']{0,256}+'){0,16}+)>""")
+NAME_END = re.compile(r"[\s/>]")
+SPECIAL = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]++)\s*+(?:=\s*+("[^"]*"|'[^']*'|[^\s>"']++))?""")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
@@ -109,6 +109,68 @@ class Node:
         self.digest = h.intdigest()
 
 
+class Tokens:
+    """The tags, comments and declarations of a page, found in linear time without a bound on their length.
+
+    In a tag a quote opens a value if the same quote follows anywhere, else it is a character like
+    others; the tag ends at the first ``>`` outside values. A ``<`` whose tag never ends is text.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in "\"'>"}
+        self.near: dict[re.Pattern, tuple[int, int]] = {}
+        self.endless: set[int] = set()  # quotes outside values from which no tag ends
+
+    def first(self, what: re.Pattern, at: int) -> int:
+        """Where ``what`` stands first from ``at`` on; not sought again while that place lies ahead."""
+        since, found = self.near.get(what, (0, -1))
+        if not since <= at <= found:
+            m = what.search(self.html, at)
+            found = m.start() if m else len(self.html)
+            self.near[what] = (at, found)
+        return found
+
+    def tag(self, at: int) -> tuple | None:
+        html = self.html
+        slash = html[at + 1] == "/"
+        name = at + 1 + slash
+        if not (html[name : name + 1].isascii() and html[name : name + 1].isalpha()):
+            return None
+        stop = self.first(NAME_END, name)
+        here, passed = self.first(SPECIAL, stop), []
+        while here <= self.last[">"]:
+            quote = html[here]
+            if quote == ">":
+                return at, here + 1, "/" * slash, html[name:stop], html[stop:here]
+            if here in self.endless:
+                break
+            passed.append(here)
+            after = (html.index(quote, here + 1) if here < self.last[quote] else here) + 1
+            m = SPECIAL.search(html, after)
+            here = m.start() if m else len(html)
+        self.endless.update(passed)
+        return None
+
+    def next(self, at: int) -> tuple | None:
+        """(start, end, slash, name, attributes) of the first token from ``at`` on; no name for a comment."""
+        html = self.html
+        while (at := html.find("<", at)) >= 0 and at + 1 < len(html):
+            if m := SHORT_TAG.match(html, at):
+                return at, m.end(), m[1], m[2], m[3]
+            if html[at + 1] in "!?":
+                for start, end in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                    if html.startswith(start, at):
+                        close = html.find(end, at + len(start))
+                        return at, close + len(end) if close >= 0 else len(html), "", None, ""
+                if at + 2 <= self.last[">"]:
+                    return at, html.index(">", at + 2) + 1, "", None, ""
+            elif found := self.tag(at):
+                return found
+            at += 1
+        return None
+
+
 def parse(html: str) -> Node:
     """The tree of a page. Text children stay as written; every node knows its subtree's hash."""
     root = Node("#root")
@@ -127,20 +189,19 @@ def parse(html: str) -> Node:
         return None
 
     open_tags: dict[str, int] = {}  # upper bounds, to look for an end tag's element only if there may be one
-    end = len(html)
+    end, tokens = len(html), Tokens(html)
     while at < end:
-        token = TOKEN.search(html, at)
+        token = tokens.next(at)
         if token is None:
             stack[-1].children.append(html[at:])
             break
-        if token.start() > at:
-            stack[-1].children.append(html[at : token.start()])
-        at = token.end()
-        tag = token[2]
+        if token[0] > at:
+            stack[-1].children.append(html[at : token[0]])
+        at, slash, tag, written_attributes = token[1:]
         if tag is None:
             continue
         tag = tag.lower()
-        if token[1]:
+        if slash:
             if open_tags.get(tag):
                 block = tag in BLOCK
                 for place in range(len(stack) - 1, 0, -1):
@@ -155,9 +216,9 @@ def parse(html: str) -> Node:
             ended(("p",), ("table", "td", "th", "caption", "button", "object", "html"))
         if tag in IMPLIED and any(open_tags.get(t) for t in IMPLIED[tag][0]):
             ended(*IMPLIED[tag])
-        node = Node(tag, token[3])
+        node = Node(tag, written_attributes)
         stack[-1].children.append(node)
-        if tag in VOID or (token[3].endswith("/") and tag not in BLOCK and tag not in RAW):
+        if tag in VOID or (written_attributes.endswith("/") and tag not in BLOCK and tag not in RAW):
             node.close()
         elif tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
