@@ -69,3 +69,19 @@ def test_edges_of_the_input(spark):
     bare = [(i, t, None) for i, t, _ in rows]
     assert {r.lang_pred for r in langid.identify(spark.createDataFrame(bare, schema)).collect()} == {"und"}
     assert langid.keep_identified(spark.createDataFrame(rows, schema)).columns == ["doc_id", "text", "lang"]
+
+
+def test_every_language_is_learned(spark):
+    words = [chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k) + chr(0x4E02 + 3 * k) for k in range(300)]
+    docs = spark.createDataFrame([(8 * k + n, f"{w} {w}", f"l{k:03}") for k, w in enumerate(words) for n in range(8)], "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert sorted(model.languages) == [f"l{k:03}" for k in range(300)]
+    assert [model.predict(w)[0] for w in words] == [f"l{k:03}" for k in range(300)]
+    assert langid.keep_identified(docs).count() == 2400
+
+
+def test_many_languages_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ROWS", 1)
+    docs = spark.createDataFrame([(k, "the cat and the dog" if k % 2 else "der Hund und die Katze", "en" if k % 2 else "de") for k in range(4000)] + [(5000, "le chat", "fr"), (5001, "le chat", "fr")], "doc_id long, text string, lang string")
+    assert sorted(langid.learn(docs).languages) == ["de", "en", "fr"]
+    assert langid.learn(docs).predict("le chat")[0] == "fr" and langid.learn(docs).predict("the dog")[0] == "en"

@@ -13,9 +13,10 @@ corrected to (c_l - n f_l) / (1 - f_l). The language with the largest corrected
 the one with more labelled rows, then by name); the score is its share of all corrected counts.
 
 Learning reads a bounded sample: about ``ROWS_PER_LANGUAGE`` labelled rows of each language, taken
-by a hash of the key, whole texts of them; and at most ``LANGUAGES`` languages, those with most
-rows. Counting rows per language covers the whole table. The model on the driver is bounded by
-these two parameters and does not grow with the corpus.
+by a hash of the key, whole texts of them. Every label is learned; with so many of them that the
+sample would pass ``ROWS`` rows, each language gives an equal part of these, ``LEAST_ROWS`` at
+least, and all its rows if it has no more. Counting rows per language covers the whole table. The
+model on the driver grows with the number of languages, not with the corpus.
 
 Defined cases: a null text and a text without any letter are ``und`` with score 0. A text none of
 whose trigrams is known takes the language with most labelled rows, with score 0; with no learned
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, map_batches, short_batches, table, texts_of
 
 ROWS_PER_LANGUAGE = 4000
-LANGUAGES = 256
+ROWS, LEAST_ROWS = 1_024_000, 32
 SHARE = 0.5
 SLOT_BITS, PROBES = 20, 2
 FOLDS, HELD_OUT = 4, 2
@@ -124,13 +125,14 @@ def fold(key: Column) -> Column:
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
     """A model of the labelled rows outside the held-out fold."""
     rows = documents(docs, key, text, label).toDF("id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("id")) != HELD_OUT))
-    seen = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    seen = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect()
     if not seen:
         return Model.of([], [])
     languages = [r.lang for r in seen]
     scale = 1 << 30
-    most = F.create_map(*[x for r in seen for x in (F.lit(r.lang), F.lit(min(scale, int(scale * ROWS_PER_LANGUAGE / r.n)) if r.n else 0))])
-    sample = rows.where(F.col("lang").isin(*languages)).where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(scale)) < F.element_at(most, F.col("lang")))
+    each = max(LEAST_ROWS, min(ROWS_PER_LANGUAGE, ROWS // len(seen)))
+    most = docs.sparkSession.createDataFrame([(r.lang, min(scale, int(scale * each / r.n))) for r in seen], "of string, most long")  # one row a language
+    sample = rows.join(F.broadcast(most), F.col("lang") == F.col("of")).where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(scale)) < F.col("most"))
     place = {lang: k for k, lang in enumerate(languages)}
 
     def count(batch: pa.RecordBatch) -> dict | None:
