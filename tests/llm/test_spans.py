@@ -101,11 +101,28 @@ def test_prose_values_are_cheap():
     assert [s["kind"] for s in secrets.spans_of("token: https://me:qzXk81@x.example")] == ["guess"]
 
 
+def test_words_of_the_corpus_are_cheap(spark):
+    data = [(k, f"Wunderbarendes Ungeheuerbräu {k}") for k in range(6)] + [(10, "secret: Ungeheuerbräu"), (11, "pwd: xK9#vQ2!mZ7p")] + [(20 + k, "pwd: zvkqhtrwmx") for k in range(6)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert secrets.spans_of("secret: Ungeheuerbräu") != []
+    found = {r.doc_id: [s.kind for s in r.spans] for r in secrets.find_secrets(docs).collect()}
+    assert found[10] == [] and found[11] == ["guess"] and all(found[20 + k] == ["guess"] for k in range(6))
+    assert {r.text for r in secrets.mask_secrets(docs, length=None).where("doc_id >= 10").collect()} == {"secret: Ungeheuerbräu", "pwd: [SECRET]"}
+
+
 def test_masking_keeps_what_stands_around():
     assert secrets.masked('a token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" b') == 'a token = "[SECRET]" b'
     assert secrets.masked("clean text") == "clean text"
 
 
+def test_cost_alone_decides_about_a_value():
+    for text in ("pwd=qhzkvtrwmxjbpl", "passphrase: QwZkVtRwMxJb", "credential: 8301947726401", "password: qhzkvtx", "token=zvkqhtrwmx"):
+        assert [s["kind"] for s in secrets.spans_of(text)] == ["guess"], text
+        assert secrets.masked(text).endswith(secrets.MASK)
+    for text in ("pwd: 123456789", "token: 20240115", "secret: aaaaaaaa"):
+        assert secrets.spans_of(text) == []
+
+
 def test_long_texts_are_scanned_in_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "1.1." * 50_000, "0123456789abcdef" * 10_000, "+1" * 50_000, "a@" * 50_000):
         pii.spans_of(text)

@@ -183,7 +183,7 @@ def spans_of(text: str, known: tuple[dict[str, int], int] | None = None) -> list
                 taken.append((m.start(1), m.end(1)))
         for m in CREDENTIAL.finditer(text):
             value = m[1]
-            if any(c.isalpha() for c in value) and any(not c.isalpha() for c in value.rstrip(".,;:!?)]}")) and not any(m.start(1) < e and s < m.end(1) for s, e in taken):
+            if not any(m.start(1) < e and s < m.end(1) for s, e in taken):
                 if (cost := guess_cost(value, known)[0]) >= LEAST_LOG10:
                     put("guess", m.start(1), m.end(1), m.start(1), cost)
     if "AKIA" in text:
