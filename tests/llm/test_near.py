@@ -67,7 +67,7 @@ def family(rng, base, n, first, edits):
 
 def test_families_whose_members_link_only_through_others(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 8)
-    monkeypatch.setattr(near, "CLUSTER_BLOCK", 16)
+    monkeypatch.setattr(near, "SMALL", 4)
     rng = random.Random(5)
     rows = []
     for f in range(6):

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows in one Arrow batch. Documents may hold megabytes, so a batch is kept short.
-ARROW_ROWS = 512
+#: Rows and bytes in one Arrow batch. Documents may hold megabytes, so a batch is kept short.
+ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,7 @@ def release(*frames: DataFrame) -> None:
 def short_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small enough for a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def _typed(values, kind: pa.DataType) -> pa.Array:

@@ -10,23 +10,25 @@ similarity 0.75 differ in 16 places on average with a standard deviation of 3.5,
 one pair in 10^4 at the very threshold lies beyond T, and fewer the more similar they are. Every
 link is confirmed on the full sets: ``100 * intersection >= 75 * union``.
 
-Linear work first, whole work after:
+Links are contracted as they are confirmed, so that a group of copies never expands into pairs:
 
 * documents with equal sets form a class, represented by its smallest id;
-* a key shared by two classes is a pair at once; of a key shared by more, each class is paired with
-  the key's *centre* (the first of a fixed shuffled order, so that the keys of a group mostly have
-  one centre and pairs repeat). Pairs within T are contracted to *clusters*;
-* of keys whose classes lie in several clusters, each class outside the largest one is compared in
-  blocks with that whole cluster (once, however many keys bring them together) and with the key's
-  other classes outside it, until every pair within T lies in one cluster. A cluster needs
-  connection only, so that a class hands back each cluster it meets, never all its pairs;
-* inside a cluster all pairs are compared on full sets, two blocks of classes at a time, by a
-  product of incidence matrices; each two blocks hand back a forest of their links. Forests are
-  contracted to components.
-
-So no link between classes of a cluster is lost, and groups of copies never expand into pairs.
-Blocks bound what one task holds, in classes and in bytes; a hot key or a large cluster is spread
-over pairs of blocks.
+* a key shared by two classes is a pair; of a key shared by more, each class is paired with the
+  key's *pivot* (the first of a fixed shuffled order, so that the keys of a group mostly have one
+  pivot and pairs repeat). Pairs within T are confirmed on full sets and contracted;
+* a key whose classes now are one component is done. What is left (classes that share a key but not
+  a component, say documents with one passage in common) can only be linked if they share one of
+  the rarest ``n - ceil(0.75 n) + 1`` shingles of either set, whatever the order of rarity; the order
+  comes from a count of shingles in a table of fixed size. Groups of such a shingle of at most
+  ``SMALL`` classes are paired whole, larger ones with a pivot again; confirmed and contracted;
+* of a large group that still lies in several components, each class outside the largest one is
+  compared on full sets with that component (once, however many shingles bring them together) and
+  with the group's other classes outside it, in blocks.
+
+Every pair of classes that shares a key is so confirmed, joined through others, or proven to be no
+link; work beyond rows in proportion to the input is done only for classes that share rare
+shingles with a component and are linked to none of its pivots. Blocks bound what one task holds, in
+classes and in bytes.
 
 Defined cases: null or wordless text has an empty set and is linked with nothing; fewer than five
 words are one shingle. Rows that repeat an id are members of their sets' classes like any other
@@ -53,8 +55,10 @@ WORDS = 5
 PLACES, CHUNK, LIMIT = 64, 4, 31
 CHUNKS = PLACES // CHUNK
 PERCENT = 75
-#: Least classes in a block of a key, classes and bytes of sets in a block of a cluster.
-BLOCK, CLUSTER_BLOCK, CLUSTER_BYTES = 128, 128, 4 << 20
+#: Classes of a shingle that are paired whole; classes and bytes of sets in a block beyond.
+SMALL, BLOCK, BLOCK_BYTES = 32, 2048, 4 << 20
+#: Slots of the table of shingle counts, one byte each.
+SLOTS = 1 << 22
 
 _MASK = (1 << 64) - 1
 
@@ -175,45 +179,6 @@ class _Bitmap:
         return docs.where(F.col(key).isNotNull()).where(there(F.pmod(F.xxhash64(key), F.lit(bits))))
 
 
-def _across(members: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pairs (u, v) of clusters that hold classes of one key within the signature limit.
-
-    ``members``: key, rep, comp, sig; ``keys``: key, n, major (the key's largest cluster), n_minor.
-    In every two blocks, each class outside the major cluster hands back every other cluster that
-    it is near to.
-    """
-    size = f"greatest({BLOCK}, cast(ceil(sqrt(n)) as int))"
-    rows = members.join(keys, "key").select(
-        "key", "rep", "comp", "sig", (F.col("comp") != F.col("major")).alias("minor"),
-        F.expr(f"cast(ceil(n / {size}) as int)").alias("blocks"), F.expr(f"cast(ceil(n_minor / {size}) as int)").alias("minor_blocks"),
-    )
-    mine = F.expr("cast(pmod(xxhash64(rep, 7), blocks) as int)")
-    row = F.expr("cast(pmod(xxhash64(rep, 11), minor_blocks) as int)")
-    rows = rows.select("key", "rep", "comp", "sig", "minor", "blocks", "minor_blocks", mine.alias("mine"), row.alias("row"))
-    right = rows.select("key", F.col("mine").alias("b"), F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("m"), F.lit(False).alias("asks"), "rep", "comp", "sig")
-    left = rows.where("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), F.col("row").alias("m"), F.lit(True).alias("asks"), "rep", "comp", "sig")
-
-    def near(group: dict[str, np.ndarray]) -> tuple[list, list]:
-        u, v = [], []
-        asks = group["asks"]
-        to = np.flatnonzero(~asks)
-        for i in np.flatnonzero(asks):
-            away = (group["sig"][to] != group["sig"][i]).sum(axis=1)
-            for comp in np.unique(group["comp"][to[away <= LIMIT]]):
-                if comp != group["comp"][i]:
-                    u.append(group["comp"][i])
-                    v.append(comp)
-        return u, v
-
-    names = ["key", "b", "m", "asks", "rep", "comp", "sig"]
-
-    def load(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
-        t = pa.Table.from_batches(batches)
-        return {c: t[c].to_numpy() for c in ("asks", "rep", "comp")} | {"sig": _sigs(t["sig"].to_pylist())}
-
-    return grouped(left.unionByName(right).select(*names), 3, lambda batches: near(load(batches)))
-
-
 def grouped(rows: DataFrame, keys: int, run) -> DataFrame:
     """(u, v) of ``run`` over the record batches of each group; the first ``keys`` columns name a group.
 
@@ -255,76 +220,105 @@ def grouped(rows: DataFrame, keys: int, run) -> DataFrame:
     return rows.repartition(*names).sortWithinPartitions(*names).mapInArrow(over, "u long, v long")
 
 
-def _within(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(cu, cv) of those pairs of classes (u, v, cu, cv) that are within the signature limit."""
-    a = reps.select(F.col("rep").alias("u"), F.col("sig").alias("a"))
-    b = reps.select(F.col("rep").alias("v"), F.col("sig").alias("b"))
+def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Those pairs of classes (u, v, cu, cv) whose signatures are within the limit and whose sizes allow a link."""
+    a = reps.select(F.col("rep").alias("u"), F.col("sig").alias("a"), F.col("n_shingles").alias("na"))
+    b = reps.select(F.col("rep").alias("v"), F.col("sig").alias("b"), F.col("n_shingles").alias("nb"))
+    both = pairs.join(a, "u").join(b, "v").where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("u", "v", "cu", "cv", "a", "b")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        keep = pa.array((_sigs(batch.column(4).to_pylist()) != _sigs(batch.column(5).to_pylist())).sum(axis=1) <= LIMIT)
+        return {c: batch.column(k).filter(keep) for k, c in enumerate(("u", "v", "cu", "cv"))}
+
+    return map_batches(both, run, "u long, v long, cu long, cv long")
+
+
+def _linked(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """(u, v): components cu and cv of those pairs of classes (u, v, cu, cv) that are links on full sets."""
+    a, b = items.select(F.col("rep").alias("u"), F.col("items").alias("a")), items.select(F.col("rep").alias("v"), F.col("items").alias("b"))
     both = pairs.join(a, "u").join(b, "v").select("cu", "cv", "a", "b")
 
     def run(batch: pa.RecordBatch) -> dict:
-        keep = pa.array((_sigs(batch.column(2).to_pylist()) != _sigs(batch.column(3).to_pylist())).sum(axis=1) <= LIMIT)
-        return {"u": batch.column(0).filter(keep), "v": batch.column(1).filter(keep)}
+        keep = []
+        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            one, two = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            shared = len(np.intersect1d(one, two, assume_unique=True))
+            keep.append(100 * shared >= PERCENT * (len(one) + len(two) - shared))
+        mask = pa.array(keep, pa.bool_())
+        return {"u": batch.column(0).filter(mask), "v": batch.column(1).filter(mask)}
 
-    return map_batches(both, run, "u long, v long")
+    return map_batches(both, run, "u long, v long").distinct()
 
 
 def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Labels (rep, cluster) after clusters joined by ``edges`` (u, v) became one."""
+    """Labels (rep, comp) after components joined by ``edges`` (u, v) became one."""
     found = components(edges)
-    out = written(labels.join(found, labels["cluster"] == found["node"], "left").select("rep", F.coalesce("component", "cluster").alias("cluster")), "labels", slim=True)
+    out = written(labels.join(found, labels["comp"] == found["node"], "left").select("rep", F.coalesce("component", "comp").alias("comp")), "labels", slim=True)
     release(found, labels)
     return out
 
 
-def _sides(members: DataFrame) -> DataFrame:
-    """Keys of ``members`` (key, rep, comp) that lie in several clusters: key, n, major, n_minor."""
-    each = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    keys = each.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("best"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return keys.select("key", "n", F.col("best.comp").alias("major"), (F.col("n") - F.col("best.c")).alias("n_minor"))
+def _items(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, items): the full sets of ``reps`` (rep, p, q) as bytes, from ``docs`` (doc_id, text)."""
+    texts = _Bitmap(reps.select(F.col("rep").alias("id")))(docs, "doc_id").join(reps, F.col("doc_id") == F.col("rep"))
 
+    def run(batch: pa.RecordBatch) -> dict:
+        items = [shingles(t) for t in texts_of(batch.column(0))]
+        right = [len(x) > 0 and print_of(x) == mark for x, mark in zip(items, zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True), strict=True)]
+        # a row under a repeated id may hold another text
+        return {"rep": batch.column(3).filter(pa.array(right, pa.bool_())), "items": [x.tobytes() for x, ok in zip(items, right, strict=True) if ok]}
 
-def _more(shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (u, v) of clusters with classes within the limit that share a key.
+    return map_batches(texts.select("text", "p", "q", "rep"), run, "rep long, items binary").dropDuplicates(["rep"])
 
-    A class outside its key's largest cluster is compared with that whole cluster, once for all keys
-    that bring the two together, and with the other classes of the key outside the cluster.
-    """
-    members = written(shared.join(labels.toDF("r", "comp"), shared["rep"] == F.col("r")).select("key", "rep", "comp"), "members")
-    keys = _sides(members)
-    big = keys.select(F.col("key").alias("k"), "major")
-    minors = written(members.join(big, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("major"))).select("key", "rep", "comp", "major"), "minors", slim=True)
-    release(members)
-    asking = minors.select(F.col("major").alias("key"), "rep", "comp").distinct()
-    wanted = asking.select(F.col("key").alias("k")).distinct()
-    bodies = labels.join(wanted, F.col("cluster") == F.col("k"), "left_semi").select(F.col("cluster").alias("key"), "rep", F.col("cluster").alias("comp"))
-    out = None
-    for rows in (asking.unionByName(bodies), minors.select("key", "rep", "comp")):
-        rows = written(rows.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).select("key", "rep", "comp", "sig"), "sides", slim=True)
-        pairs = _across(rows, _sides(rows))
-        out = pairs if out is None else out.unionByName(pairs)
-    return written(out.distinct(), "edges", slim=True)
-
-
-def clusters_of(reps: DataFrame) -> DataFrame:
-    """(rep, cluster) of classes with another class within the signature limit; see the module's text."""
-    keyed = _keys(reps)
-    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("u"), F.max("rep").alias("v"), F.min_by("rep", F.xxhash64("rep", F.lit(3))).alias("centre")).where("n > 1")
-    counted = written(counted, "keys")
-    many = counted.where("n > 2").select(F.col("key").alias("k"), "centre")
-    shared = written(keyed.join(many, F.col("key") == F.col("k")).select("key", "rep", "centre"), "shared")
-    star = shared.where("rep <> centre").select(F.least("rep", "centre").alias("u"), F.greatest("rep", "centre").alias("v"))
-    pairs = counted.where("n = 2").select("u", "v").unionByName(star).distinct().select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv"))
-    labels = written(reps.select("rep", F.col("rep").alias("cluster")), "labels")
-    labels = _merged(labels, _within(pairs, reps))
-    release(counted)
-    shared = shared.select("key", "rep")
-    while True:
-        more = _more(shared, labels, reps)
-        if more.isEmpty():
-            break
-        labels = _merged(labels, more)
-    sizes = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("cluster").alias("c"))
-    return labels.join(sizes, F.col("cluster") == F.col("c"), "left_semi")
+
+def _mixed_groups(members: DataFrame, key: str) -> DataFrame:
+    """(``key``, n) of the groups of ``members`` (``key``, rep, comp) that lie in several components."""
+    return members.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select(F.col(key).alias("k"), "n")
+
+
+def _rarity(full: DataFrame):
+    """Broadcast table of one byte a slot that grows with the number of shingles in it; 1 stands for one shingle."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        whole = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(0)])
+        slots, n = np.unique(whole & np.uint64(SLOTS - 1), return_counts=True)
+        return {"slot": pa.array(slots.view(np.int64)), "n": pa.array(n)}
+
+    counts = map_batches(full.select("items"), run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    code = F.expr("cast(if(n < 64, n, least(127, 64 + floor(4 * log2(n / 64)))) as long)")
+    packed = counts.select(F.expr("slot div 8").alias("word"), F.expr("cast(8 * (slot % 8) as int)").alias("at"), code.alias("code"))
+    held = packed.groupBy("word").agg(F.expr("bit_or(shiftleft(code, at))").alias("codes")).toPandas()  # SLOTS / 8 rows at most
+    words = np.zeros(SLOTS // 8, np.int64)
+    words[held["word"].to_numpy()] = held["codes"].to_numpy()
+    return full.sparkSession.sparkContext.broadcast(words.astype("<i8").view(np.uint8))
+
+
+def _prefixes(full: DataFrame) -> DataFrame:
+    """(token, rep, comp): the rarest shingles of each set (rep, comp, items) that two linked sets must share one of."""
+    codes = _rarity(full)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        tokens, counts = [], []
+        for x in batch.column(2):
+            items = np.frombuffer(x.as_buffer(), np.uint64)
+            code = codes.value[items & np.uint64(SLOTS - 1)]
+            first = np.lexsort((items, code))[: len(items) - -(-PERCENT * len(items) // 100) + 1]
+            mine = items[first[code[first] > 1]]  # a shingle of one set is shared with none
+            tokens.append(mine)
+            counts.append(len(mine))
+        return {"token": pa.array(np.concatenate(tokens).view(np.int64))} | {c: pa.array(np.repeat(batch.column(k).to_numpy(zero_copy_only=False), counts)) for k, c in enumerate(("rep", "comp"))}
+
+    return map_batches(full, run, "token long, rep long, comp long")
+
+
+def _whole(groups: DataFrame) -> DataFrame:
+    """Pairs (u, v, cu, cv) across components of small groups (token, rep, comp, n), of large ones those with a pivot."""
+    small, large = groups.where(f"n <= {SMALL}"), groups.where(f"n > {SMALL}")
+    other = small.select("token", F.col("rep").alias("v"), F.col("comp").alias("cv"))
+    pairs = small.select("token", F.col("rep").alias("u"), F.col("comp").alias("cu")).join(other, "token").where("u < v and cu <> cv").select("u", "v", "cu", "cv")
+    pivots = large.groupBy("token").agg(F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", F.lit(13))).alias("p")).select("token", F.col("p.rep").alias("p"), F.col("p.comp").alias("cp"))
+    star = large.join(pivots, "token").where("comp <> cp").select(F.least("rep", "p").alias("u"), F.greatest("rep", "p").alias("v"), F.when(F.col("rep") < F.col("p"), F.col("comp")).otherwise(F.col("cp")).alias("cu"), F.when(F.col("rep") < F.col("p"), F.col("cp")).otherwise(F.col("comp")).alias("cv"))
+    return pairs.unionByName(star).distinct()
 
 
 def _shared_counts(items: list[np.ndarray], split: int) -> np.ndarray:
@@ -340,58 +334,103 @@ def _shared_counts(items: list[np.ndarray], split: int) -> np.ndarray:
     keep = often[column]
     column, of = place[column[keep]], of[keep]
     counts = np.zeros((split, len(items) - split), np.float32)
-    width = 1 << 14
+    width = max(64, (4 << 20) // len(items))  # a matrix of 16 MB
     bounds = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + width + 1, width))
     for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
         if hi > lo:
             m = np.zeros((len(items), width), np.float32)
             m[of[lo:hi], column[lo:hi] - k * width] = 1
             counts += m[:split] @ m[split:].T
-    return counts.astype(np.int64)
+    return counts
 
 
-def links_of(reps: DataFrame, clusters: DataFrame, docs: DataFrame) -> DataFrame:
-    """(u, v): a forest of the links on full sets between classes of each cluster.
+def _across(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(u, v): components linked on full sets between the ``left`` and ``right`` rows of a group.
 
-    ``reps``: rep, n_shingles, p, q, sig; ``docs``: doc_id, text.
+    Both hold kind, key, rep, comp, items; kind and key name the group. Each block of left classes
+    meets each block of right ones and hands back a forest of their links.
     """
-    placed = clusters.join(reps.toDF(*[f"r_{c}" if c == "rep" else c for c in reps.columns]), F.col("rep") == F.col("r_rep")).drop("r_rep")
-    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("items"))
-    sizes = sizes.select(F.col("cluster").alias("c"), F.expr(f"cast(greatest(ceil(n / {CLUSTER_BLOCK}), ceil(items * 8 / {CLUSTER_BYTES})) as int)").alias("blocks"))
-    placed = placed.join(sizes, F.col("cluster") == F.col("c")).select("rep", "cluster", "n_shingles", "p", "q", "sig", "blocks", F.expr("cast(pmod(xxhash64(rep, 5), blocks) as int)").alias("mine"))
-    placed = written(placed, "placed")
-    texts = _Bitmap(placed.select(F.col("rep").alias("id")))(docs, "doc_id").join(placed, F.col("doc_id") == F.col("rep"))
+    group = ("kind", "key")
 
-    def run(batch: pa.RecordBatch) -> dict:
-        items = [shingles(t) for t in texts_of(batch.column(0))]
-        right = [len(x) > 0 and print_of(x) == mark for x, mark in zip(items, zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True), strict=True)]
-        keep = pa.array(right)  # a row under a repeated id may hold another text
-        out = {c: batch.column(3 + k).filter(keep) for k, c in enumerate(["rep", "cluster", "blocks", "mine", "sig"])}
-        return out | {"items": [x.tobytes() for x, ok in zip(items, right, strict=True) if ok]}
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("items")).alias("bytes"))
+        return sizes.select(*group, F.expr(f"cast(greatest(ceil(n / {BLOCK}), ceil(bytes / {BLOCK_BYTES})) as long)").alias(name))
 
-    full = map_batches(texts.select("text", "p", "q", "rep", "cluster", "blocks", "mine", "sig"), run, "rep long, cluster long, blocks int, mine int, sig binary, items binary")
-    full = written(full.dropDuplicates(["rep"]), "items")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = full.select("rep", "cluster", "mine", "sig", "items", other.alias("other"))
-    rows = rows.select("cluster", F.least("mine", "other").cast("long").alias("a"), F.greatest("mine", "other").cast("long").alias("b"), F.col("mine").cast("long").alias("mine"), "rep", "sig", "items")
+    sizes = blocks(left, "lefts").join(blocks(right, "rights"), list(group))
+    place = "pmod(xxhash64(rep, 5), {})"
+    a = left.join(sizes, list(group)).withColumn("i", F.expr(place.format("lefts"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1))).withColumn("asks", F.lit(True))
+    b = right.join(sizes, list(group)).withColumn("j", F.expr(place.format("rights"))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1))).withColumn("asks", F.lit(False))
+    names = [*group, "i", "j", "asks", "comp", "items"]
 
     def link(batches: list[pa.RecordBatch]) -> tuple:
-        t = pa.Table.from_batches(batches)
-        one = t["a"][0].as_py() == t["b"][0].as_py()
-        mine, rep, sig = t["mine"].to_numpy(), t["rep"].to_numpy(), _sigs(t["sig"].to_pylist())
-        items = [np.frombuffer(x, np.uint64) for x in t["items"].to_pylist()]
-        first = np.flatnonzero(mine == t["a"][0].as_py())
-        second = first if one else np.flatnonzero(mine != t["a"][0].as_py())
-        if not len(first) or not len(second) or (one and len(first) < 2):
-            return [], []
-        if not any((np.count_nonzero(sig[second] != sig[i], axis=1) <= LIMIT).sum() > one for i in first):
+        asks = np.concatenate([b.column(4).to_numpy(zero_copy_only=False) for b in batches])
+        comp = np.concatenate([b.column(5).to_numpy() for b in batches])
+        items = [np.frombuffer(x.as_buffer(), np.uint64) for b in batches for x in b.column(6)]
+        one, two = np.flatnonzero(asks), np.flatnonzero(~asks)
+        if not len(one) or not len(two):
             return [], []
-        order = [items[k] for k in first] + [items[k] for k in second]
-        shared = _shared_counts(order, len(first))
-        a, b = np.array([len(items[k]) for k in first]), np.array([len(items[k]) for k in second])
-        return forest(100 * shared >= PERCENT * (a[:, None] + b[None, :] - shared), rep[first], rep[second])
+        shared = _shared_counts([items[k] for k in (*one, *two)], len(one))
+        size = np.array([len(x) for x in items])
+        mask = 100 * shared >= PERCENT * (size[one][:, None] + size[two][None, :] - shared)
+        return forest(mask & (comp[one][:, None] != comp[two][None, :]), comp[one], comp[two])
+
+    return grouped(a.select(*names).unionByName(b.select(*names)), 4, link)
+
+
+def _rest(held: DataFrame, labels: DataFrame, full: DataFrame) -> DataFrame:
+    """(u, v): links between components of large groups, ``held``: token, rep; ``labels``: rep, comp; ``full``: rep, items."""
+    members = written(held.join(labels, "rep").select("token", "rep", "comp"), "members", slim=True)
+    each = members.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max(F.struct("c", "comp")).alias("best"), F.count(F.lit(1)).alias("parts"))
+    major = each.where("parts > 1").select("token", F.col("best.comp").alias("major"))
+    minors = written(members.join(major, "token").where("comp <> major").select("token", "rep", "comp", "major"), "minors", slim=True)
+    asking = minors.select(F.lit(0).cast("long").alias("kind"), F.col("major").alias("key"), "rep", "comp").distinct()
+    bodies = members.select(F.lit(0).cast("long").alias("kind"), F.col("comp").alias("key"), "rep", "comp").distinct().join(minors.select(F.col("major").alias("key")).distinct(), "key", "left_semi")
+    among = minors.select(F.lit(1).cast("long").alias("kind"), F.col("token").alias("key"), "rep", "comp")
+    sets = full.select("rep", "items")
+    names = ["kind", "key", "rep", "comp"]
+    left = written(asking.select(*names).unionByName(among).join(sets, "rep"), "left")
+    right = written(bodies.select(*names).unionByName(among).join(sets, "rep"), "right")
+    out = written(_across(left, right).distinct(), "edges", slim=True)
+    release(members, minors, left, right)
+    return out
+
+
+def components_of(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, comp) of the classes that share a key with another; see the module's text.
 
-    return grouped(rows, 3, link)
+    ``reps``: rep, n_shingles, p, q, sig; ``docs``: doc_id, text.
+    """
+    keyed = _keys(reps)
+    counted = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("u"), F.max("rep").alias("v"), F.min_by("rep", F.xxhash64("rep", F.lit(3))).alias("pivot")).where("n > 1")
+    counted = written(counted, "keys")
+    many = counted.where("n > 2").select(F.col("key").alias("k"), "pivot")
+    shared = written(keyed.join(many, F.col("key") == F.col("k")).select("key", "rep", "pivot"), "shared")
+    star = shared.where("rep <> pivot").select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v"))
+    pairs = counted.where("n = 2").select("u", "v").unionByName(star).distinct().select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv"))
+    pairs = written(_near(pairs, reps), "near", slim=True)
+    ids = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep"))).unionByName(shared.select("rep")).distinct()
+    ids = written(ids, "ids", slim=True)
+    wanted = written(reps.join(ids, "rep", "left_semi").select("rep", "p", "q"), "wanted", slim=True)
+    items = written(_items(wanted, docs), "items")
+    labels = _merged(written(ids.select("rep", F.col("rep").alias("comp")), "labels", slim=True), _linked(pairs, items))
+    release(counted, pairs, ids, wanted)
+
+    members = shared.join(labels, "rep").select("key", "rep", "comp")
+    left = written(members.join(_mixed_groups(members, "key"), F.col("key") == F.col("k")).select("rep", "comp").distinct(), "open", slim=True)
+    release(shared)
+    if left.isEmpty():
+        return labels
+    full = written(items.join(left, "rep").select("rep", "comp", "items"), "full")
+    release(items)
+    tokens = written(_prefixes(full), "tokens")
+    held = written(tokens.join(_mixed_groups(tokens, "token"), F.col("token") == F.col("k")).select("token", "rep", "comp", "n"), "held", slim=True)
+    release(tokens)
+    labels = _merged(labels, _linked(_near(_whole(held), reps), full))
+    large = held.where(f"n > {SMALL}").select("token", "rep")
+    if not large.isEmpty():
+        labels = _merged(labels, _rest(large, labels, full))
+    release(held, full)
+    return labels
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -400,7 +439,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     sets = written(sets_of(rows, "doc_id", "text"), "sets")
     classes = sets.where("p is not null and doc_id is not null").groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
     reps = written(classes, "classes")
-    found = components(links_of(reps, clusters_of(reps), rows))
+    found = components_of(reps, rows).where("rep <> comp")
     labelled = reps.join(found.toDF("r", "component"), F.col("rep") == F.col("r"), "left").select(F.col("p").alias("cp"), F.col("q").alias("cq"), F.col("n_shingles").alias("cn"), F.coalesce("component", "rep").alias("component"))
     joined = sets.join(labelled, (F.col("p") == F.col("cp")) & (F.col("q") == F.col("cq")) & (F.col("n_shingles") == F.col("cn")), "left")
     component = F.coalesce("component", "doc_id")
