@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars, checks, ledger, trading
-from tidemark.operators.ledger import Future, Lot, Spot, reduce_futures, reduce_spot
+from tidemark.operators.ledger import Holding, Lot, Spot, reduce_futures, reduce_spot
 
 
 def fails(df):
@@ -127,19 +127,31 @@ def test_spot_ledger_by_hand():
     assert s.available == 6_860 and s.lots["x"] == Lot(66, 0, 0)
 
 
+def test_a_failed_event_leaves_no_trace():
+    s = Spot(100)
+    reduce_spot(s, {"event_id": "1", "kind": "cash_reserved", "cash_units": 60})
+    before = dict(s.balance)
+    for e in ({"kind": "fill", "side": "buy", "code": "x", "quantity": 1, "notional_units": 100, "fee_units": 1}, {"kind": "corporate_action", "code": "x", "cash_delta_units": 5, "sellable_delta": -1}, {"kind": "cash_reserved", "cash_units": -1}):
+        with pytest.raises(ledger.LedgerError):
+            reduce_spot(s, {"event_id": "2", **e})
+        assert s.balance == before and "2" not in s.seen
+
+
 def test_futures_cost_is_exact():
-    f = Future(0, Fraction(100))
-    f.fill(1, 100)
-    f.fill(2, 101)
+    f = Holding()
+    assert f.trade(1, 100, 10) == f.trade(2, 101, 10) == 0
     assert f.cost == Fraction(302, 3)
-    assert f.realise(101, 3, 10) == 10 and f.rest == 0
-    f = Future(3, Fraction(302, 3))
-    assert [f.realise(101, 1, 10) for _ in range(3)] == [3, 3, 4]
+    assert f.trade(-3, 101, 10) == 10 and f.carried == 0 and f.cost is None
+    f = Holding(3, Fraction(302, 3))
+    assert [f.trade(-1, 101, 10) for _ in range(3)] == [3, 3, 4]
+    f = Holding(2, 100)
+    assert f.trade(-5, 90, 1) == -20 and (f.contracts, f.cost) == (-3, 90)
+    assert f.mark(80, 1) == 30 and f.cost == 80
     s = ledger.Futures(1000)
     reduce_futures(s, {"event_id": "1", "kind": "fill", "code": "c", "contracts": 2, "price_units": 100, "multiplier": 5, "fee_units": 4})
     reduce_futures(s, {"event_id": "2", "kind": "mark_to_market", "code": "c", "price_units": 110, "multiplier": 5, "margin_units": 50})
     reduce_futures(s, {"event_id": "3", "kind": "fill", "code": "c", "contracts": -3, "price_units": 108, "multiplier": 5, "fee_units": 6})
-    assert (s.equity, s.margin, s.positions["c"].contracts, s.positions["c"].cost) == (1000 - 4 + 100 - 20 - 6, 50, -1, 108)
+    assert (s.equity, s.margin, s.holdings["c"].contracts, s.holdings["c"].cost) == (1000 - 4 + 100 - 20 - 6, 50, -1, 108)
 
 
 def test_fees_and_affordable_lots():

@@ -6,17 +6,16 @@ results, audits and checks) are plans.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from fractions import Fraction
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
 from tidemark.operators import checks
-from tidemark.operators.ledger import Future, LedgerError, Spot, _clean, reduce_spot
+from tidemark.operators.ledger import Holding, LedgerError, Spot, fill_moves, fold
 from tidemark.operators.trading import CashPolicy
 
 # Minutes ---------------------------------------------------------------------------------------
@@ -58,78 +57,79 @@ def simulate_minutes(bars: DataFrame, targets: DataFrame, policy: MinutePolicy,
     error. Rows: ``fill`` and ``reject`` as they happen, and a ``close`` for each session.
     """
     p, lot = policy.costs, policy.costs.lot
-    both = bars.select("account", F.lit("bar").alias("what"), F.struct(*[c for c in bars.columns if c != "account"]).alias("bar"), F.lit(None).cast(targets.select(F.struct(*[c for c in targets.columns if c != "account"]).alias("t")).schema["t"].dataType).alias("target"))
-    both = both.unionByName(targets.select("account", F.lit("target").alias("what"), F.lit(None).cast(both.schema["bar"].dataType).alias("bar"), F.struct(*[c for c in targets.columns if c != "account"]).alias("target")))
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        account = int(group["account"].iloc[0])
-        as_dict = lambda x: x if isinstance(x, dict) else x.asDict()
-        rows = sorted((_clean(as_dict(b)) for w, b in zip(group["what"], group["bar"], strict=True) if w == "bar"), key=lambda b: (b["available_time"], b["code"], b["dt"], b["seq"]))
-        wanted = sorted((_clean(as_dict(t)) for w, t in zip(group["what"], group["target"], strict=True) if w == "target"), key=lambda t: (t["decision_time"], t["code"]))
-        state, active, prices, out = Spot(opening), {}, {}, []
-        session, seen, event = None, set(), 0
-
-        def put(kind: str, b: dict, side=None, n=0, price=0, fee=0, reason=None) -> None:
-            held = sum(lot_.quantity for lot_ in state.lots.values())
-            nav = state.available + state.frozen + sum(lot_.quantity * prices.get(c, 0) for c, lot_ in state.lots.items())
-            out.append((account, len(out), kind, b["code"], str(b["session"]), b["dt"], side, n, price, fee, reason, state.available, held, nav))
-
-        last = None
-        for b in rows:
-            if (b["code"], b["dt"]) in seen:
+    asked = targets.select("account", F.lit(0).alias("what"), F.col("decision_time").alias("time"), "code", "target_quantity")
+    given = bars.withColumn("what", F.lit(1)).withColumn("time", F.col("available_time"))
+
+    def start(account) -> tuple:
+        state, wanted, active, prices, seen = Spot(opening), deque(), {}, {}, set()
+        session, last, position, worth, n_rows = None, None, 0, 0, 0
+
+        def row(kind: str, b: dict, side=None, n=0, price=0, fee=0, reason=None) -> tuple:
+            nonlocal n_rows
+            n_rows += 1
+            return account, n_rows - 1, kind, b["code"], str(b["session"]), b["dt"], side, n, price, fee, reason, state.available, position, state.available + worth
+
+        def trade(b: dict) -> tuple | None:
+            nonlocal position, worth
+            code = b["code"]
+            held = state.lot(code)
+            gap = active.get(code, held.quantity) - held.quantity
+            if not gap:
+                return None
+            buy = gap > 0
+            side, price = ("buy", b["open_units"] + p.slippage_units) if buy else ("sell", b["open_units"] - p.slippage_units)
+            room = b["volume"] * policy.participation_ppm // 1_000_000
+            n = min(abs(gap), room) // lot * lot
+            free = n if buy else min(n, held.sellable // lot * lot)
+            if buy and free and n * price + p.fee(side, n * price) > state.available:
+                free = p.affordable(state.available, n, price)
+            rules = (
+                ("limit_up_buy_blocked", buy and price >= b["high_limit_units"]),
+                ("limit_down_sell_blocked", not buy and price <= b["low_limit_units"]),
+                ("capacity_exceeded", not n),
+                ("insufficient_cash" if buy else "t1_sell_blocked", not free),
+            )
+            if reason := next((name for name, holds in rules if holds), None):
+                return row("reject", b, side, abs(gap), price, 0, reason)
+            fee = p.fee(side, free * price)
+            state.post(fill_moves(side, code, free, free * price, fee))
+            position += free if buy else -free
+            worth += (free if buy else -free) * prices[code]
+            return row("fill", b, side, free, price, fee)
+
+        def step(e: dict) -> list[tuple]:
+            nonlocal session, last, worth
+            if not e["what"]:
+                wanted.append(e)
+                return []
+            if (e["code"], e["dt"]) in seen:
                 raise LedgerError("a bar comes twice")
-            seen.add((b["code"], b["dt"]))
-            while wanted and wanted[0]["decision_time"] <= b["bar_start"]:
-                t = wanted.pop(0)
-                active[t["code"]] = int(t["target_quantity"])
-            if not b["completed"] or b["quality_status"] != "pass":
-                continue
-            if b["session"] != session:
+            seen.add((e["code"], e["dt"]))
+            while wanted and wanted[0]["time"] <= e["bar_start"]:
+                target = wanted.popleft()
+                active[target["code"]] = target["target_quantity"]
+            if not e["completed"] or e["quality_status"] != "pass":
+                return []
+            out = []
+            if e["session"] != session:
                 if last is not None:
-                    put("close", last)
-                for code, held in state.lots.items():
-                    state.lots[code] = replace(held, sellable=held.sellable + held.unsettled, unsettled=0)
-                session = b["session"]
-            prices[b["code"]], last = int(b["close_units"]), b
-            if b["code"] not in active:
-                continue
-            held = state.lot(b["code"])
-            gap = active[b["code"]] - held.quantity
-            if not gap:
-                continue
-            side = "buy" if gap > 0 else "sell"
-            price = int(b["open_units"]) + (p.slippage_units if gap > 0 else -p.slippage_units)
-            room = int(b["volume"]) * policy.participation_ppm // 1_000_000 // lot * lot
-            n = min(abs(gap) // lot * lot, room)
-            reason = None
-            if gap > 0 and price >= b["high_limit_units"]:
-                reason = "limit_up_buy_blocked"
-            elif gap < 0 and price <= b["low_limit_units"]:
-                reason = "limit_down_sell_blocked"
-            elif gap < 0 and min(n, held.sellable // lot * lot) == 0 < n:
-                reason = "t1_sell_blocked"
-            elif not n:
-                reason = "capacity_exceeded"
-            if reason is None and gap < 0:
-                n = min(n, held.sellable // lot * lot)
-            if reason is None and gap > 0 and n * price + p.fee("buy", n * price) > state.available:
-                n = p.affordable(state.available, n, price)
-                reason = None if n else "insufficient_cash"
-            if reason is not None:
-                put("reject", b, side, abs(gap), price, 0, reason)
-                continue
-            fee, event = p.fee(side, n * price), event + 1
-            hold = {"kind": "cash_reserved", "cash_units": n * price + fee} if gap > 0 else {"kind": "position_reserved", "code": b["code"], "quantity": n}
-            reduce_spot(state, {"event_id": f"{event}h", **hold})
-            reduce_spot(state, {"event_id": f"{event}f", "kind": "fill", "side": side, "code": b["code"], "quantity": n, "notional_units": n * price, "fee_units": fee})
-            put("fill", b, side, n, price, fee)
-        if wanted:
-            raise LedgerError("a target has no later bar")
-        if last is not None:
-            put("close", last)
-        return pd.DataFrame(out, columns=[c.split()[0] for c in MINUTE.split(", ")], dtype=object)
-
-    return both.groupBy("account").applyInPandas(fold, MINUTE)
+                    out.append(row("close", last))
+                state.mature()
+                session = e["session"]
+            worth += state.lot(e["code"]).quantity * (e["close_units"] - prices.get(e["code"], 0))
+            prices[e["code"]], last = e["close_units"], e
+            if done := trade(e):
+                out.append(done)
+            return out
+
+        def end() -> list[tuple]:
+            if wanted:
+                raise LedgerError("a target has no later bar")
+            return [row("close", last)] if last is not None else []
+
+        return step, end
+
+    return fold(given.unionByName(asked, allowMissingColumns=True), "account", ["time", "what", "code", "dt", "seq"], start, MINUTE)
 
 
 # Daily futures ---------------------------------------------------------------------------------
@@ -157,63 +157,61 @@ def simulate_futures(legs: DataFrame, settlements: DataFrame, rules: FuturesRule
     orders = legs.select("product", "session", F.lit(0).alias("what"), F.col("leg").alias("n"), "contract", "side", "contracts", "offset", F.col("open_units").alias("price"), "blocked")
     marks = settlements.select("product", "session", F.lit(1).alias("what"), F.lit(0).alias("n"), "contract", F.lit(None).cast("string").alias("side"), F.lit(0).cast("bigint").alias("contracts"), F.lit(None).cast("string").alias("offset"), F.col("settlement_units").alias("price"), F.lit(False).alias("blocked"))
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        product, equity, out = group["product"].iloc[0], opening, []
-        held: Future | None = None
-        contract, today, blocked, day = None, 0, False, None
+    def start(product) -> tuple:
+        equity, n_rows, day, today, stuck = opening, 0, None, 0, False
+        contract, held = None, Holding()
+
+        def row(kind, e, side=None, quantity=0, offset=None, price=None, fee=0, pnl=0, margin=0, reason=None) -> tuple:
+            nonlocal n_rows
+            n_rows += 1
+            return product, n_rows - 1, kind, e["session"], e["contract"], side, quantity, offset, price, fee, pnl, margin, equity, held.contracts, reason
+
+        def leg(e: dict) -> tuple:
+            nonlocal equity, contract, today, stuck
+            n, opens = e["contracts"], e["offset"] == "open"
+            if e["blocked"] or (stuck and opens):
+                stuck = stuck or not opens
+                return row("reject", e, e["side"], n, e["offset"], reason="not_tradable" if e["blocked"] else "closing_leg_blocked")
+            signed = n if e["side"] == "buy" else -n
+            price = e["price"] + (rules.slippage_units if signed > 0 else -rules.slippage_units)
+            size = abs(held.contracts)
+            if opens and size and (contract != e["contract"] or held.contracts * signed < 0):
+                raise LedgerError("an opening leg needs the old position closed")
+            if not opens and (contract != e["contract"] or held.contracts * signed >= 0 or n > size):
+                raise LedgerError("a closing leg does not fit the position")
+            if e["offset"] == "close_yesterday" and n > size - today:
+                raise LedgerError("a leg closes contracts of another day")
+            pnl, fee = held.trade(signed, price, rules.multiplier), n * fees[e["offset"]]
+            today = today + n if opens else min(today, abs(held.contracts))
+            contract = e["contract"] if held.contracts else None
+            equity += pnl - fee
+            return row("fill", e, e["side"], n, e["offset"], price, fee, pnl)
+
+        def mark(e: dict) -> list[tuple]:
+            nonlocal equity, contract, held
+            if not held.contracts or contract != e["contract"]:
+                return []
+            price, n = e["price"], abs(held.contracts)
+            pnl = held.mark(price, rules.multiplier)
+            equity += pnl
+            margin = -(-n * price * rules.multiplier * rules.margin_ppm // 1_000_000)
+            out = [row("settle", e, price=price, pnl=pnl, margin=margin)]
+            if margin > equity:
+                side, fee = "sell" if held.contracts > 0 else "buy", n * fees["close_today" if today else "close_yesterday"]
+                equity -= fee
+                held, contract = Holding(), None
+                out.append(row("forced", e, side, n, price=price, fee=fee, reason="margin"))
+            return out
+
+        def step(e: dict) -> list[tuple]:
+            nonlocal day, today, stuck
+            if e["session"] != day:
+                day, today, stuck = e["session"], 0, False
+            return mark(e) if e["what"] else [leg(e)]
 
-        def put(kind, e, **more) -> None:
-            row = {"product": product, "seq": len(out), "kind": kind, "session": e["session"], "contract": e["contract"], "equity_units": equity, "position": held.contracts if held else 0, "quantity": 0, "fee_units": 0, "pnl_units": 0, "margin_units": 0}
-            out.append(row | more)
+        return step, tuple
 
-        for e in map(_clean, group.sort_values(["session", "what", "n", "contract"]).to_dict("records")):
-            if e["session"] != day:
-                day, today, blocked = e["session"], 0, False
-            price = int(e["price"])
-            if e["what"] == 0:
-                closing = e["offset"] != "open"
-                if e["blocked"] or (blocked and not closing):
-                    blocked = blocked or closing
-                    put("reject", e, side=e["side"], quantity=int(e["contracts"]), offset=e["offset"], reason="not_tradable" if e["blocked"] else "closing_leg_blocked")
-                    continue
-                n, signed = int(e["contracts"]), int(e["contracts"]) * (1 if e["side"] == "buy" else -1)
-                price += rules.slippage_units if signed > 0 else -rules.slippage_units
-                pnl = 0
-                if closing:
-                    if held is None or contract != e["contract"] or held.contracts * signed >= 0 or n > abs(held.contracts):
-                        raise LedgerError("a closing leg does not fit the position")
-                    if e["offset"] == "close_yesterday" and n > abs(held.contracts) - today or e["offset"] == "close_today" and n > abs(held.contracts):
-                        raise LedgerError("a leg closes contracts of another day")
-                    pnl = held.realise(price, n if held.contracts > 0 else -n, rules.multiplier)
-                    held.contracts += signed
-                    today = min(today, abs(held.contracts))
-                    if not held.contracts:
-                        held, contract = None, None
-                else:
-                    if held is not None and (contract != e["contract"] or held.contracts * signed < 0):
-                        raise LedgerError("an opening leg needs the old position closed")
-                    held = held or Future(0, Fraction(price))
-                    held.fill(signed, price)
-                    contract, today = e["contract"], today + n
-                fee = n * fees[e["offset"]]
-                equity += pnl - fee
-                put("fill", e, side=e["side"], quantity=n, offset=e["offset"], price_units=price, fee_units=fee, pnl_units=pnl)
-            elif held is not None and contract == e["contract"]:
-                pnl = held.realise(price, held.contracts, rules.multiplier)
-                held.cost = Fraction(price)
-                equity += pnl
-                margin = -(-abs(held.contracts) * price * rules.multiplier * rules.margin_ppm // 1_000_000)
-                put("settle", e, price_units=price, pnl_units=pnl, margin_units=margin)
-                if margin > equity:
-                    n = abs(held.contracts)
-                    fee = n * fees["close_today" if today else "close_yesterday"]
-                    equity -= fee
-                    side = "sell" if held.contracts > 0 else "buy"
-                    held, contract = None, None
-                    put("forced", e, side=side, quantity=n, price_units=price, fee_units=fee, reason="margin")
-        return pd.DataFrame(out, columns=[c.split()[0] for c in DAILY.split(", ")], dtype=object)
-
-    return orders.unionByName(marks).groupBy("product").applyInPandas(fold, DAILY)
+    return fold(orders.unionByName(marks), "product", ["session", "what", "n", "contract"], start, DAILY)
 
 
 def combine_products(simulated: DataFrame, opening: int) -> DataFrame:
