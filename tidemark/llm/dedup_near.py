@@ -58,7 +58,7 @@ PERCENT = 75
 #: Classes of a shingle that are paired whole; classes and bytes of sets in a block beyond.
 SMALL, BLOCK, BLOCK_BYTES = 32, 2048, 4 << 20
 #: Slots of the table of shingle counts, one byte each.
-SLOTS = 1 << 22
+SLOTS = 1 << 20
 
 _MASK = (1 << 64) - 1
 
@@ -154,19 +154,22 @@ def _keys(reps: DataFrame) -> DataFrame:
     return map_batches(reps.select("rep", "sig").repartition(parts, "rep"), run, "key long, rep long")
 
 
+def gathered(rows: DataFrame, size: int) -> np.ndarray:
+    """``rows`` (place, value) as an array of ``size`` longs, zero where there is none; never more rows than that."""
+    held, out = rows.toArrow(), np.zeros(size, np.int64)
+    out[held.column(0).to_numpy()] = held.column(1).to_numpy()
+    return out
+
+
 class _Bitmap:
     """Ids as bits of a hash, of fixed size: a filter before an exchange, exact in what it lets pass last."""
 
     BITS = 1 << 23
 
     def __init__(self, ids: DataFrame):
-        spark = ids.sparkSession
-        place = F.pmod(F.xxhash64("id"), F.lit(self.BITS))
-        rows = ids.select(F.shiftright(place, 5).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {self.BITS}) & 31 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-        words = np.zeros(self.BITS // 32, np.uint32)
-        held = rows.toPandas()  # at most BITS / 32 rows, whatever the input
-        words[held["word"].to_numpy()] = held["bits"].to_numpy().astype(np.uint32)
-        self.words = spark.sparkContext.broadcast(words)
+        bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {self.BITS}) & 63 as int))")
+        rows = ids.select(F.shiftright(F.pmod(F.xxhash64("id"), F.lit(self.BITS)), 6).alias("word"), bit.alias("bit"))
+        self.words = ids.sparkSession.sparkContext.broadcast(gathered(rows.groupBy("word").agg(F.bit_or("bit").alias("bits")), self.BITS // 64))
 
     def __call__(self, docs: DataFrame, key: str) -> DataFrame:
         held, bits = self.words, self.BITS
@@ -174,7 +177,7 @@ class _Bitmap:
         @F.pandas_udf("boolean")
         def there(place: pd.Series) -> pd.Series:
             at = place.to_numpy()
-            return pd.Series((held.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1)
+            return pd.Series((held.value[at >> 6] >> (at & 63)) & 1 == 1)
 
         return docs.where(F.col(key).isNotNull()).where(there(F.pmod(F.xxhash64(key), F.lit(bits))))
 
@@ -287,9 +290,7 @@ def _rarity(full: DataFrame):
     counts = map_batches(full.select("items"), run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     code = F.expr("cast(if(n < 64, n, least(127, 64 + floor(4 * log2(n / 64)))) as long)")
     packed = counts.select(F.expr("slot div 8").alias("word"), F.expr("cast(8 * (slot % 8) as int)").alias("at"), code.alias("code"))
-    held = packed.groupBy("word").agg(F.expr("bit_or(shiftleft(code, at))").alias("codes")).toPandas()  # SLOTS / 8 rows at most
-    words = np.zeros(SLOTS // 8, np.int64)
-    words[held["word"].to_numpy()] = held["codes"].to_numpy()
+    words = gathered(packed.groupBy("word").agg(F.expr("bit_or(shiftleft(code, at))").alias("codes")), SLOTS // 8)
     return full.sparkSession.sparkContext.broadcast(words.astype("<i8").view(np.uint8))
 
 
