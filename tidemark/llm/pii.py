@@ -2,9 +2,12 @@
 
 Base kinds (email, ip, card, phone) follow fixed expressions, leftmost and non-overlapping per
 kind; what fails its check is dropped and not retried. Two kinds are added by the method: ``iban``
-(confirmed by the mod-97 checksum) and ``ssn`` (kept only if a context word stands close by). Every
-span carries a score in 0..1: a prior for its kind, raised by context words in the characters
-before it. Scores decide about added kinds only, so base spans never depend on context.
+(confirmed by the mod-97 checksum) and ``ssn`` (kept only if a context word stands close by). An
+account number may be followed by capitals: its country's length, or for a country without a known
+one every length that is allowed, the longest first, has to pass the checksum. Every span carries a
+score in 0..1: a prior for its kind, raised by whole context words within ``LOOK`` characters on
+either side, the nearer the more. Scores decide about added kinds only, so base spans never depend
+on context.
 
 Scans are linear in the text: an email is found from its ``@`` outwards and an address from its
 whole dotted run, which gives the leftmost matches without trying every start in a long word.
@@ -34,10 +37,18 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
-#: Words that make a kind likelier when they stand shortly before the span.
+#: Characters of an account number by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29,
+    "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+
+#: Words that make a kind likelier when they stand near the span.
 CONTEXT = {
     "email": ("mail", "contact", "write", "address", "reach"),
     "ip": ("ip", "host", "server", "address", "login", "client"),
@@ -47,10 +58,11 @@ CONTEXT = {
     "ssn": ("ssn", "social", "security", "taxpayer", "tin"),
 }
 PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.3}
-BONUS = 0.2
-LOOK_BACK = 48
+#: What a context word adds right beside a span; half of it at a distance of LOOK characters.
+BONUS, LOOK = 0.3, 96
 #: Least score of an added span.
-LEAST = 0.5
+LEAST = 0.45
+_WORDS = {kind: re.compile(rf"(?<![A-Za-z])(?:{'|'.join(words)})s?(?![A-Za-z])", re.IGNORECASE) for kind, words in CONTEXT.items()}
 
 SPANS = "array<struct<kind:string,start:int,end:int,value:string,score:double>>"
 
@@ -122,7 +134,20 @@ def phones(text: str) -> list[tuple[int, int]]:
 
 
 def ibans(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in IBAN.finditer(text) if 15 <= len(bare := m[0].replace(" ", "")) <= 34 and mod97(bare)]
+    found, at = [], 0
+    while match := IBAN.search(text, at):
+        run, known = match[0], IBAN_LENGTHS.get(match[0][:2])
+        at = match.start() + 2
+        ends = [k + 1 for k, char in enumerate(run) if char != " "]  # where each of its characters ends
+        for size in (known,) if known else range(min(len(ends), 34), 14, -1):
+            if size > len(ends):
+                continue
+            end = match.start() + ends[size - 1]
+            if not text[end : end + 1].isalnum() and mod97(run[: ends[size - 1]].replace(" ", "")):
+                found.append((match.start(), end))
+                at = end
+                break
+    return found
 
 
 def ssns(text: str) -> list[tuple[int, int]]:
@@ -132,9 +157,15 @@ def ssns(text: str) -> list[tuple[int, int]]:
 FINDERS = {"email": emails, "ip": addresses, "card": cards, "phone": phones, "iban": ibans, "ssn": ssns}
 
 
-def score(kind: str, text: str, start: int) -> float:
-    before = text[max(0, start - LOOK_BACK) : start].lower()
-    return round(min(1.0, PRIOR[kind] + BONUS * any(word in before for word in CONTEXT[kind])), 3)
+def score(kind: str, text: str, start: int, end: int) -> float:
+    """The kind's prior, raised by the nearest of its words; one cut off by the window's edge is none."""
+    near = LOOK + 1
+    for lo, hi in ((max(0, start - LOOK), start), (end, min(len(text), end + LOOK))):
+        for word in _WORDS[kind].finditer(text, lo, hi):
+            if not (word.end() == hi < len(text) and text[hi].isalpha()):
+                near = min(near, start - word.end() if hi == start else word.start() - end)
+    bonus = BONUS * (1 - 0.5 * near / LOOK) if near <= LOOK else 0.0
+    return round(min(1.0, PRIOR[kind] + bonus), 3)
 
 
 def spans_of(text: str) -> list[dict]:
@@ -142,7 +173,7 @@ def spans_of(text: str) -> list[dict]:
     out = []
     for kind in KINDS:
         for start, end in FINDERS[kind](text):
-            value = score(kind, text, start)
+            value = score(kind, text, start, end)
             if kind in BASE or value >= LEAST:
                 out.append({"kind": kind, "start": start, "end": end, "value": text[start:end], "score": value})
     return out
