@@ -6,16 +6,17 @@ each round looks only at what the round before left over:
 
 1. length and prefix hash are counted by one map-side combined aggregation; a length or a prefix
    that occurs once ends there;
-2. rows of the surviving prefixes are grouped by their full hash;
+2. rows of the surviving prefixes are read again, found by a bitmap of their ids of fixed size, and
+   grouped by their full hash (a caller that needs the digest of every row has it taken at once);
 3. the winner of each group (most code points, then smallest ``doc_id``) goes back to its rows.
 
 Nothing but keys is shuffled, never a text. Hot groups meet only partial aggregates; the joins
 that lead back to rows exchange both sides, so adaptive execution splits a hot key.
 
 Defined cases: null text counts as empty, and empty texts are equal to each other. A null
-``doc_id`` loses every tie and is a document of its own. Rows that repeat both ``doc_id`` and text
-share one decision. Columns other than the key and the text are never read. An empty table gives
-an empty result.
+``doc_id`` loses every tie. Rows that repeat both ``doc_id`` and code points are equal in all that
+decides: they share a decision in :func:`exact_dedup`, and :func:`keep_first` leaves one of them.
+Columns other than the key and the text are never read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +35,21 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\t-\\r]+", "")
 
 
+#: Bits of the filter of surviving ids.
+BITS = 1 << 23
+
+
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose doc_id may be among ``ids`` (doc_id): a filter of one row of BITS bits, whatever the input."""
+    place = "pmod(xxhash64(doc_id), {})".format(BITS)
+    set_ = ids.select(F.expr(f"{place} div 64").alias("word"), F.expr(f"shiftleft(1L, cast({place} % 64 as int))").alias("bits"))
+    every = rows.sparkSession.range(BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = set_.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    held = words.agg(F.expr("transform(array_sort(collect_list(struct(word, bits))), x -> x.bits)").alias("held"))
+    bit = F.expr(f"(shiftright(held[cast({place} div 64 as int)], cast({place} % 64 as int)) & 1) = 1")
+    return rows.join(F.broadcast(held), bit, "left_semi")
+
+
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_all: bool = False) -> DataFrame:
     """Per row: ``key``, keep_id, group_size, kept and text_sha256.
 
@@ -41,40 +57,33 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest
     prefix. Without it, a second scan reads the content of surviving rows only, and the digest of
     a row that no other row can equal is null.
     """
-    norm = normalised(F.col("text"))
     base = documents(docs, key, text).toDF("doc_id", "text")
-    rows = base.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n_code"), norm.alias("norm"))
-    keyed = rows.select(
-        "doc_id",
-        "n_code",
-        F.length("norm").alias("n_norm"),
-        F.xxhash64(F.substring("norm", 1, PREFIX)).alias("prefix"),
-        (F.unhex(F.sha2("norm", 256)) if digest_all else F.lit(None).cast("binary")).alias("full"),
-    )
-    keyed = written(keyed, "exact-keys")
 
+    def keys(rows: DataFrame, digest: bool) -> DataFrame:
+        norm = rows.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n_code"), normalised(F.col("text")).alias("norm"))
+        full = F.unhex(F.sha2("norm", 256)) if digest else F.lit(None).cast("binary")
+        return norm.select("doc_id", "n_code", F.length("norm").alias("n_norm"), F.xxhash64(F.substring("norm", 1, PREFIX)).alias("prefix"), full.alias("full"))
+
+    keyed = written(keys(base, digest_all), "exact-keys")
     counts = keyed.groupBy("n_norm", "prefix").agg(F.count(F.lit(1)).alias("n"))
     alive = counts.where("n > 1").select(F.xxhash64("n_norm", "prefix").alias("round2"))
-    left = keyed.withColumn("round2", F.xxhash64("n_norm", "prefix")).join(alive, "round2", "left_semi")
+    named = lambda rows: rows.withColumn("round2", F.xxhash64("n_norm", "prefix"))
+    left = named(keyed).join(alive, "round2", "left_semi")
     if not digest_all:
-        wanted = left.select("doc_id", "n_norm", "prefix").distinct()
-        again = rows.select(F.col("doc_id").alias("id"), "n_code", F.length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, PREFIX)).alias("pre"), "norm")
-        left = again.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("len") == F.col("n_norm")) & (F.col("pre") == F.col("prefix")), "left_semi").select(
-            F.col("id").alias("doc_id"), "n_code", F.col("len").alias("n_norm"), F.col("pre").alias("prefix"), F.unhex(F.sha2("norm", 256)).alias("full")
-        )
-        left = written(left, "exact-full")
-
-    best = F.max(F.struct(F.col("n_code"), (-F.col("doc_id")).alias("low"), F.col("doc_id").alias("id")))
+        again = keys(_among(base, written(left.select("doc_id"), "exact-ids", slim=True)), True)
+        left = written(named(again).join(alive, "round2", "left_semi"), "exact-full")
+
+    best = F.min(F.struct((-F.col("n_code")).alias("most"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")))
     groups = (
         left.groupBy("n_norm", "prefix", "full")
         .agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
         .where("group_size > 1")
-        .select(F.col("full").alias("g_full"), F.col("best.id").alias("g_id"), F.col("best.n_code").alias("g_code"), "group_size")
+        .select(F.col("full").alias("g_full"), F.col("best.id").alias("g_id"), (-F.col("best.most")).alias("g_code"), "group_size")
     )
     if digest_all:
         joined = keyed.join(groups, F.col("full") == F.col("g_full"), "left")
     else:
-        single = keyed.withColumn("round2", F.xxhash64("n_norm", "prefix")).join(alive, "round2", "left_anti").select("doc_id", "n_code", "full")
+        single = named(keyed).join(alive, "round2", "left_anti").select("doc_id", "n_code", "full")
         joined = left.select("doc_id", "n_code", "full").join(groups, F.col("full") == F.col("g_full"), "left").unionByName(single, allowMissingColumns=True)
     alone = F.col("group_size").isNull()
     return joined.select(
@@ -86,6 +95,27 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest
     )
 
 
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group of equal texts, all columns as they are.
+
+    Rows are told apart by their id. Where an id is null or has several rows, which is rare, they are
+    told apart by their text's digest too.
+    """
+    decided = written(exact_dedup(docs, key, text), "decided")
+    rows, id_ = docs.alias("d"), F.col(f"d.`{key}`")
+    odd = written(decided.groupBy(F.col(key).alias("odd")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 or odd is null").select("odd"), "odd", slim=True)
+    gone = written(decided.where(~F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("gone")).distinct(), "gone", slim=True)
+    plain = rows.join(gone, id_ == F.col("gone"), "left_anti")
+    if odd.isEmpty():
+        return plain
+    plain = plain.join(odd, id_.eqNullSafe(F.col("odd")), "left_anti").select("d.*")
+    mine = rows.join(odd, id_.eqNullSafe(F.col("odd")), "left_semi").select(F.struct("d.*").alias("row"), id_.alias("id"), F.length(F.coalesce(F.col(f"d.`{text}`"), F.lit(""))).alias("n"), F.sha2(normalised(F.col(f"d.`{text}`")), 256).alias("sha"))
+    winners = decided.where("group_size > 1").groupBy("text_sha256").agg(F.first("keep_id").alias("keep"))
+    best = mine.join(winners, F.col("sha") == F.col("text_sha256"), "left").where(F.col("text_sha256").isNull() | F.col("id").eqNullSafe(F.col("keep")))
+    # of rows with one id and text, one; the bare key is grouped, never a text
+    return plain.unionByName(best.groupBy("id", "sha").agg(F.max_by("row", "n").alias("row")).select("row.*"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
