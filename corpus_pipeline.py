@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table, written
-from tidemark.llm.dedup_exact import exact_dedup
+from tidemark.llm.dedup_exact import keep_first
 from tidemark.llm.dedup_near import near_dedup
 from tidemark.llm.langid import keep_identified
 from tidemark.llm.packing import pack_documents
@@ -41,7 +41,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return _without(docs, exact_dedup(docs, digest_all=True))
+    return keep_first(docs.select(*COLUMNS))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
