@@ -79,6 +79,13 @@ PARTS = frozenset(
     "comment comments disqus respond share sharing social related recommended recommendations widget widgets toolbar pagination pager login copyright "
     "skiplink topbar bottombar alert".split()
 )
+#: What else a name of such a block may say. With any other word it names something of the article's own.
+FILLERS = frozenset(
+    "main site page post posts article articles entry block box section container wrapper wrap inner outer content area body top bottom left right primary secondary header list item items link links title text "
+    "button buttons btn bar icon icons form field input group row col column columns panel card cards slot unit zone region global local user reader "
+    "html js fixed sticky mobile desktop small large big dark light new more read other all the our your us up to in on of for and by email mail letter news rss feed facebook twitter media follow "
+    "stories story topics tags tag category categories archive latest popular trending most also like you might may privacy legal terms policy bottomline id area thread threads reply replies count form".split()
+)
 HEADERS = frozenset(("header", "topbar", "masthead"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Blocks that are parts of a larger one, whose small values recur as data.
@@ -236,9 +243,13 @@ def attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): unescape((m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(node.attributes)}
 
 
-def name_parts(value: dict[str, str]) -> set[str]:
-    names = f"{value.get('class', '')} {value.get('id', '')}"
-    return {p.lower() for p in NAME_PARTS.findall(names)} | {n.lower().replace("-", "").replace("_", "") for n in names.split()}
+def names(value: dict[str, str], least: frozenset) -> bool:
+    """Whether a class or id names a block of no article: one word of ``least`` and none but those and fillers."""
+    for name in f"{value.get('class', '')} {value.get('id', '')}".split():
+        words = [w.lower() for w in NAME_PARTS.findall(name) if not w.isdigit()]
+        if name.lower().replace("-", "").replace("_", "") in least or (any(w in least for w in words) and all(w in PARTS or w in least or w in FILLERS or len(w) == 1 for w in words)):
+            return True
+    return False
 
 
 def no_article(node: Node, inside: bool) -> bool:
@@ -256,8 +267,7 @@ def no_article(node: Node, inside: bool) -> bool:
         return True
     if node.tag in ("html", "body", "main", "h1"):
         return False
-    parts = name_parts(value)
-    return bool(parts & PARTS) or (not inside and bool(parts & HEADERS))
+    return names(value, PARTS) or (not inside and names(value, HEADERS))
 
 
 def content_name(node: Node) -> bool:
@@ -397,7 +407,7 @@ def extract(html: str, url: str | None, is_template) -> str:
     linked = [0, 0]  # characters of the block, and of links in it
 
     def flush() -> None:
-        text = " ".join(unescape("".join(held)).split())
+        text = " ".join("".join(held).split())
         if text and (article is not None or linked[1] * 2 <= linked[0]):
             blocks.append(text)
         held.clear()
@@ -407,7 +417,7 @@ def extract(html: str, url: str | None, is_template) -> str:
     while todo:
         node, in_link, leave = todo.pop()
         if isinstance(node, str):
-            held.append(node)
+            held.append(unescape(node))  # each by itself: no reference crosses a tag
             size = len(node.strip())
             linked[0] += size
             linked[1] += size if in_link else 0
@@ -476,15 +486,17 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     else:
 
         def own(batch: pa.RecordBatch) -> dict:
-            out = {"key": [], "hash": []}
-            for k, u, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), strict=True):
+            out = {"same": [], "hash": []}
+            for same, u, h in zip(batch.column(3).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), strict=True):
                 found = subtrees(h, u)
                 out["hash"] += found
-                out["key"] += [k] * len(found)
+                out["same"] += [same] * len(found)
             return out
 
-        each = map_batches(rows, own, f"key {kind}, hash long").join(templates.withColumnRenamed("hash", "t"), F.col("hash") == F.col("t"))
-        sets = each.groupBy(F.col("key").alias("k")).agg(F.collect_set("hash").alias("hashes"))  # at most a page's subtrees
+        # pages with the same address and markup have the same subtrees, whatever their keys
+        rows = rows.withColumn("same", F.xxhash64("url", "html"))
+        each = map_batches(rows, own, "same long, hash long").join(templates.withColumnRenamed("hash", "t"), F.col("hash") == F.col("t"))
+        sets = each.groupBy(F.col("same").alias("k")).agg(F.collect_set("hash").alias("hashes"))  # at most a page's subtrees
 
         def run_own(batch: pa.RecordBatch) -> dict:
             out = []
@@ -492,7 +504,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                 out.append(extract(h, u, set(hashes or ()).__contains__))
             return {"key": batch.column(0), "url": batch.column(1), "text": out}
 
-        joined = rows.join(sets, rows["key"].eqNullSafe(sets["k"]), "left").select("key", "url", "html", "hashes")
+        joined = rows.join(sets, F.col("same") == F.col("k"), "left").select("key", "url", "html", "hashes")
         found = map_batches(joined, run_own, f"key {kind}, url string, text string")
     return found.toDF(key, url, "text")
 
