@@ -27,10 +27,11 @@ def test_labels_of_the_held_out_fold_teach_nothing(spark):
     assert sorted(langid.identify(docs).collect()) == sorted(langid.identify(wrong).collect())
 
 
-def test_masks_hold_every_member_and_few_others():
+def test_masks_hold_every_member_and_few_others(spark):
     rng = np.random.default_rng(0)
     members = [rng.integers(0, 1 << 63, 5000, dtype=np.uint64) for _ in range(70)]
-    model = langid.Model.of([f"l{k:02}" for k in range(70)], members)
+    rows = [(k, int(g), 1) for k, grams in enumerate(members) for g in grams.astype(np.int64)]
+    model = langid.Model.of([f"l{k:02}" for k in range(70)], langid.filters_of(spark.createDataFrame(rows, "lang int, gram long, n long"), 70))
     other = rng.integers(0, 1 << 63, 20000, dtype=np.uint64)
     for k, grams in enumerate(members):
         bit = np.uint64(1) << np.uint64(k % 64)

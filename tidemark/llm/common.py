@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """Folder that the driver and every executor share.
 
     It is the one named by ``spark.checkpoint.dir``; a folder of our own is used only where the
-    session names none, as in local tests.
+    session names none and runs in one process, as in local tests. On a cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -35,13 +36,15 @@ def scratch_dir(spark: SparkSession) -> str:
     held = context._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="tidemark-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
     context.setCheckpointDir(own)
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def written(df: DataFrame, what: str = "t", slim: bool = False) -> DataFrame:
+def written(df: DataFrame, what: str = "t", slim: bool = False, options: dict | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     A ``slim`` table (a few numbers a row) goes to an eighth of the shuffle's partitions, because
@@ -53,7 +56,7 @@ def written(df: DataFrame, what: str = "t", slim: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tidemark/{what}-{uuid.uuid4().hex}"
     out = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if slim else df
-    out.write.option("compression", "zstd").parquet(path)
+    out.write.options(compression="zstd", **(options or {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
@@ -98,6 +101,13 @@ def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataF
     return df.mapInArrow(over, schema)
 
 
+def gathered(rows: DataFrame, size: int) -> np.ndarray:
+    """``rows`` (place, value) as an array of ``size`` longs, zero where there is none; never more rows than that."""
+    held, out = rows.toArrow(), np.zeros(size, np.int64)
+    out[held.column(0).to_numpy()] = held.column(1).to_numpy()
+    return out
+
+
 def texts_of(column) -> list[str]:
     """Python strings of an Arrow string column; null counts as the empty text."""
     return ["" if x is None else x for x in column.to_pylist()]

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, release, short_batches, table, texts_of, written
+from tidemark.llm.common import documents, gathered, map_batches, release, short_batches, table, texts_of, written
 from tidemark.llm.components import components, forest
 
 WORDS = 5
@@ -154,13 +154,6 @@ def _keys(reps: DataFrame) -> DataFrame:
     return map_batches(reps.select("rep", "sig").repartition(parts, "rep"), run, "key long, rep long")
 
 
-def gathered(rows: DataFrame, size: int) -> np.ndarray:
-    """``rows`` (place, value) as an array of ``size`` longs, zero where there is none; never more rows than that."""
-    held, out = rows.toArrow(), np.zeros(size, np.int64)
-    out[held.column(0).to_numpy()] = held.column(1).to_numpy()
-    return out
-
-
 class _Bitmap:
     """Ids as bits of a hash, of fixed size: a filter before an exchange, exact in what it lets pass last."""
 

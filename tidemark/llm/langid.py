@@ -16,7 +16,8 @@ Learning reads a bounded sample: about ``ROWS_PER_LANGUAGE`` labelled rows of ea
 by a hash of the key, whole texts of them. Every label is learned; with so many of them that the
 sample would pass ``ROWS`` rows, each language gives an equal part of these, ``LEAST_ROWS`` at
 least, and all its rows if it has no more. Counting rows per language covers the whole table. The
-model on the driver grows with the number of languages, not with the corpus.
+filters' bits are set in Spark, and what reaches the driver is their table, of fixed size for every 64
+languages.
 
 Defined cases: a null text and a text without any letter are ``und`` with score 0. A text none of
 whose trigrams is known takes the language with most labelled rows, with score 0; with no learned
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, short_batches, table, texts_of
+from tidemark.llm.common import documents, gathered, map_batches, short_batches, table, texts_of
 
 ROWS_PER_LANGUAGE = 4000
 ROWS, LEAST_ROWS = 1_024_000, 32
@@ -88,12 +89,7 @@ class Model:
     false: np.ndarray
 
     @classmethod
-    def of(cls, languages: list[str], members: list[np.ndarray]) -> Model:
-        words = max(1, -(-len(languages) // 64))
-        filters = np.zeros((1 << SLOT_BITS, words), np.uint64)
-        for k, grams in enumerate(members):
-            for slots in _slots(grams):
-                filters[slots, k // 64] |= np.uint64(1) << np.uint64(k % 64)
+    def of(cls, languages: list[str], filters: np.ndarray) -> Model:
         filled = np.array([((filters[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(len(languages))])
         return cls(languages, filters, filled**PROBES)
 
@@ -126,9 +122,9 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     """A model of the labelled rows outside the held-out fold."""
     rows = documents(docs, key, text, label).toDF("id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("id")) != HELD_OUT))
     seen = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect()
-    if not seen:
-        return Model.of([], [])
     languages = [r.lang for r in seen]
+    if not seen:
+        return Model.of(languages, np.zeros((1 << SLOT_BITS, 1), np.uint64))
     scale = 1 << 30
     each = max(LEAST_ROWS, min(ROWS_PER_LANGUAGE, ROWS // len(seen)))
     most = docs.sparkSession.createDataFrame([(r.lang, min(scale, int(scale * each / r.n))) for r in seen], "of string, most long")  # one row a language
@@ -149,12 +145,20 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
         return {c: pa.array(np.concatenate(x)) for c, x in out.items()} if out["lang"] else None
 
     grams = map_batches(sample.select("lang", "text"), count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = grams.toPandas()  # bounded by the sample
-    total = found.groupby("lang")["n"].transform("sum")
-    found["rate"] = found["n"] / total
-    found = found[found["rate"] >= SHARE * found.groupby("gram")["rate"].transform("max")]
-    members = [found.loc[found["lang"] == k, "gram"].to_numpy(np.int64).view(np.uint64) for k in range(len(languages))]
-    return Model.of(languages, members)
+    return Model.of(languages, filters_of(grams, len(languages)))
+
+
+def filters_of(grams: DataFrame, languages: int) -> np.ndarray:
+    """The bit-sliced filters of trigram counts (lang, gram, n): set in Spark, a table of fixed size on the driver."""
+    total = grams.groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("total"))
+    rate = grams.join(F.broadcast(total), F.col("lang") == F.col("of")).withColumn("rate", F.col("n") / F.col("total"))  # one row a language
+    most = rate.groupBy(F.col("gram").alias("g")).agg(F.max("rate").alias("most"))
+    held = rate.join(most, F.col("gram") == F.col("g")).where(F.col("rate") >= SHARE * F.col("most"))
+    slots = F.explode(F.array(*[F.shiftrightunsigned("gram", probe * SLOT_BITS).bitwiseAND((1 << SLOT_BITS) - 1) for probe in range(PROBES)]))
+    bits = held.select(slots.alias("slot"), F.expr("lang div 64").alias("word"), F.expr("shiftleft(1L, cast(lang % 64 as int))").alias("bit"))
+    words = max(1, -(-languages // 64))
+    place = F.col("slot") * words + F.col("word")
+    return gathered(bits.groupBy(place.alias("place")).agg(F.bit_or("bit").alias("bits")), words << SLOT_BITS).view(np.uint64).reshape(-1, words)
 
 
 def language(model: Model, spark: SparkSession, text: Column) -> Column:
@@ -180,8 +184,8 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", label: st
 def keep_identified(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is identified: rejected are ``und`` and texts without a known trigram."""
     model = learn(docs)
-    found = docs.withColumn("__found", language(model, docs.sparkSession, F.col(text)))
-    return found.where((F.col("__found.lang") != UNKNOWN) & (F.col("__found.score") > 0)).drop("__found")
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), language(model, docs.sparkSession, F.col(f"`{text}`")).alias("found"))
+    return found.where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") > 0)).select("row.*")
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
