@@ -8,7 +8,7 @@ these numbers belongs to each place of a pattern.
 
 Ranks need no sort and no group in one task: while a partition is encoded it numbers its own pieces
 of each length, the written table keeps partition and number, and a running sum over the
-partitions' counts turns them into ranks. Texts are encoded once and never shuffled.
+partitions' counts, one array for each partition, turns them into ranks. Texts are encoded once and never shuffled.
 
 Defined cases: null and empty texts have the end id alone, so that every row has at least one
 piece. A null key stays null and repeated rows are packed one by one. Other columns are never
@@ -118,8 +118,18 @@ def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `length` rows
     where = spark.sparkContext.broadcast(places(pack(histogram, length)))  # patterns are bounded by the lengths
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = written(counts.select(F.col("part").alias("b_part"), F.col("length").alias("b_length"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
-    ranked = pieces.join(bases, (pieces["part"] == bases["b_part"]) & (pieces["length"] == bases["b_length"]))
+    runs = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).groupBy("part").agg(F.collect_list(F.struct("length", "base")).alias("runs"))
+
+    def dense(batch: pa.RecordBatch) -> dict:
+        out = np.zeros((batch.num_rows, length + 1), np.int64)
+        for k, row in enumerate(batch.column(1).to_pylist()):
+            for run in row:
+                out[k, run["length"]] = run["base"]
+        return {"b_part": batch.column(0), "bases": list(out)}
+
+    # one row of `length` numbers for each partition of pieces; adaptive execution sends it round or exchanges it by its size
+    bases = written(map_batches(runs, dense, "b_part int, bases array<long>"), "bases")
+    ranked = pieces.join(bases, pieces["part"] == bases["b_part"]).withColumn("base", F.expr("bases[cast(length as int)]"))
     ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("place")).alias("rank"))
 
     def run(batch: pa.RecordBatch) -> dict:
