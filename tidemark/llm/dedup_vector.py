@@ -12,9 +12,12 @@ prove blocks distant.
    grid order. The sorted sequence is cut into blocks, each with its bounding box.
 4. The join descends a tree of sequence intervals: from pairs of intervals to pairs of their
    parts, skipping every pair whose boxes lie more than eps apart. This runs on boxes alone.
-5. Pairs of blocks that are left are joined exactly in double precision. Each hands back, per
-   class, the weight linked with it, and a forest with the connectivity of its links, so that a
-   dense group never becomes all its pairs. Forests are contracted to components.
+5. Pairs of blocks that are left are joined exactly in double precision, those between the same two
+   runs of 2^FAN_BITS blocks in one task, so that a block is sent once for each run that it meets. Each
+   pair hands back, per class, the weight linked with it, and a forest with the connectivity of its
+   links, so that a dense group never becomes all its pairs. Forests are contracted to components.
+
+Vectors travel in the precision in which they came; what leads back to the rows is a 128-bit hash.
 
 Any orthonormal basis gives the same result; the order of floating-point sums can only change how
 much is skipped. Where a label's vectors all lie within eps of each other nothing can be skipped
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, map_batches, short_batches, table, written
@@ -56,13 +59,15 @@ def _classes(vectors: DataFrame, key: str, vector: str, label: str) -> tuple[Dat
     """All rows as (id, label, vec), vec null where it can't link; classes (rep, label, dim, vec, weight)."""
     rows = documents(vectors, key, vector, label).toDF("id", "vec", "label")
     sound = F.col("vec").isNotNull() & F.col("label").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("vec", lambda x: x != 0)
-    rows = rows.select("id", "label", F.when(sound, F.col("vec").cast("array<double>")).alias("vec"))
+    if rows.schema["vec"].dataType.simpleString() != "array<float>":
+        rows = rows.withColumn("vec", F.col("vec").cast("array<double>"))
+    rows = rows.select("id", "label", F.when(sound, F.col("vec")).alias("vec"))
     grouped = rows.where("vec is not null").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     return rows, written(grouped.where("rep is not null").select("rep", "label", F.size("vec").alias("dim"), "vec", "weight"), "vectors")
 
 
 def _matrix(column, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
 def _bases(classes: DataFrame) -> dict[int, np.ndarray]:
@@ -93,7 +98,7 @@ HI = [f"hi{k}" for k in range(DIRECTIONS)]
 
 
 def _blocks(classes: DataFrame, bases: dict[int, np.ndarray], eps: float) -> DataFrame:
-    """The epsilon grid order, cut into blocks: label, dim, part, n, box, and the block's classes."""
+    """The epsilon grid order, cut into blocks: label, dim, code (its place in the order), box, and the block's classes."""
 
     def project(batch: pa.RecordBatch) -> dict:
         dims = batch.column(2).to_numpy()
@@ -104,8 +109,9 @@ def _blocks(classes: DataFrame, bases: dict[int, np.ndarray], eps: float) -> Dat
             y[at, : base.shape[1]] = _unit(_matrix(batch.column(3).filter(pa.array(at)), dim)) @ base
         return {"rep": batch.column(0), "label": batch.column(1), "dim": batch.column(2), "vec": batch.column(3), "weight": batch.column(4), "y": list(y), "cell": list(np.floor(y / eps).astype(np.int32))}
 
-    label = classes.schema["label"].dataType.simpleString()
-    placed = map_batches(classes, project, f"rep long, label {label}, dim int, vec array<double>, weight long, y array<double>, cell array<int>")
+    label, kind = classes.schema["label"].dataType.simpleString(), classes.schema["vec"].dataType.simpleString()
+    width = "<f4" if kind == "array<float>" else "<f8"
+    placed = map_batches(classes, project, f"rep long, label {label}, dim int, vec {kind}, weight long, y array<double>, cell array<int>")
     order = ["label", "dim", "cell", "rep"]
     parts = max(1, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = written(placed, "placed").repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -121,7 +127,7 @@ def _blocks(classes: DataFrame, bases: dict[int, np.ndarray], eps: float) -> Dat
             out |= {c: [low[k]] for k, c in enumerate(LO)} | {c: [high[k]] for k, c in enumerate(HI)}
             out["reps"] = [np.array([r[0] for r in held], "<i8").tobytes()]
             out["weights"] = [np.array([r[1] for r in held], "<i8").tobytes()]
-            out["vecs"] = [np.stack([r[2] for r in held]).astype("<f8").tobytes()]
+            out["vecs"] = [np.stack([r[2] for r in held]).astype(width).tobytes()]
             return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) if not isinstance(out[f.name], pa.Array) else out[f.name] for f in schema], schema=schema)
 
         for batch in batches:
@@ -144,16 +150,16 @@ def _blocks(classes: DataFrame, bases: dict[int, np.ndarray], eps: float) -> Dat
     struct = StructType.fromDDL(fields)
     schema = to_arrow_schema(struct)
     short_batches(classes.sparkSession)
-    return written(placed.mapInArrow(cut, struct), "blocks")
+    blocks = written(placed.mapInArrow(cut, struct), "blocks")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    first = blocks.groupBy("part").agg(F.count(F.lit(1)).alias("m")).select("part", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("first"))
+    return blocks.join(first, "part").withColumn("code", F.col("first") + F.col("n")).drop("first")
 
 
 def _pairs(blocks: DataFrame, eps: float) -> DataFrame:
     """Pairs (a, b), a <= b, of block codes of one label and length whose boxes lie within eps."""
-    top = blocks.agg(F.max("part").alias("p"), F.max("n").alias("n")).first()
-    n_bits = max(1, int(top.n or 0).bit_length())
-    bits = n_bits + max(1, int(top.p or 0).bit_length())
-    code = (F.shiftleft(F.col("part").cast("long"), n_bits) + F.col("n")).alias("code")
-    leaves = written(blocks.select("label", "dim", code, *LO, *HI), "boxes")
+    leaves = written(blocks.select("label", "dim", "code", *LO, *HI), "boxes")
+    bits = max(1, int(leaves.agg(F.max("code")).first()[0] or 0).bit_length())
     levels = math.ceil(bits / FAN_BITS)
 
     def nodes(level: int, side: str) -> DataFrame:
@@ -169,9 +175,7 @@ def _pairs(blocks: DataFrame, eps: float) -> DataFrame:
         half = pairs.join(a, (pairs["label"] == a["label_a"]) & (pairs["dim"] == a["dim_a"]) & (pairs["pa"] == a["up_a"]))
         whole = half.join(b, (half["label"] == b["label_b"]) & (half["dim"] == b["dim_b"]) & (half["pb"] == b["up_b"]) & (half["a"] <= b["b"]))
         pairs = written(whole.where(apart <= eps * eps + 1e-9).select("label", "dim", F.col("a").alias("pa"), F.col("b").alias("pb")), "intervals")
-    shift = n_bits
-    split = lambda c: (F.shiftright(c, shift).cast("int"), (F.col(c) - F.shiftleft(F.shiftright(c, shift), shift)).cast("int"))
-    return pairs.select("label", "dim", split("pa")[0].alias("part_a"), split("pa")[1].alias("n_a"), split("pb")[0].alias("part_b"), split("pb")[1].alias("n_b"))
+    return pairs.select("dim", F.col("pa").alias("a"), F.col("pb").alias("b"))
 
 
 def linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
@@ -184,31 +188,42 @@ def linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return mask
 
 
-def _joined(blocks: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+def _joined(blocks: DataFrame, pairs: DataFrame, threshold: float, width: str) -> DataFrame:
     """(u, v, n): links of class u weigh n where v is null; else u and v are connected."""
-    side = lambda s: blocks.select(F.col("part").alias(f"part_{s}"), F.col("n").alias(f"n_{s}"), F.col("reps").alias(f"reps_{s}"), F.col("weights").alias(f"w_{s}"), F.col("vecs").alias(f"vecs_{s}"))
-    both = pairs.join(side("a"), ["part_a", "n_a"]).join(side("b"), ["part_b", "n_b"]).select("dim", "reps_a", "w_a", "vecs_a", "reps_b", "w_b", "vecs_b")
+    pairs = pairs.withColumn("run_a", F.shiftright("a", FAN_BITS)).withColumn("run_b", F.shiftright("b", FAN_BITS))
+    ends = pairs.select("run_a", "run_b", F.col("a").alias("end")).unionByName(pairs.select("run_a", "run_b", F.col("b").alias("end"))).distinct()
+    sent = ends.join(blocks.select("code", "reps", "weights", "vecs"), F.col("end") == F.col("code"))
+    rows = pairs.select("run_a", "run_b", F.col("a").alias("code"), F.col("b").alias("other"), "dim").unionByName(sent.select("run_a", "run_b", "code", F.lit(-1).cast("long").alias("other"), "reps", "weights", "vecs"), allowMissingColumns=True)
+    names = ["run_a", "run_b", "other", "code", "dim", "reps", "weights", "vecs"]
+
+    def links(held: dict, a: int, b: int, dim: int) -> pa.RecordBatch | None:
+        (ra, wa, xa), (rb, wb, xb) = held[a], held[b]
+        mask = linked(xa.reshape(-1, dim), xb.reshape(-1, dim), threshold)
+        if a == b:
+            np.fill_diagonal(mask, False)
+        counts = [(ra, mask @ wb)] + ([] if a == b else [(rb, mask.T @ wa)])
+        u = np.concatenate([r[c > 0] for r, c in counts])
+        if not len(u):
+            return None
+        n = np.concatenate([c[c > 0] for _, c in counts])
+        node, root = forest(mask, ra, rb)
+        weight = np.arange(len(u) + len(node)) < len(u)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([u, node])), pa.array(np.concatenate([np.zeros_like(u), root]), mask=weight), pa.array(np.concatenate([n, np.zeros_like(node)]))], names=["u", "v", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, held = None, {}
         for batch in batches:
+            run_a, run_b, other, code = (batch.column(k).to_pylist() for k in range(4))
             for k in range(batch.num_rows):
-                dim, *six = (batch.column(c)[k].as_py() for c in range(7))
-                ra, wa, rb, wb = (np.frombuffer(six[c], "<i8") for c in (0, 1, 3, 4))
-                mask = linked(np.frombuffer(six[2], "<f8").reshape(-1, dim), np.frombuffer(six[5], "<f8").reshape(-1, dim), threshold)
-                same = ra[0] == rb[0]
-                if same:
-                    np.fill_diagonal(mask, False)
-                counts = [(ra, mask @ wb)] + ([] if same else [(rb, mask.T @ wa)])
-                u = np.concatenate([r[c > 0] for r, c in counts])
-                n = np.concatenate([c[c > 0] for _, c in counts])
-                node, root = forest(mask, ra, rb)
-                if len(u):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([u, node])), pa.array(np.concatenate([np.zeros_like(u), root]), mask=np.arange(len(u) + len(node)) < len(u)), pa.array(np.concatenate([n, np.zeros_like(node)]))],
-                        names=["u", "v", "n"],
-                    )
-
-    return both.mapInArrow(run, "u long, v long, n long")
+                if (run_a[k], run_b[k]) != of:
+                    of, held = (run_a[k], run_b[k]), {}
+                if other[k] < 0:  # a block; they come before the pairs
+                    held[code[k]] = tuple(np.frombuffer(batch.column(5 + c)[k].as_py(), t).astype(as_) for c, t, as_ in ((0, "<i8", np.int64), (1, "<i8", np.int64), (2, width, np.float64)))
+                elif found := links(held, code[k], other[k], batch.column(4)[k].as_py()):
+                    yield found
+
+    short_batches(blocks.sparkSession)
+    return rows.select(*names).repartition("run_a", "run_b").sortWithinPartitions("run_a", "run_b", "other").mapInArrow(run, "u long, v long, n long")
 
 
 def vector_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
@@ -217,13 +232,16 @@ def vector_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     rows, classes = _classes(vectors, key, vector, label)
     bases = _bases(classes)
     blocks = _blocks(classes, bases, eps)
-    out = written(_joined(blocks, _pairs(blocks, eps), threshold), "vector-links")
+    width = "<f4" if classes.schema["vec"].dataType.simpleString() == "array<float>" else "<f8"
+    out = written(_joined(blocks, _pairs(blocks, eps), threshold, width), "vector-links")
     weights = out.where("v is null").groupBy("u").agg(F.sum("n").alias("linked"))
     found = components(out.where("v is not null").select("u", "v"))
     known = classes.join(weights, classes["rep"] == weights["u"], "left").join(found, classes["rep"] == found["node"], "left")
-    known = known.select(F.col("label").alias("c_label"), F.col("vec").alias("c_vec"), F.xxhash64("vec").alias("c_hash"), (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    prints = [F.xxhash64("vec", F.size("vec")), F.xxhash64(F.lit("second"), "vec")]
+    known = known.select(F.col("label").alias("c_label"), *[p.alias(f"c_{k}") for k, p in enumerate(prints)], (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     known = written(known, "vector-classes")
-    joined = rows.withColumn("hash", F.xxhash64("vec")).join(known, (F.col("hash") == F.col("c_hash")) & (F.col("vec") == F.col("c_vec")) & (F.col("label") == F.col("c_label")), "left")
+    plain = rows.select("id", "label", *[F.when(F.col("vec").isNotNull(), p).alias(f"p_{k}") for k, p in enumerate(prints)])
+    joined = plain.join(known, (F.col("p_0") == F.col("c_0")) & (F.col("p_1") == F.col("c_1")) & (F.col("label") == F.col("c_label")), "left")
     component = F.coalesce("component", "id")
     return joined.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
