@@ -86,8 +86,29 @@ def test_futures_by_hand(spark):
     out = simulation.simulate_futures(legs, marks, RULES, 1000).orderBy("seq").collect()
     assert [(r.kind, r.pnl_units, r.fee_units, r.equity_units, r.position) for r in out] == [("fill", 0, 6, 994, 2), ("settle", 60, 0, 1054, 2), ("fill", 20, 2, 1072, 0), ("fill", 0, 3, 1069, 1), ("settle", -10, 0, 1059, 1), ("settle", -90, 0, 969, 1)]
     assert out[1].margin_units == 206
-    total = simulation.combine_products(simulation.simulate_futures(legs, marks, RULES, 1000), 1000).orderBy("session").collect()
+    simulated = simulation.simulate_futures(legs, marks, RULES, 1000)
+    kinds = spark.createDataFrame([("p", "grain")], "product string, category string")
+    parts = simulation.futures_contributions(simulated, kinds, 1000)
+    total = simulation.combine_products(parts, 1000).orderBy("session").collect()
     assert [r.equity_units for r in total] == [1054, 1059, 969]
+    assert [(r.pnl_units, r.fee_units, r.margin_units) for r in parts.orderBy("session").collect()] == [(54, 6, 206), (5, 5, 199), (-90, 0, 190)]
+    two = parts.unionByName(parts.withColumn("product", F.lit("q")))
+    assert [r.equity_units for r in simulation.combine_products(two, 1000).orderBy("session").collect()] == [1108, 1118, 938]
+    assert "cover" in fails(simulation.futures_contributions(simulated, kinds.unionAll(spark.createDataFrame([("z", "metal")], kinds.schema)), 1000))
+    assert "passes the portfolio" in fails(simulation.combine_products(parts.withColumn("margin_units", F.lit(10_000)), 1000))
+    tables = simulation.project_futures(simulated, 10, 1000)
+    assert simulation.verify_result(tables).collect() == []
+    assert [(r.trade_cash_change_units, r.non_trade_cash_change_units, r.total_cash_units) for r in tables["cash"].orderBy("valuation_time").collect()] == [(-6, 60, 1054), (15, -10, 1059), (0, -90, 969)]
+    assert [(r.instrument_id, r.quantity, r.trade_quantity_change) for r in tables["positions"].orderBy("valuation_time", "instrument_id").collect()] == [("a", 2, 2), ("a", 0, -2), ("b", 1, 1), ("b", 1, 0)]
+
+
+def test_intents_close_the_old_contract_first(spark):
+    targets = spark.createDataFrame([("p", day(2), "a", 3), ("p", day(3), "a", 1), ("p", day(4), "b", -2), ("p", day(5), "b", 2), ("p", day(8), "b", 2)], "product string, session date, contract string, target_quantity bigint")
+    days = spark.createDataFrame([(day(n),) for n in (2, 3, 4, 5, 8, 9)], "session date")
+    out = simulation.futures_intents(targets, days).orderBy("session", "leg").collect()
+    assert [(r.session.day, r.target_sequence, r.contract, r.side, r.contracts, r.offset) for r in out] == [(3, 0, "a", "buy", 3, "open"), (4, 1, "a", "sell", 2, "close_yesterday"), (5, 2, "a", "sell", 1, "close_yesterday"), (5, 2, "b", "sell", 2, "open"), (8, 3, "b", "buy", 2, "close_yesterday"), (8, 3, "b", "buy", 2, "open")]
+    assert "no later session" in fails(simulation.futures_intents(targets, days.where("session < '2024-01-09'")))
+    assert "two targets" in fails(simulation.futures_intents(targets.unionAll(targets), days))
 
 
 def test_forced_liquidation_and_blocked_closing(spark):

@@ -93,3 +93,26 @@ def metric_rows(df: DataFrame, metrics: Sequence[tuple[str, object, str]], start
     rows = one.select(F.explode("m").alias("m"), "sample_start", "sample_end", "sample_size").select("m.metric_ref", "m.value", "m.unit", "sample_start", "sample_end", "sample_size")
     sound = F.col("value").isNotNull() & ~F.isnan("value") & (F.col("sample_size") > 0)
     return rows.withColumn("status", F.when(sound, "observed").otherwise("unavailable"))
+
+
+def decode_metrics(rows: DataFrame, known: Sequence[str]) -> DataFrame:
+    """Metric rows as (metric_ref, value, sample_size): one for each metric, finite, with a positive sample, of a known name."""
+    n = F.count(F.lit(1)).over(Window.partitionBy("metric_ref"))
+    finite = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf"))
+    sound = finite & (F.col("sample_size") > 0) & F.col("metric_ref").isin(*known) & (F.col("__n") == 1)
+    return rows.withColumn("__n", n).where(guard(F.coalesce(sound, F.lit(False)), "a metric is unknown, repeated, or has no finite value")).select("metric_ref", "value", "sample_size")
+
+
+def visible_to(decisions: DataFrame, facts: DataFrame, on: Sequence[str], decision: str, available: str) -> DataFrame:
+    """Each decision with the facts of its keys that were available by then, gathered, and a trace of what was read.
+
+    Adds ``facts`` (an array of the facts' other columns), ``facts_read`` and ``last_available``. No code
+    behind it can see a later fact, since none is there.
+    """
+    rest = [c for c in facts.columns if c not in on]
+    known = facts.select(*[F.col(k).alias(f"__{k}") for k in on], F.struct(*rest).alias("__fact"), F.col(available).alias("__at"))
+    tagged = decisions.withColumn("__row", F.monotonically_increasing_id())
+    match = reduce(and_, [F.col(k) == F.col(f"__{k}") for k in on]) & (F.col("__at") <= F.col(decision))
+    each = tagged.join(known, match, "left")
+    held = [F.first(c).alias(c) for c in decisions.columns]
+    return each.groupBy("__row").agg(*held, F.array_sort(F.collect_list("__fact")).alias("facts"), F.count("__at").alias("facts_read"), F.max("__at").alias("last_available")).drop("__row")

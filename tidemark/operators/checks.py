@@ -85,3 +85,44 @@ def fills_without_snapshot(fills: DataFrame, positions: DataFrame) -> DataFrame:
     """(portfolio, instrument, session) of fills for which no position is stated."""
     keys = ["portfolio_id", "instrument_id", "session"]
     return fills.select(*keys).subtract(positions.select(*keys))
+
+
+def minute_context(bars: DataFrame, targets: DataFrame, fills: DataFrame, slippage: int) -> DataFrame:
+    """Minute fills against what they were made of: their bar, its price, the target before it.
+
+    ``bars``: account, code, bar_start, dt, open_units; ``targets``: account, code, decision_time;
+    ``fills``: account, seq, code, at (their bar's end), side, price_units.
+    """
+    key = F.concat_ws(":", "account", "seq")
+    b = bars.select(F.col("account").alias("__a"), F.col("code").alias("__c"), F.col("dt").alias("__dt"), F.col("bar_start").alias("__start"), F.col("open_units").alias("__open"))
+    first = targets.groupBy(F.col("account").alias("__ta"), F.col("code").alias("__tc")).agg(F.min("decision_time").alias("__decided"))
+    rows = fills.join(b, (F.col("account") == F.col("__a")) & (F.col("code") == F.col("__c")) & (F.col("at") == F.col("__dt")), "left")
+    rows = rows.join(first, (F.col("account") == F.col("__ta")) & (F.col("code") == F.col("__tc")), "left").withColumn("__key", key)
+    price = F.col("__open") + F.when(F.col("side") == "buy", slippage).otherwise(-slippage)
+    early = F.col("__dt").isNotNull() & ~F.coalesce(F.col("__decided") <= F.col("__start"), F.lit(False))
+    out = _rows(rows.where("__dt is null"), "minute_bar", "__key", F.lit(None), F.col("at"))
+    out = out.unionByName(_rows(rows.where(price != F.col("price_units")), "minute_price", "__key", price, F.col("price_units")))
+    return out.unionByName(_rows(rows.where(early), "minute_target", "__key", F.col("__decided"), F.col("__start")))
+
+
+def recomputed(stated: DataFrame, again: DataFrame, keys: list[str]) -> DataFrame:
+    """Findings where a table differs from a second, independent computation of it, value by value."""
+    values = [c for c in stated.columns if c not in keys]
+    a = stated.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*values).alias("__stated"))
+    both = again.select(*keys, F.struct(*values).alias("__again")).join(a, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "full_outer")
+    named = both.withColumn("__key", F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.col(f"__{k}").cast("string")) for k in keys]))
+    each = [F.when(~F.col(f"__again.{v}").eqNullSafe(F.col(f"__stated.{v}")), F.struct(F.lit(v).alias("check"), F.col("__key").alias("key"), F.col(f"__again.{v}").cast("string").alias("expected"), F.col(f"__stated.{v}").cast("string").alias("stated"))) for v in values]
+    return named.select(F.explode(F.array_compact(F.array(*each))).alias("f")).select("f.*")
+
+
+class Workspace:
+    """Tables that verifying SQL may read, by name in braces, and how many rows an answer may have."""
+
+    def __init__(self, tables: dict[str, DataFrame], max_rows: int = 1_000_000):
+        self.tables, self.max_rows = tables, max_rows
+
+    def sql(self, text: str) -> DataFrame:
+        from tidemark.operators.query import within_rows
+
+        spark = next(iter(self.tables.values())).sparkSession
+        return within_rows(spark.sql(text, **{n: df for n, df in self.tables.items() if "{" + n + "}" in text}), self.max_rows)

@@ -113,6 +113,19 @@ def require_one(df: DataFrame, key: Sequence[str], matched: str) -> DataFrame:
     return rows.where(guard((F.col("__n") == 1) & F.col(matched).isNotNull(), "a row has no match or several")).drop("__n")
 
 
+def resolve_alias(rows: DataFrame, aliases: DataFrame, alias: str, at: str) -> DataFrame:
+    """Each row with the instrument that its alias names at its time; none or several are an error.
+
+    ``aliases``: alias, instrument, start, end; both ends belong to the interval, a null end is open.
+    """
+    known = aliases.select(F.col("alias").alias("__alias"), F.col("instrument"), F.col("start").alias("__from"), F.col("end").alias("__to"))
+    tagged = rows.withColumn("__row", F.monotonically_increasing_id())
+    inside = (F.col("__from") <= F.col(at)) & (F.col("__to").isNull() | (F.col(at) <= F.col("__to")))
+    found = tagged.join(known, (F.col(alias) == F.col("__alias")) & inside, "left")
+    one = found.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__row")))
+    return one.where(guard((F.col("__n") == 1) & F.col("instrument").isNotNull(), "an alias names no instrument, or several")).drop("__alias", "__from", "__to", "__row", "__n")
+
+
 def completed_sessions(facts: DataFrame, sessions: DataFrame, instrument: str, day: str) -> DataFrame:
     """Facts of completed sessions only: a semi join on (instrument, date) pairs."""
     done = sessions.select(F.col(sessions.columns[0]).alias("__i"), F.col(sessions.columns[1]).alias("__d"))

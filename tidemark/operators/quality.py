@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.errors import ContractError
 from tidemark.operators.pit import guard
 from tidemark.schema import require_columns
 
@@ -31,6 +32,50 @@ def quality_gate(df: DataFrame, types: Mapping[str, str], key: Sequence[str], re
     return rows.crossJoin(F.broadcast(sound)).drop("__twice")  # one row
 
 
+def preflight(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> dict[str, int]:
+    """The optimizer's estimate of a frame's size, without running it; one beyond the budget is an error.
+
+    Spark knows rows only of tables with statistics; without, rows are bytes over the schema's default row size.
+    """
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    size = int(str(stats.sizeInBytes()))
+    rows = int(str(stats.rowCount().get())) if stats.rowCount().isDefined() else size // max(1, df._jdf.schema().defaultSize())
+    if (max_bytes is not None and size > max_bytes) or (max_rows is not None and rows > max_rows):
+        raise ContractError(f"an estimate of {rows} rows and {size} bytes passes the budget")
+    return {"rows": rows, "bytes": size}
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: text and binaries as they are, other values by their type's width, nested ones as JSON."""
+    parts = [F.lit(0).cast("bigint")]
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)))
+        elif kind.startswith(("array", "map", "struct")):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)))
+        else:
+            parts.append(F.lit({"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}.get(kind, 16 if kind.startswith("decimal") else 8)))
+    return sum(parts[1:], parts[0])
+
+
+def within_budget(df: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
+    """The rows as they are; more rows or bytes than the budget are an error when they are read."""
+    total = df.agg(F.count(F.lit(1)).alias("__rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("__bytes"))
+    total = total.where(guard((F.col("__rows") <= max_rows) & (F.col("__bytes") <= max_bytes), "the rows pass the budget"))
+    return df.crossJoin(F.broadcast(total)).drop("__rows", "__bytes")  # one row
+
+
+def concatenate(frames: Sequence[DataFrame], max_bytes: int) -> DataFrame:
+    """Frames with the same columns, one after another, within a budget of bytes."""
+    if not frames or any(set(f.columns) != set(frames[0].columns) for f in frames):
+        raise ContractError("frames to concatenate have the same columns")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return within_budget(out, (1 << 62), max_bytes)
+
+
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """Row count and an order-insensitive hash of a table's content."""
     h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")

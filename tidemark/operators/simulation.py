@@ -56,80 +56,86 @@ def simulate_minutes(bars: DataFrame, targets: DataFrame, policy: MinutePolicy,
     be sold from the next session on. Bars come in order of availability; one that comes twice is an
     error. Rows: ``fill`` and ``reject`` as they happen, and a ``close`` for each session.
     """
-    p, lot = policy.costs, policy.costs.lot
-    asked = targets.select("account", F.lit(0).alias("what"), F.col("decision_time").alias("time"), "code", "target_quantity")
-    given = bars.withColumn("what", F.lit(1)).withColumn("time", F.col("available_time"))
 
     def start(account) -> tuple:
-        state, wanted, active, prices, seen = Spot(opening), deque(), {}, {}, set()
-        session, last, position, worth, n_rows = None, None, 0, 0, 0
+        held = MinuteAccount(account, policy, opening)
+        return held.step, held.end
 
-        def row(kind: str, b: dict, side=None, n=0, price=0, fee=0, reason=None) -> tuple:
-            nonlocal n_rows
-            n_rows += 1
-            return account, n_rows - 1, kind, b["code"], str(b["session"]), b["dt"], side, n, price, fee, reason, state.available, position, state.available + worth
-
-        def trade(b: dict) -> tuple | None:
-            nonlocal position, worth
-            code = b["code"]
-            held = state.lot(code)
-            gap = active.get(code, held.quantity) - held.quantity
-            if not gap:
-                return None
-            buy = gap > 0
-            side, price = ("buy", b["open_units"] + p.slippage_units) if buy else ("sell", b["open_units"] - p.slippage_units)
-            room = b["volume"] * policy.participation_ppm // 1_000_000
-            n = min(abs(gap), room) // lot * lot
-            free = n if buy else min(n, held.sellable // lot * lot)
-            if buy and free and n * price + p.fee(side, n * price) > state.available:
-                free = p.affordable(state.available, n, price)
-            rules = (
-                ("limit_up_buy_blocked", buy and price >= b["high_limit_units"]),
-                ("limit_down_sell_blocked", not buy and price <= b["low_limit_units"]),
-                ("capacity_exceeded", not n),
-                ("insufficient_cash" if buy else "t1_sell_blocked", not free),
-            )
-            if reason := next((name for name, holds in rules if holds), None):
-                return row("reject", b, side, abs(gap), price, 0, reason)
-            fee = p.fee(side, free * price)
-            state.post(fill_moves(side, code, free, free * price, fee))
-            position += free if buy else -free
-            worth += (free if buy else -free) * prices[code]
-            return row("fill", b, side, free, price, fee)
+    return fold(minute_events(bars, targets), "account", ["time", "what", "code", "dt", "seq"], start, MINUTE)
 
-        def step(e: dict) -> list[tuple]:
-            nonlocal session, last, worth
-            if not e["what"]:
-                wanted.append(e)
-                return []
-            if (e["code"], e["dt"]) in seen:
-                raise LedgerError("a bar comes twice")
-            seen.add((e["code"], e["dt"]))
-            while wanted and wanted[0]["time"] <= e["bar_start"]:
-                target = wanted.popleft()
-                active[target["code"]] = target["target_quantity"]
-            if not e["completed"] or e["quality_status"] != "pass":
-                return []
-            out = []
-            if e["session"] != session:
-                if last is not None:
-                    out.append(row("close", last))
-                state.mature()
-                session = e["session"]
-            worth += state.lot(e["code"]).quantity * (e["close_units"] - prices.get(e["code"], 0))
-            prices[e["code"]], last = e["close_units"], e
-            if done := trade(e):
-                out.append(done)
-            return out
 
-        def end() -> list[tuple]:
-            if wanted:
-                raise LedgerError("a target has no later bar")
-            return [row("close", last)] if last is not None else []
-
-        return step, end
-
-    return fold(given.unionByName(asked, allowMissingColumns=True), "account", ["time", "what", "code", "dt", "seq"], start, MINUTE)
+def minute_events(bars: DataFrame, targets: DataFrame) -> DataFrame:
+    """Bars and targets as one table of events: ``what`` is 0 for a target, ``time`` when it is known."""
+    asked = targets.select("account", F.lit(0).alias("what"), F.col("decision_time").alias("time"), "code", "target_quantity")
+    return bars.withColumn("what", F.lit(1)).withColumn("time", F.col("available_time")).unionByName(asked, allowMissingColumns=True)
+
+
+class MinuteAccount:
+    """One account's minute simulation: takes events in order, gives rows of MINUTE as tuples. It may be pickled between events."""
+
+    def __init__(self, account, policy: MinutePolicy, opening: int):
+        self.account, self.policy, self.state = account, policy, Spot(opening)
+        self.wanted, self.active, self.prices, self.seen = deque(), {}, {}, set()
+        self.session, self.last, self.position, self.worth, self.rows = None, None, 0, 0, 0
+
+    def row(self, kind: str, b: dict, side=None, n=0, price=0, fee=0, reason=None) -> tuple:
+        self.rows += 1
+        return self.account, self.rows - 1, kind, b["code"], str(b["session"]), b["dt"], side, n, price, fee, reason, self.state.available, self.position, self.state.available + self.worth
+
+    def trade(self, b: dict) -> list[tuple]:
+        """Towards the target of a bar's instrument, at its open."""
+        costs, lot, held = self.policy.costs, self.policy.costs.lot, self.state.lot(b["code"])
+        gap = self.active.get(b["code"], held.quantity) - held.quantity
+        if not gap:
+            return []
+        buy = gap > 0
+        side, price = ("buy", b["open_units"] + costs.slippage_units) if buy else ("sell", b["open_units"] - costs.slippage_units)
+        n = min(abs(gap), b["volume"] * self.policy.participation_ppm // 1_000_000) // lot * lot
+        free = n if buy else min(n, held.sellable // lot * lot)
+        if buy and free and n * price + costs.fee(side, n * price) > self.state.available:
+            free = costs.affordable(self.state.available, n, price)
+        rules = (
+            ("limit_up_buy_blocked", buy and price >= b["high_limit_units"]),
+            ("limit_down_sell_blocked", not buy and price <= b["low_limit_units"]),
+            ("capacity_exceeded", not n),
+            ("insufficient_cash" if buy else "t1_sell_blocked", not free),
+        )
+        if reason := next((name for name, holds in rules if holds), None):
+            return [self.row("reject", b, side, abs(gap), price, 0, reason)]
+        fee = costs.fee(side, free * price)
+        self.state.post(fill_moves(side, b["code"], free, free * price, fee))
+        change = free if buy else -free
+        self.position += change
+        self.worth += change * self.prices[b["code"]]
+        return [self.row("fill", b, side, free, price, fee)]
+
+    def step(self, e: dict) -> list[tuple]:
+        if not e["what"]:
+            self.wanted.append((e["time"], e["code"], int(e["target_quantity"])))
+            return []
+        if (e["code"], e["dt"]) in self.seen:
+            raise LedgerError("a bar comes twice")
+        self.seen.add((e["code"], e["dt"]))
+        while self.wanted and self.wanted[0][0] <= e["bar_start"]:
+            _, code, quantity = self.wanted.popleft()
+            self.active[code] = quantity
+        if not e["completed"] or e["quality_status"] != "pass":
+            return []
+        e = e | {k: int(e[k]) for k in ("open_units", "close_units", "volume", "high_limit_units", "low_limit_units")}
+        out = []
+        if e["session"] != self.session:
+            if self.last is not None:
+                out.append(self.row("close", self.last))
+            self.state.mature()
+            self.session = e["session"]
+        self.worth += self.state.lot(e["code"]).quantity * (e["close_units"] - self.prices.get(e["code"], 0))
+        self.prices[e["code"]], self.last = e["close_units"], e
+        return out + self.trade(e)
+
+    def end(self) -> list[tuple]:
+        if self.wanted:
+            raise LedgerError("a target has no later bar")
+        return [self.row("close", self.last)] if self.last is not None else []
 
 
 # Daily futures ---------------------------------------------------------------------------------
@@ -214,14 +220,56 @@ def simulate_futures(legs: DataFrame, settlements: DataFrame, rules: FuturesRule
     return fold(orders.unionByName(marks), "product", ["session", "what", "n", "contract"], start, DAILY)
 
 
-def combine_products(simulated: DataFrame, opening: int) -> DataFrame:
-    """A portfolio's equity by session: products' changes added up, each carried where it has no row."""
-    last = simulated.groupBy("product", "session").agg(F.max_by("equity_units", "seq").alias("equity_units"))
-    days = last.select("session").distinct()
-    grid = last.select("product").distinct().join(days).join(last, ["product", "session"], "left")
-    w = Window.partitionBy("product").orderBy("session").rowsBetween(Window.unboundedPreceding, 0)
-    carried = grid.withColumn("equity_units", F.coalesce(F.last("equity_units", ignorenulls=True).over(w), F.lit(opening)))
-    return carried.groupBy("session").agg(F.sum("equity_units").alias("equity_units"), F.count_if(F.col("equity_units") <= 0).alias("products_lost"))
+def futures_intents(targets: DataFrame, sessions: DataFrame, session: str = "session") -> DataFrame:
+    """Order intents of target positions: each target is traded in the next session, an old contract closed first.
+
+    ``targets``: product, session, contract, target_quantity; ``sessions``: the calendar. Positions
+    are those of days before, so that every closing leg closes yesterday's. A target without a later
+    session is an error, and so is a product with two targets in one. Rows: product, session (of the
+    execution), target_session, target_sequence, leg, contract, side, contracts, offset.
+    """
+    from tidemark.operators.pit import guard
+    from tidemark.operators.trading import decompose_roll
+
+    w, at = Window.partitionBy("product").orderBy("target_session"), Window.orderBy("__day")  # one row a session
+    days = sessions.select(F.col(session).alias("__day")).distinct().withColumn("session", F.lead("__day").over(at))
+    rows = targets.select("product", F.col("session").alias("target_session"), F.col("contract").alias("new_contract"), F.col("target_quantity").cast("bigint").alias("target"))
+    rows = rows.withColumn("target_sequence", F.row_number().over(w) - 1).withColumn("__twice", F.col("target_session").eqNullSafe(F.lag("target_session").over(w)))
+    rows = rows.withColumn("old_contract", F.lag("new_contract").over(w)).withColumn("held", F.coalesce(F.lag("target").over(w), F.lit(0)))
+    rows = rows.withColumn("roll", F.coalesce(F.col("old_contract") != F.col("new_contract"), F.lit(False)))
+    rows = rows.where(guard(~F.col("__twice"), "a product has two targets in a session")).drop("__twice")
+    rows = rows.join(days, F.col("target_session") == F.col("__day"), "left").drop("__day")
+    rows = rows.where(guard(F.col("session").isNotNull(), "a target has no later session"))
+    legs = decompose_roll(rows)
+    offset = F.when(F.col("offset") == "close_today", "close_yesterday").otherwise(F.col("offset"))
+    return legs.select("product", "session", "target_session", "target_sequence", "leg", "contract", "side", "contracts", offset.alias("offset"))
+
+
+def futures_contributions(simulated: DataFrame, categories: DataFrame, opening: int) -> DataFrame:
+    """What each product added to a portfolio by session: its change of equity, fees and margin.
+
+    ``simulated``: rows of :func:`simulate_futures`; ``categories``: product, category, for exactly
+    the simulated products (else an error).
+    """
+    from tidemark.operators.pit import guard
+
+    day = simulated.groupBy("product", "session").agg(F.max_by("equity_units", "seq").alias("equity_units"), F.sum("fee_units").alias("fee_units"), F.max_by(F.when(F.col("position") == 0, 0).otherwise(F.col("margin_units")), "seq").alias("margin_units"))
+    before = F.lag("equity_units").over(Window.partitionBy("product").orderBy("session"))
+    day = day.withColumn("pnl_units", F.col("equity_units") - F.coalesce(before, F.lit(opening)))
+    both = day.join(categories.select(F.col("product").alias("__p"), "category"), F.col("product") == F.col("__p"), "full_outer")
+    both = both.where(guard(F.col("product").isNotNull() & F.col("category").isNotNull(), "categories have to cover the simulated products, and no others"))
+    return both.select("product", "category", "session", "pnl_units", "fee_units", "margin_units", "equity_units")
+
+
+def combine_products(contributions: DataFrame, opening: int) -> DataFrame:
+    """A portfolio by session: one opening equity and what all products added to it; margin beyond the equity is an error."""
+    from tidemark.operators.pit import guard
+
+    day = contributions.groupBy("session").agg(F.sum("pnl_units").alias("pnl_units"), F.sum("fee_units").alias("fee_units"), F.sum("margin_units").alias("margin_units"))
+    total = F.sum("pnl_units").over(Window.orderBy("session").rowsBetween(Window.unboundedPreceding, 0))  # one row a session
+    day = day.withColumn("equity_units", F.lit(opening) + total)
+    day = day.where(guard(F.col("margin_units") <= F.col("equity_units"), "the products' margin passes the portfolio's equity"))
+    return day.select("session", "pnl_units", "fee_units", "margin_units", "equity_units", (F.col("equity_units") - F.col("margin_units")).alias("free_equity_units"))
 
 
 # Six result tables -----------------------------------------------------------------------------
@@ -250,6 +298,41 @@ def project_cash(orders: DataFrame, opening: int) -> dict[str, DataFrame]:
     return out
 
 
+def project_futures(simulated: DataFrame, multiplier: int, opening: int) -> dict[str, DataFrame]:
+    """Rows of :func:`simulate_futures` as the six result tables, each product a portfolio.
+
+    A fill or forced closing changes cash by its profit less its fee (a trade's change), a settlement
+    by its profit (none of a trade). Positions are the running sum of fills; one that differs from the
+    position that the session's last row states is an error.
+    """
+    from tidemark.operators.pit import guard
+
+    c, one = F.col, F.concat_ws(":", "product", F.col("seq").cast("string"))
+    base = simulated.withColumn("portfolio_id", c("product")).withColumn("order_id", one).withColumn("traded", c("kind").isin("fill", "forced"))
+    done = base.where("traded").withColumn("fill_id", F.concat("order_id", F.lit(":f")))
+    signed = F.when(c("side") == "buy", c("quantity")).otherwise(-c("quantity"))
+    status = F.when(c("traded"), "filled").otherwise("rejected")
+    out = {
+        "orders": base.where("kind <> 'settle'").select("portfolio_id", "order_id", "session", c("contract").alias("instrument_id"), "side", c("quantity").alias("requested_quantity"), F.when(c("traded"), c("quantity")).otherwise(0).alias("filled_quantity"), status.alias("status"), F.when(~c("traded"), c("reason")).alias("terminal_reason")),
+        "fills": done.select("portfolio_id", "fill_id", "order_id", "session", c("contract").alias("instrument_id"), "side", "quantity", c("price_units").alias("execution_price_units"), F.lit(multiplier).alias("contract_multiplier"), (c("price_units") * c("quantity") * multiplier).alias("notional_units"), "fee_units", F.coalesce("offset", F.lit("close")).alias("position_effect"), c("pnl_units").alias("realized_pnl_units")),
+        "costs": done.select("portfolio_id", F.concat("order_id", F.lit(":c")).alias("cost_id"), "fill_id", "session", F.lit("transaction_fee").alias("cost_type"), c("fee_units").alias("amount_units")),
+    }
+    sum_if = lambda keep, x: F.sum(F.when(keep, x).otherwise(0))
+    day = base.groupBy("portfolio_id", "session").agg(
+        sum_if(c("traded"), c("pnl_units") - c("fee_units")).alias("trade_cash_change_units"), sum_if(c("kind") == "settle", c("pnl_units")).alias("non_trade_cash_change_units"),
+        F.max_by("equity_units", "seq").alias("total_cash_units"), F.max_by(F.when(c("position") == 0, 0).otherwise(c("margin_units")), "seq").alias("margin_units"),
+    ).withColumn("snapshot_id", F.concat_ws("@", "portfolio_id", c("session").cast("string")))
+    out["cash"] = day.select("portfolio_id", "snapshot_id", c("session").alias("valuation_time"), F.lit(opening).cast("bigint").alias("opening_cash_units"), "trade_cash_change_units", "non_trade_cash_change_units", "total_cash_units", "margin_units", (c("total_cash_units") - c("margin_units")).alias("available_cash_units"))
+    out["valuations"] = day.select("portfolio_id", "snapshot_id", c("session").alias("valuation_time"), c("total_cash_units").alias("nav_units"))
+    held = base.where("kind <> 'reject'").groupBy("portfolio_id", c("contract").alias("instrument_id"), "session").agg(sum_if(c("traded"), signed).alias("trade_quantity_change"), F.max_by("position", "seq").alias("stated"))
+    w = Window.partitionBy("portfolio_id", "instrument_id").orderBy("session").rowsBetween(Window.unboundedPreceding, 0)
+    held = held.withColumn("quantity", F.sum("trade_quantity_change").over(w))
+    held = held.where(guard((c("quantity") == c("stated")) | ((c("quantity") == 0) & (c("trade_quantity_change") != 0)), "the fills' positions are not those that are settled"))
+    zero = F.lit(0).cast("bigint")
+    out["positions"] = held.where("quantity <> 0 or trade_quantity_change <> 0").select("portfolio_id", "instrument_id", c("session").alias("valuation_time"), F.concat_ws("@", "portfolio_id", "instrument_id", c("session").cast("string")).alias("snapshot_id"), "quantity", c("quantity").alias("sellable_quantity"), zero.alias("unsettled_quantity"), zero.alias("frozen_quantity"), "trade_quantity_change", zero.alias("non_trade_quantity_change"))
+    return out
+
+
 def verify_result(tables: dict[str, DataFrame]) -> DataFrame:
     """All findings against a result; a sound one has none."""
     found = checks.fill_integrity(tables["orders"], tables["fills"])

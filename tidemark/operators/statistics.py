@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import hmac
+import json
 import math
 from collections.abc import Iterator, Sequence
-from itertools import combinations
+from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
-from tidemark.functions.scalars import expected_maximum, normal_cdf
+from tidemark.functions.scalars import expected_maximum, normal_cdf, two_sided_p
+from tidemark.operators.pit import guard
 
 # Means under dependence ------------------------------------------------------------------------
 
@@ -104,11 +106,124 @@ def adjust_p(df: DataFrame, family: Sequence[str], p: str, candidate: str, metho
         rows = rows.withColumn("__raw", F.col(p) * (F.col("__n") - F.col("__k") + 1))
         adjusted = F.max("__raw").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     else:
-        harmonic = F.lit(1.0) if method == "benjamini_hochberg" else F.aggregate(F.sequence(F.lit(1), F.col("__n").cast("int")), F.lit(0.0), lambda a, k: a + 1.0 / k)
-        rows = rows.withColumn("__raw", F.col(p) * F.col("__n") * harmonic / F.col("__k"))
+        # 1 + 1/2 + ... + 1/n, as the largest of the family's running sums
+        running = F.lit(1.0) if method == "benjamini_hochberg" else F.sum(1.0 / F.col("__k")).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("__h", running).withColumn("__h", F.max("__h").over(w))
+        rows = rows.withColumn("__raw", F.col(p) * F.col("__n") * F.col("__h") / F.col("__k"))
         adjusted = F.min("__raw").over(ordered.rowsBetween(0, Window.unboundedFollowing))
     rows = rows.withColumn("adjusted_p", F.least(F.lit(1.0), adjusted))
-    return rows.drop("__n", "__k", "__raw")
+    return rows.drop("__n", "__k", "__h", "__raw")
+
+
+@dataclass(frozen=True)
+class Family:
+    """A family of tests, fixed before any of them is read: adjusting takes all of its results or none."""
+
+    name: str
+    candidates: tuple[str, ...]
+    metric: str
+    direction: str = "two_sided"
+    alpha: float = 0.05
+    independent: bool = False
+
+    def __post_init__(self) -> None:
+        sound = self.name.strip() and self.metric.strip() and self.candidates and len(set(self.candidates)) == len(self.candidates)
+        if not sound or self.direction not in ("greater", "less", "two_sided") or not 0 < self.alpha < 1:
+            raise ContractError("a family has a name, a metric, candidates that differ, a direction, and an alpha between 0 and 1")
+
+    @property
+    def fingerprint(self) -> str:
+        return hashlib.sha256(json.dumps([self.name, self.candidates, self.metric, self.direction, self.alpha, self.independent]).encode()).hexdigest()
+
+    def complete(self, results: DataFrame, candidate: str, p: str) -> DataFrame:
+        """The results if they are one p-value in [0, 1] for each candidate of the family; else an error."""
+        known = results.sparkSession.createDataFrame([(c,) for c in self.candidates], "__c string")
+        both = results.join(known, F.col(candidate) == F.col("__c"), "full_outer").withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__c")))
+        sound = F.col("__c").isNotNull() & F.col(candidate).isNotNull() & (F.col("__n") == 1) & F.col(p).between(0, 1)
+        return both.where(guard(F.coalesce(sound, F.lit(False)), "results have to be complete for the family")).drop("__c", "__n")
+
+    def adjust(self, results: DataFrame, candidate: str, p: str, method: str) -> DataFrame:
+        out = adjust_p(self.complete(results, candidate, p).withColumn("__f", F.lit(1)), ["__f"], p, candidate, method, self.independent).drop("__f")
+        return out.withColumn("passes_alpha", F.col("adjusted_p") <= self.alpha)
+
+
+def inference(df: DataFrame, estimate: str = "estimate", error: str = "standard_error", confidence: float = 0.95) -> DataFrame:
+    """Adds confidence_low, confidence_high and a two-sided p_value; a standard error that is not positive is an error."""
+    if not 0 < confidence < 1:
+        raise ContractError("a confidence lies between 0 and 1")
+    z = NormalDist().inv_cdf(0.5 + confidence / 2)
+
+    @F.pandas_udf("double")
+    def p_value(z: pd.Series) -> pd.Series:
+        return z.map(two_sided_p, na_action="ignore")
+
+    rows = df.where(guard(F.coalesce((F.col(error) > 0) & (F.col(error) < float("inf")), F.lit(False)), "a standard error is not positive"))
+    return rows.withColumns({"confidence_low": F.col(estimate) - z * F.col(error), "confidence_high": F.col(estimate) + z * F.col(error), "p_value": p_value(F.col(estimate) / F.col(error))})
+
+
+@dataclass(frozen=True)
+class MinuteProfile:
+    """Borders of a minute study, in the labels' own unit of time, and how its candidates are tested."""
+
+    family: Family
+    train_end: int
+    validation_end: int
+    test_end: int
+    embargo: int
+    lag: int
+    method: str = "holm"
+    least: int = 3
+
+
+def overlap_floors(labels: DataFrame, candidate: str = "candidate", entry: str = "entry", exit_: str = "exit") -> DataFrame:
+    """One row: the least lag (later labels that begin before one ends) and embargo (longest label) that candidates need."""
+    lags = overlap_lag(labels, [candidate], entry, exit_).agg(F.coalesce(F.max("overlap_lag"), F.lit(0)).alias("lag_floor"))
+    spans = labels.agg(F.coalesce(F.max(F.col(exit_) - F.col(entry)), F.lit(0)).alias("embargo_floor"))
+    return lags.crossJoin(F.broadcast(spans))  # one row each
+
+
+def minute_statistics(labels: DataFrame, profile: MinuteProfile) -> tuple[DataFrame, DataFrame]:
+    """Trials and report of a minute study over labels (candidate, observation_id, entry, exit, value).
+
+    Trials: for every candidate of the family its test labels, mean, raw and adjusted p-value. One with
+    too few test labels or without variance has p = 1. Report: one row with the floors, the issues
+    and the status. Labels of candidates outside the family are an error.
+    """
+    from tidemark.operators.validation import split_minutes
+
+    spark, family = labels.sparkSession, profile.family
+    known = spark.createDataFrame([(c,) for c in family.candidates], "candidate string")
+    rows = labels.withColumn("candidate", F.col("candidate").cast("string"))
+    rows = rows.where(guard(F.col("candidate").isin(*family.candidates), "a label's candidate is not in the family"))
+    parts = split_minutes(rows, "entry", "exit", profile.train_end, profile.validation_end, profile.test_end, profile.embargo)
+    tested = hac_mean(parts.where("part = 'test'"), ["candidate"], ["entry", "observation_id"], "value", profile.lag)
+    enough = (F.col("sample_size") >= max(profile.least, 3)) & (F.col("sample_size") > profile.lag) & F.col("z_value").isNotNull()
+
+    @F.pandas_udf("double")
+    def p_value(z: pd.Series) -> pd.Series:
+        return z.map(two_sided_p, na_action="ignore")
+
+    trials = known.join(tested, "candidate", "left").select("candidate", F.coalesce("sample_size", F.lit(0)).alias("sample_count"), F.when(enough, F.col("estimate")).alias("estimate"), F.coalesce(p_value(F.when(enough, F.col("z_value"))), F.lit(1.0)).alias("raw_p"))
+    trials = family.adjust(trials, "candidate", "raw_p", profile.method)
+    seen = known.join(rows.select("candidate").distinct().withColumn("__seen", F.lit(1)), "candidate", "left").agg(F.count_if(F.col("__seen").isNull()).alias("unseen"))
+    weak = trials.agg(F.count_if(F.col("estimate").isNull()).alias("weak"))
+    facts = overlap_floors(rows).crossJoin(F.broadcast(seen)).crossJoin(F.broadcast(weak))  # one row each
+    issues = F.array_compact(F.array(
+        F.when(F.col("unseen") > 0, F.lit("search.minute_trial_universe_incomplete")), F.when(F.col("embargo_floor") > profile.embargo, F.lit("split.embargo_below_floor")),
+        F.when(F.col("lag_floor") > profile.lag, F.lit("statistics.hac_below_floor")), F.when(F.col("weak") > 0, F.lit("statistics.minute_sample_invalid")),
+    ))
+    report = facts.select("lag_floor", "embargo_floor", F.array_join(issues, ",").alias("issue_codes"), F.when(F.size(issues) == 0, "pass").otherwise("fail").alias("status"))
+    return trials, report
+
+
+def minute_validity(reported: DataFrame, labels: DataFrame, profile: MinuteProfile, digits: int = 9) -> DataFrame:
+    """Findings (check, key, expected, stated) of a study's reported trials against what its labels give."""
+    again = minute_statistics(labels, profile)[0]
+    told = reported.select(F.col("candidate").alias("__c"), *[F.col(c).alias(f"__{c}") for c in ("sample_count", "estimate", "raw_p", "adjusted_p")])
+    both = again.join(told, F.col("candidate") == F.col("__c"), "full_outer").withColumn("key", F.coalesce("candidate", "__c"))
+    text = lambda c: F.col(c).cast("string") if c.endswith("sample_count") else F.round(c, digits).cast("string")
+    checks = [F.when(~text(c).eqNullSafe(text(f"__{c}")), F.struct(F.lit(f"minute_{c}").alias("check"), "key", text(c).alias("expected"), text(f"__{c}").alias("stated"))) for c in ("sample_count", "estimate", "raw_p", "adjusted_p")]
+    return both.select(F.explode(F.array_compact(F.array(*checks))).alias("f")).select("f.*")
 
 
 def correlation(x: Column, y: Column) -> Column:
@@ -137,12 +252,23 @@ def psr_z(moments: DataFrame, benchmark: float = 0.0) -> DataFrame:
 
 def probabilistic_sharpe(df: DataFrame, group: Sequence[str], value: str, benchmark: float = 0.0) -> DataFrame:
     """Probability that the Sharpe ratio exceeds the benchmark."""
-    cdf = F.udf(lambda z: None if z is None else normal_cdf(z), "double")  # one row for each group
+
+    @F.pandas_udf("double")
+    def cdf(z: pd.Series) -> pd.Series:
+        return z.map(normal_cdf, na_action="ignore")
+
     return psr_z(sharpe_moments(df, group, value), benchmark).withColumn("probability", cdf("z_value"))
 
 
+#: Bytes of candidate returns that may be gathered on the driver.
+MATRIX_BYTES = 64 << 20
+
+
 def matrix_of(df: DataFrame, order: str, candidate: str, value: str) -> tuple[np.ndarray, list[str]]:
-    """Candidate returns as a matrix of periods by candidates; a bounded report table."""
+    """Candidate returns as a matrix of periods by candidates; more than ``MATRIX_BYTES`` is an error."""
+    size = df.agg(F.count_distinct(order).alias("periods"), F.count_distinct(candidate).alias("candidates")).first()
+    if 8 * size.periods * size.candidates > MATRIX_BYTES:
+        raise ContractError(f"{size.periods} periods of {size.candidates} candidates pass the budget of {MATRIX_BYTES} bytes")
     wide = df.groupBy(order).pivot(candidate).agg(F.first(value)).orderBy(order).toPandas()
     names = [c for c in wide.columns if c != order]
     return wide[names].to_numpy(float), names
@@ -156,46 +282,58 @@ def correlation_squares(df: DataFrame, order: str, candidate: str, value: str) -
 
 
 def effective_trials(df: DataFrame, order: str, candidate: str, value: str) -> DataFrame:
-    """trials^2 over the sum of squared correlations, within [1, trials]."""
-    squares = correlation_squares(df, order, candidate, value)
-    n = F.sqrt(F.count(F.lit(1)).cast("double"))
-    return squares.agg(n.alias("trials"), F.greatest(F.lit(1.0), F.least(n, n * n / F.sum(F.col("correlation") * F.col("correlation")))).alias("effective_trials"))
+    """trials^2 over the sum of squared correlations, within [1, trials].
+
+    Of a complete panel with more candidates than periods, the sum is that of the squared products of
+    periods instead: both are the squared norm of the same matrix, and pairs are of the shorter side.
+    """
+    size = df.agg(F.count_distinct(order).alias("periods"), F.count_distinct(candidate).alias("candidates"), F.count(value).alias("values"), F.count(F.lit(1)).alias("rows")).first()
+    if size.candidates <= size.periods or not size.values == size.rows == size.candidates * size.periods:
+        squares = correlation_squares(df, order, candidate, value)
+        n = F.sqrt(F.count(F.lit(1)).cast("double"))
+        return squares.agg(n.alias("trials"), F.greatest(F.lit(1.0), F.least(n, n * n / F.sum(F.col("correlation") * F.col("correlation")))).alias("effective_trials"))
+    w = Window.partitionBy(candidate)
+    z = df.select(F.col(candidate).alias("c"), F.col(order).alias("t"), F.try_divide(F.col(value) - F.avg(value).over(w), F.stddev_pop(value).over(w)).alias("z"))
+    products = z.join(z.select("c", F.col("t").alias("s"), F.col("z").alias("y")), "c").groupBy("t", "s").agg(F.sum(F.col("z") * F.col("y")).alias("p"))
+    n = F.lit(float(size.candidates))
+    return products.agg(n.alias("trials"), F.greatest(F.lit(1.0), F.least(n, n * n * size.periods * size.periods / F.sum(F.col("p") * F.col("p")))).alias("effective_trials"))
 
 
 def deflated_sharpe(df: DataFrame, order: str, candidate: str, value: str, chosen: str) -> dict[str, float]:
     """Probability that the chosen candidate's Sharpe ratio beats the best of as many idle trials."""
-    moments = sharpe_moments(df, [candidate], value).toPandas().set_index(candidate)  # one row for each candidate
+    moments = sharpe_moments(df, [candidate], value)
+    spread = moments.agg(F.stddev_samp("sharpe")).first()[0]
     trials = effective_trials(df, order, candidate, value).first().effective_trials
-    benchmark = expected_maximum(float(moments["sharpe"].std(ddof=1)), trials)
-    m = moments.loc[chosen]
-    bottom = 1 - m["skew"] * m["sharpe"] + (m["kurtosis"] - 1) / 4 * m["sharpe"] ** 2
-    z = (m["sharpe"] - benchmark) * math.sqrt(m["sample_size"] - 1) / math.sqrt(bottom)
-    return {"sharpe": float(m["sharpe"]), "benchmark": benchmark, "effective_trials": float(trials), "probability": normal_cdf(z)}
+    benchmark = expected_maximum(float(spread), trials)
+    m = psr_z(moments.where(F.col(candidate) == chosen), benchmark).first()
+    return {"sharpe": float(m.sharpe), "benchmark": benchmark, "effective_trials": float(trials), "probability": normal_cdf(m.z_value)}
 
 
 def overfitting_probability(scores: DataFrame, split: str, candidate: str, score: str) -> DataFrame:
     """Share of half splits whose best candidate in sample ranks in the lower half out of sample.
 
-    Splits are few, so their halves are enumerated on the driver and exploded; means and ranks run
-    in Spark. Ties are decided by the candidate.
+    A candidate's scores are one array in order of the splits, so that each half is a bit mask over
+    it: candidates are the only rows, exploded by the masks. Ties are decided by the candidate.
     """
-    names = sorted(r[0] for r in scores.select(split).distinct().collect())
-    if len(names) < 4 or len(names) % 2 or len(names) > 16:
-        raise ContractError("an even number of 4 to 16 splits")
-    halves = [(k, s) for k, half in enumerate(combinations(names, len(names) // 2)) for s in half]
-    inside = scores.sparkSession.createDataFrame(halves, f"combination int, __s {scores.schema[split].dataType.simpleString()}")
-    grid = inside.select("combination").distinct().join(scores.select(F.col(split).alias("s"), F.col(candidate).alias("c"), F.col(score).alias("x")))
-    marked = grid.join(inside.withColumn("train", F.lit(True)), (grid["combination"] == inside["combination"]) & (grid["s"] == inside["__s"]), "left").select(grid["combination"], "c", "x", F.coalesce("train", F.lit(False)).alias("train"))
-    means = marked.groupBy("combination", "c").agg(F.avg(F.when(F.col("train"), F.col("x"))).alias("in_sample"), F.avg(F.when(~F.col("train"), F.col("x"))).alias("out_of_sample"))
-    w = Window.partitionBy("combination")
-    ranked = means.select("combination", F.row_number().over(w.orderBy(F.desc("in_sample"), "c")).alias("best"), F.row_number().over(w.orderBy("out_of_sample", "c")).alias("rank"), F.count(F.lit(1)).over(w).alias("n"))
+    names = sorted(r[0] for r in scores.select(split).distinct().limit(15).collect())  # 15 are too many already
+    n = len(names)
+    if n < 4 or n % 2 or n > 14:
+        raise ContractError("an even number of 4 to 14 splits")
+    place = (F.array_position(F.array(*map(F.lit, names)), F.col(split)) - 1).cast("int")
+    by_place = F.map_from_entries(F.collect_list(F.struct(place.alias("k"), F.col(score).cast("double").alias("x"))))
+    vectors = scores.groupBy(F.col(candidate).alias("c")).agg(by_place.alias("held")).select("c", F.expr(f"transform(sequence(0, {n - 1}), k -> try_element_at(held, k))").alias("x"))
+    masks = f"filter(sequence(1, {(1 << n) - 1}), m -> bit_count(m) = {n // 2})"
+    mean = lambda bit: F.expr(f"aggregate(sequence(0, {n - 1}), cast(struct(0.0D as s, 0 as n) as struct<s: double, n: int>), (a, k) -> if((shiftright(mask, k) & 1) = {bit} and x[k] is not null, struct(a.s + x[k] as s, a.n + 1 as n), a), a -> try_divide(a.s, a.n))")
+    means = vectors.select("c", "x", F.explode(F.expr(masks)).alias("mask")).select("mask", "c", mean(1).alias("in_sample"), mean(0).alias("out_of_sample"))
+    w = Window.partitionBy("mask")
+    ranked = means.select("mask", F.row_number().over(w.orderBy(F.desc("in_sample"), "c")).alias("best"), F.row_number().over(w.orderBy("out_of_sample", "c")).alias("rank"), F.count(F.lit(1)).over(w).alias("n"))
     relative = (F.col("rank") - 0.5) / F.col("n")
     return ranked.where("best = 1").agg(F.avg((F.log(relative / (1 - relative)) <= 0).cast("double")).alias("probability"), F.count(F.lit(1)).alias("combinations"))
 
 
-def seed_of(root: int, node: str, method: str, content: str) -> int:
-    digest = hmac.new(str(root).encode(), f"{node}|{method}|{content}".encode(), hashlib.sha256).digest()
-    return int.from_bytes(digest[:8], "big")
+def seed_of(*parts) -> int:
+    """A 63-bit seed that depends on every part and on their order."""
+    return int(hashlib.blake2b(json.dumps(parts).encode(), digest_size=8).hexdigest(), 16) >> 1
 
 
 def bootstrap_indices(method: str, n: int, block: int, seed: int, replication: int) -> np.ndarray:
@@ -228,7 +366,7 @@ def reality_check(df: DataFrame, order: str, candidate: str, value: str, method:
     scale = matrix.std(axis=0, ddof=1) if method == "spa" else np.ones(len(names))
     centred, root = matrix - matrix.mean(axis=0), math.sqrt(len(matrix))
     observed = max(0.0, float((root * matrix.mean(axis=0) / scale).max()))
-    seed = seed_of(root_seed, "reality_check", method, hashlib.sha256(matrix.tobytes()).hexdigest())
+    seed = seed_of("reality check", method, root_seed, block, hashlib.sha256(matrix.tobytes()).hexdigest())
     spark = df.sparkSession
     held = spark.sparkContext.broadcast((centred, scale))
 

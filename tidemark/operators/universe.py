@@ -6,6 +6,8 @@ strings; where both sides of a combination carry an attribute it has to be the s
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +77,58 @@ def difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def require_members(universe: DataFrame) -> DataFrame:
-    """The universe, sorted; one without included members is an error."""
+    """The universe as it is; one without included members is an error."""
     some = universe.agg(F.max(F.col("included").cast("int")).alias("__some")).where(guard(F.coalesce("__some", F.lit(0)) == 1, "the universe is empty"))
-    return universe.crossJoin(F.broadcast(some)).drop("__some").orderBy("instrument")  # one row
+    return universe.crossJoin(F.broadcast(some)).drop("__some")  # one row
+
+
+@dataclass(frozen=True)
+class Step:
+    """A step of a declared universe: ``kind`` base (of a dataset), filter, union, intersection, difference or as_of."""
+
+    name: str
+    kind: str
+    inputs: tuple[str, ...]
+    parameters: tuple = ()
+
+
+#: Inputs of each kind of step.
+INPUTS = {"base": 1, "filter": 1, "as_of": 1, "union": 2, "intersection": 2, "difference": 2}
+
+
+def compile_steps(steps: tuple[Step, ...], datasets: tuple[str, ...], clock: str) -> list[Step]:
+    """Steps in an order in which each stands after its inputs; the last of them is the one that no other reads.
+
+    Unknown kinds and inputs, repeated names, cycles, several results and an ``as_of`` that is not the
+    plan's clock are errors.
+    """
+    left = {s.name: s for s in steps}
+    if len(left) != len(steps) or set(left) & set(datasets):
+        raise ContractError("a name is used twice")
+    for s in steps:
+        if len(s.inputs) != INPUTS.get(s.kind, -1):
+            raise ContractError(f"{s.name}: no step {s.kind} of {len(s.inputs)} inputs")
+        if any(i not in (datasets if s.kind == "base" else left) for i in s.inputs):
+            raise ContractError(f"{s.name}: an input is unknown")
+        if s.kind == "as_of" and s.parameters != (clock,):
+            raise ContractError(f"{s.name}: its clock is not the plan's, {clock}")
+    ends = set(left) - {i for s in steps for i in s.inputs}
+    order: list[Step] = []
+    while left:
+        ready = sorted(n for n, s in left.items() if not any(i in left for i in s.inputs))
+        if not ready:
+            raise ContractError("the universe has a cycle")
+        order += [left.pop(n) for n in ready]
+    if len(ends) != 1:
+        raise ContractError("a universe has one result")
+    return sorted(order, key=lambda s: s.name in ends)
+
+
+def evaluate(steps: tuple[Step, ...], datasets: dict[str, DataFrame], clock: str) -> DataFrame:
+    """The result of a declared universe, one lazy plan; one without included members is an error."""
+    held = dict(datasets)
+    combine = {"union": union, "intersection": intersection, "difference": difference, "base": lambda x: x, "as_of": lambda x: x}
+    for s in compile_steps(steps, tuple(datasets), clock):
+        inputs = [held[i] for i in s.inputs]
+        held[s.name] = filtered(inputs[0], *s.parameters) if s.kind == "filter" else combine[s.kind](*inputs)
+    return require_members(held[s.name])

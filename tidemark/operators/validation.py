@@ -19,62 +19,67 @@ from tidemark.operators.pit import guard
 from tidemark.operators.windows import session_index
 
 
-def fold_blocks(samples: DataFrame, folds: int, time: str = "observation_time") -> DataFrame:
-    """``fold`` from 1: consecutive blocks in order of time, the first ones a row longer where uneven.
+def fold_blocks(samples: DataFrame, folds: int, time: str = "observation_time", by: Sequence[str] = ()) -> DataFrame:
+    """``fold`` from 1, within each ``by``: consecutive blocks in order of time, the first ones a row longer where uneven.
 
-    A sample's place is the number of samples at earlier times, a running sum over the distinct times,
-    and its place among those of its own time; samples themselves are never sorted in one task.
+    A sample's place is the number of samples on earlier days, a running sum with one row a day, and
+    its place among those of its own day; no task sorts more than a day.
     """
     if folds < 2:
         raise ContractError("at least two folds")
-    at = samples.groupBy(F.col(time).alias("__t")).agg(F.count(F.lit(1)).alias("__m"))
-    before = F.sum("__m").over(Window.orderBy("__t").rowsBetween(Window.unboundedPreceding, -1))
-    at = at.select("__t", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__m").over(Window.partitionBy()).alias("__all"))
-    placed = samples.join(at, F.col(time).eqNullSafe(F.col("__t")))
+    placed = samples.withColumn("__d", F.col(time).cast("date"))
+    days = placed.groupBy(*by, F.col("__d").alias("__day")).agg(F.count(F.lit(1)).alias("__m"))
+    before = F.sum("__m").over(Window.partitionBy(*by).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select(*[F.col(c).alias(f"__by_{c}") for c in by], "__day", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__m").over(Window.partitionBy(*by)).alias("__all"))
+    match = F.col("__d").eqNullSafe(F.col("__day"))
+    for c in by:
+        match = match & (placed[c] == F.col(f"__by_{c}"))
     n = F.col("__all")
-    k = F.col("__before") + F.row_number().over(Window.partitionBy(time).orderBy("sample_id")) - 1
+    k = F.col("__before") + F.row_number().over(Window.partitionBy(*by, "__d").orderBy(time, "sample_id")) - 1
     small, longer = F.floor(n / folds), F.pmod(n, F.lit(folds))
     block = F.when(k < longer * (small + 1), F.floor(k / (small + 1))).otherwise(longer + F.floor((k - longer * (small + 1)) / F.greatest(small, F.lit(1))))
-    return placed.withColumn("fold", (block + 1).cast("int")).drop("__t", "__before", "__all")
+    return placed.join(days, match).withColumn("fold", (block + 1).cast("int")).drop("__d", "__day", "__before", "__all", *[f"__by_{c}" for c in by])
 
 
-def purged_kfold(samples: DataFrame, calendar: DataFrame, folds: int, embargo: int = 0, date: str = "session") -> DataFrame:
+def purged_kfold(samples: DataFrame, calendar: DataFrame, folds: int, embargo: int = 0, date: str = "session", by: Sequence[str] = ()) -> DataFrame:
     """Each fold validates one block; training samples whose labels overlap it are purged, and those
-    observed in the ``embargo`` sessions after it are embargoed. Folds are few and explode the samples."""
-    blocks = fold_blocks(samples, folds)
-    spans = blocks.groupBy("fold").agg(F.min("observation_time").alias("__start"), F.max("observation_time").alias("__end")).withColumnRenamed("fold", "__fold")
+    observed in the ``embargo`` sessions after it are embargoed. Folds are few and explode the samples.
+    ``by`` names columns each of whose values is split by itself."""
+    blocks = fold_blocks(samples, folds, by=by)
+    spans = blocks.groupBy(*by, F.col("fold").alias("__fold")).agg(F.min("observation_time").alias("__start"), F.max("observation_time").alias("__end"))
     days = session_index(calendar, date)
-    # the sessions numbered after the last one at or before a block's end
-    ends = spans.join(days, F.col(date) <= F.col("__end").cast("date")).groupBy("__fold", "__start", "__end").agg(F.max("session_number").alias("__s"))
+    # the sessions numbered after the last one at or before a block's end: both sides have a row for each fold or day
+    ends = spans.join(days, F.col(date) <= F.col("__end").cast("date")).groupBy(*by, "__fold", "__start", "__end").agg(F.max("session_number").alias("__s"))
     numbered = blocks.withColumn("__day", F.col("observation_time").cast("date")).join(days.withColumnRenamed(date, "__day"), "__day", "left").drop("__day")
-    rows = numbered.withColumn("__fold", F.explode(F.sequence(F.lit(1), F.lit(folds)))).join(F.broadcast(ends), "__fold")  # one row for each fold
+    rows = numbered.withColumn("__fold", F.explode(F.sequence(F.lit(1), F.lit(folds)))).join(F.broadcast(ends), [*by, "__fold"])  # one row for each fold
     overlap = (F.col("label_start") <= F.col("__end")) & (F.col("label_end") >= F.col("__start"))
     after = (F.col("session_number") > F.col("__s")) & (F.col("session_number") <= F.col("__s") + embargo)
     role = F.when(F.col("fold") == F.col("__fold"), "validation").when(overlap, "purged").when(F.coalesce(after, F.lit(False)), "embargoed").otherwise("train")
-    return rows.select(F.col("__fold").alias("fold"), "sample_id", role.alias("role"))
+    return rows.select(*by, F.col("__fold").alias("fold"), "sample_id", role.alias("role"))
 
 
 def walk_forward(samples: DataFrame, calendar: DataFrame, train: int, validation: int, test: int, step: int, embargo: int = 0, expanding: bool = True, date: str = "session") -> DataFrame:
     """Folds that move through the calendar; a training label has to be over and available before the
-    first decision of validation, a validation label before the first of test."""
+    first decision of validation, a validation label before the first of test.
+
+    Days meet folds in the calendar, which has one row a day; samples are joined on their day alone.
+    """
     if min(train, validation, test, step) < 1 or embargo < 0:
         raise ContractError("windows have at least one session")
     days = session_index(calendar, date)
     last = days.agg(F.max("session_number").alias("__last"))
     offsets = last.select(F.explode(F.expr(f"filter(transform(sequence(0, cast(greatest(__last, 1) as int)), k -> k * {step}), k -> k + {train + validation + embargo + test} <= __last)")).alias("__o"))
-    w = Window.orderBy("__o")
     bounds = offsets.select(
-        F.row_number().over(w).alias("fold"), (F.lit(1) if expanding else F.col("__o") + 1).alias("a"), (F.col("__o") + train).alias("b"), (F.col("__o") + train + validation).alias("c"),
+        (F.col("__o") / step + 1).cast("int").alias("fold"), (F.lit(1) if expanding else F.col("__o") + 1).alias("a"), (F.col("__o") + train).alias("b"), (F.col("__o") + train + validation).alias("c"),
         (F.col("__o") + train + validation + embargo).alias("d"), (F.col("__o") + train + validation + embargo + test).alias("e"),
     )
-    numbered = samples.withColumn("__day", F.col("observation_time").cast("date")).join(days.withColumnRenamed(date, "__day"), "__day")
     n = F.col("session_number")
-    rows = numbered.join(bounds, (n >= F.col("a")) & (n <= F.col("e")))
     part = F.when(n <= F.col("b"), "train").when(n <= F.col("c"), "validation").when(n <= F.col("d"), "embargoed").otherwise("test")
-    rows = rows.withColumn("__part", part)
-    by_fold = Window.partitionBy("fold")
-    first = lambda p: F.min(F.when(F.col("__part") == p, F.col("decision_time"))).over(by_fold)
-    rows = rows.withColumn("__v", first("validation")).withColumn("__t", first("test"))
+    parts = days.join(bounds, (n >= F.col("a")) & (n <= F.col("e"))).select(F.col(date).alias("__day"), "fold", part.alias("__part"))
+    rows = samples.withColumn("__day", F.col("observation_time").cast("date")).join(parts, "__day")
+    first = lambda p: F.min(F.when(F.col("__part") == p, F.col("decision_time")))
+    starts = rows.where("__part in ('validation', 'test')").groupBy(F.col("fold").alias("__fold")).agg(first("validation").alias("__v"), first("test").alias("__t"))
+    rows = rows.join(F.broadcast(starts), F.col("fold") == F.col("__fold"), "left")  # one row for each fold
     late = lambda limit: ~((F.col("label_end") < F.col(limit)) & (F.col("label_available") <= F.col(limit)))
     role = F.when((F.col("__part") == "train") & late("__v"), "purged").when((F.col("__part") == "validation") & late("__t"), "purged").otherwise(F.col("__part"))
     return rows.select("fold", "sample_id", role.alias("role"))
@@ -82,15 +87,9 @@ def walk_forward(samples: DataFrame, calendar: DataFrame, train: int, validation
 
 def nested(samples: DataFrame, calendar: DataFrame, outer: DataFrame, folds: int, embargo: int = 0, date: str = "session") -> DataFrame:
     """Inside every outer fold (of :func:`walk_forward`), a purged k-fold over its training samples."""
-    out = None
-    for (fold,) in sorted(outer.select("fold").distinct().collect()):  # a handful of outer folds
-        inside = samples.join(outer.where((F.col("fold") == fold) & (F.col("role") == "train")).select("sample_id"), "sample_id", "left_semi")
-        part = purged_kfold(inside, calendar, folds, embargo, date).select(F.lit(fold).alias("outer_fold"), F.col("fold").alias("inner_fold"), "sample_id", "role")
-        out = part if out is None else out.unionByName(part)
-    if out is None:  # a calendar too short for one outer fold
-        kind = samples.schema["sample_id"].dataType.simpleString()
-        return samples.sparkSession.createDataFrame([], f"outer_fold int, inner_fold int, sample_id {kind}, role string")
-    return out
+    inside = outer.where("role = 'train'").select(F.col("fold").alias("outer_fold"), F.col("sample_id").alias("__id"))
+    rows = samples.join(inside, F.col("sample_id") == F.col("__id")).drop("__id")
+    return purged_kfold(rows, calendar, folds, embargo, date, ["outer_fold"]).withColumnRenamed("fold", "inner_fold")
 
 
 def split_minutes(rows: DataFrame, entry: str, exit_: str, train_end: int, validation_end: int, test_end: int, embargo: int) -> DataFrame:

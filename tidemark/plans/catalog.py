@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from tidemark.plans import examples, inference, minute, scans, selection, series, trade  # noqa: F401
+from tidemark.plans import examples, inference, minute, research, scans, selection, series, trade  # noqa: F401

@@ -106,9 +106,16 @@ def sharpe_z(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rounded(out, "sharpe", "skew", "kurtosis", digits=8), "z_value", digits=7)
 
 
-@register("probabilistic_sharpe")
+def _cdf_sql(z: str) -> str:
+    """The normal distribution function as its series z + z^3/3 + z^5/15 + ..., good for |z| below 8."""
+    term = "exp((2 * k + 1) * ln(abs({z})) - (k + 1) * ln(2) - lgamma(k + 1.5) + 0.5 * ln(pi()))".format(z=z)
+    return f"(CASE WHEN {z} = 0 THEN 0.5 ELSE 0.5 + sign({z}) * exp(-0.5 * {z} * {z}) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 150), lambda k: {term})) END)"
+
+
+@register("probabilistic_sharpe", f"{_MOMENTS}, v AS (SELECT nation, s, s * SQRT(n - 1) / SQRT(1 - k3 * s + (k4 - 1) / 4 * s * s) AS z FROM m) SELECT nation, ROUND(s, 8) AS sharpe, ROUND({_cdf_sql('z')}, 7) AS probability FROM v")
 def probabilistic_sharpe(spark: SparkSession, d: str) -> DataFrame:
-    return statistics.probabilistic_sharpe(_clean(spark, d), ["nation"], "r").select("nation", "sharpe", "probability")
+    out = statistics.probabilistic_sharpe(_clean(spark, d), ["nation"], "r").select("nation", "sharpe", "probability")
+    return rounded(rounded(out, "sharpe", digits=8), "probability", digits=7)
 
 
 @register(
@@ -119,13 +126,21 @@ def effective_trials(spark: SparkSession, d: str) -> DataFrame:
     return rounded(statistics.effective_trials(_clean(spark, d), "day", "nation", "r"), "effective_trials")
 
 
-@register("deflated_sharpe")
+#: Normal quantiles by Newton steps from 0 on the series, then the expected maximum of as many idle trials.
+_DEFLATED = f"""WITH RECURSIVE {_MOMENTS.removeprefix('WITH ')}, c AS (SELECT a.nation AS x, b.nation AS y, CORR(a.r, b.r) AS rho FROM ({_CLEAN}) a JOIN ({_CLEAN}) b USING (day) GROUP BY 1, 2), t AS (SELECT GREATEST(1, LEAST(SQRT(COUNT(*)), COUNT(*) / SUM(rho * rho))) AS t FROM c),
+p(w, p) AS (SELECT 1, 1 - 1 / t FROM t UNION ALL SELECT 2, 1 - 1 / (t * exp(1)) FROM t), q(w, p, k, x) AS (SELECT w, p, 0, CAST(0 AS DOUBLE) FROM p UNION ALL SELECT w, p, k + 1, x - ({_cdf_sql('x')} - p) / (exp(-0.5 * x * x) / sqrt(2 * pi())) FROM q WHERE k < 40),
+bb AS (SELECT (SELECT STDDEV_SAMP(s) FROM m) * ((1 - 0.5772156649015329) * (SELECT x FROM q WHERE w = 1 AND k = 40) + 0.5772156649015329 * (SELECT x FROM q WHERE w = 2 AND k = 40)) AS b), v AS (SELECT s, b, t, (s - b) * SQRT(n - 1) / SQRT(1 - k3 * s + (k4 - 1) / 4 * s * s) AS z FROM m, bb, t WHERE nation = 3)
+SELECT ROUND(s, 7) AS sharpe, ROUND(b, 7) AS benchmark, ROUND(t, 6) AS effective_trials, ROUND({_cdf_sql('z')}, 6) AS probability FROM v"""
+
+
+@register("deflated_sharpe", _DEFLATED)
 def deflated_sharpe(spark: SparkSession, d: str) -> DataFrame:
     rows = _clean(spark, d).withColumn("nation", F.col("nation").cast("string"))
-    return spark.createDataFrame([statistics.deflated_sharpe(rows, "day", "nation", "r", "3")], "sharpe double, benchmark double, effective_trials double, probability double")
+    out = spark.createDataFrame([statistics.deflated_sharpe(rows, "day", "nation", "r", "3")], "sharpe double, benchmark double, effective_trials double, probability double")
+    return rounded(rounded(out, "sharpe", "benchmark", digits=7), "effective_trials", "probability")
 
 
-_SPLITS = f"SELECT nation, year(day) AS split, ROUND(AVG(r), 8) AS score FROM ({_CLEAN}) WHERE year(day) BETWEEN 1995 AND 2000 GROUP BY 1, 2"
+_SPLITS = f"SELECT nation, split, ROUND(AVG(r), 8) AS score FROM ({_CLEAN}) JOIN (SELECT day, NTILE(6) OVER (ORDER BY day) AS split FROM (SELECT DISTINCT day FROM ({_CLEAN}))) USING (day) GROUP BY 1, 2"
 
 
 @register(
@@ -136,7 +151,9 @@ r AS (SELECT combination, ROW_NUMBER() OVER (PARTITION BY combination ORDER BY i
 SELECT AVG(CASE WHEN (rank - 0.5) / n <= 0.5 THEN 1.0 ELSE 0.0 END) AS probability, COUNT(*) AS combinations FROM r WHERE best = 1""",
 )
 def overfitting_probability(spark: SparkSession, d: str) -> DataFrame:
-    scores = _clean(spark, d).where(F.year("day").between(1995, 2000)).groupBy("nation", F.year("day").alias("split")).agg(F.round(F.avg("r"), 8).alias("score"))
+    rows = _clean(spark, d)
+    splits = rows.select("day").distinct().withColumn("split", F.ntile(6).over(Window.orderBy("day")))  # one row a quarter
+    scores = rows.join(splits, "day").groupBy("nation", "split").agg(F.round(F.avg("r"), 8).alias("score"))
     return statistics.overfitting_probability(scores, "split", "nation", "score")
 
 
@@ -237,7 +254,12 @@ register("walk_forward_expanding", _walk_sql("1"))(lambda spark, d: validation.w
 register("walk_forward_rolling", _walk_sql("o + 1"))(lambda spark, d: validation.walk_forward(samples(spark, d), sessions(spark, d), 500, 120, 60, 250, 5, False))
 
 
-@register("nested_validation")
+_NESTED = f"""WITH w AS ({_walk_sql("1")}), s AS ({_SAMPLES}), c AS (SELECT session, ROW_NUMBER() OVER (ORDER BY session) AS n FROM ({_SESSIONS})), k AS (SELECT w.fold AS outer_fold, s.*, NTILE(3) OVER (PARTITION BY w.fold ORDER BY t, s.sample_id) AS fold FROM w JOIN s USING (sample_id) WHERE role = 'train'),
+b AS (SELECT outer_fold, fold, MIN(t) AS a, MAX(t) AS z, (SELECT MAX(n) FROM c WHERE session <= CAST(MAX(k.t) AS DATE)) AS zn FROM k GROUP BY 1, 2)
+SELECT k.outer_fold, b.fold AS inner_fold, CASE WHEN k.fold = b.fold THEN 'validation' WHEN k.ls <= b.z AND k.le >= b.a THEN 'purged' WHEN c.n > b.zn AND c.n <= b.zn + 1 THEN 'embargoed' ELSE 'train' END AS role, COUNT(*) AS samples FROM k JOIN b ON b.outer_fold = k.outer_fold JOIN c ON c.session = CAST(k.t AS DATE) GROUP BY 1, 2, 3"""
+
+
+@register("nested_validation", _NESTED)
 def nested_validation(spark: SparkSession, d: str) -> DataFrame:
     outer = validation.walk_forward(samples(spark, d), sessions(spark, d), 500, 120, 60, 250, 5, True)
     out = validation.nested(samples(spark, d), sessions(spark, d), outer, 3, 1)

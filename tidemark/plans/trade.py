@@ -380,9 +380,8 @@ def ledger_futures_fold(spark: SparkSession, d: str) -> DataFrame:
 # Simulations -----------------------------------------------------------------------------------
 
 
-@register("simulate_minute_targets")
-def simulate_minute_targets(spark: SparkSession, d: str) -> DataFrame:
-    """Targets of every third decision bar of a user, traded in the user's 120-minute bars; ten users share an account."""
+def minute_market(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, simulation.MinutePolicy]:
+    """Users' 120-minute bars, ten users an account, and a target at every third decision bar."""
     from tidemark.plans.minute import resampled
 
     rows = resampled(spark, d, 120).select(
@@ -394,7 +393,13 @@ def simulate_minute_targets(spark: SparkSession, d: str) -> DataFrame:
     asked = rows.withColumn("k", F.row_number().over(w)).withColumn("left", F.lead("bar_start").over(w)).where("k % 3 = 1 and left >= dt").select("account", "code", F.col("dt").alias("decision_time"), ((F.col("k") % 5 + 1) * 100).cast("bigint").alias("target_quantity"))
     last = rows.groupBy("account").agg(F.max("bar_start").alias("end"))
     asked = asked.join(last, "account").where("decision_time <= end").drop("end")
-    return simulation.simulate_minutes(rows, asked, simulation.MinutePolicy(), 100_000_000)
+    return rows, asked, simulation.MinutePolicy()
+
+
+@register("simulate_minute_targets")
+def simulate_minute_targets(spark: SparkSession, d: str) -> DataFrame:
+    rows, asked, policy = minute_market(spark, d)
+    return simulation.simulate_minutes(rows, asked, policy, 100_000_000)
 
 
 @register(

@@ -63,3 +63,43 @@ def publication_summary(factors: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_factor = factors.groupBy("factor_id").agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count_distinct("code").alias("codes"))
     by_reason = factors.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
     return by_factor, by_reason
+
+
+class Bundle:
+    """Materialized frames by request id: merged from parts, selected by request."""
+
+    def __init__(self, frames: Mapping[str, DataFrame] | None = None):
+        self.frames = dict(frames or {})
+
+    def merge(self, *others: Bundle) -> Bundle:
+        """All requests; one that two bundles answer with different plans is an error."""
+        out = dict(self.frames)
+        for other in others:
+            for request, df in other.frames.items():
+                if request in out and not out[request].sameSemantics(df):
+                    raise ContractError(f"request {request} has two answers")
+                out[request] = df
+        return Bundle(out)
+
+    def select(self, *requests: str) -> Bundle:
+        if lost := sorted(set(requests) - set(self.frames)):
+            raise ContractError(f"no data for {', '.join(lost)}")
+        return Bundle({r: self.frames[r] for r in requests})
+
+
+def verified_months(spark: SparkSession, path: str, facts: Mapping[tuple[int, int], dict], key: Sequence[str]) -> DataFrame:
+    """Rows of a ``year=/month=`` layout, each month checked against its receipt (row_count, content_sum, content_xor).
+
+    A month that is not the one its receipt describes, without a receipt or missing, and a repeated
+    key within one, is an error; months are read once for the check and stream afterwards.
+    """
+    df = spark.read.parquet(path)
+    columns = [c for c in df.columns if c not in ("year", "month")]
+    h = F.xxhash64(*[F.col(c) for c in columns])
+    seen = df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("content_sum"), F.bit_xor(h).alias("content_xor"))
+    found = {(int(r.year), int(r.month)): {"row_count": r.row_count, "content_sum": r.content_sum, "content_xor": r.content_xor} for r in seen.collect()}  # one row a month
+    if wrong := sorted(m for m in {*found, *facts} if found.get(m) != facts.get(m)):
+        raise ContractError(f"months {wrong} are not what their receipts say")
+    if not df.groupBy("year", "month", *key).count().where("count > 1").isEmpty():
+        raise ContractError("a key occurs twice within a month")
+    return df

@@ -57,3 +57,21 @@ def discover(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> DataFram
     """Physical columns of tables: (table_name, position, column_name, data_type)."""
     rows = [(n, k, c, t) for n in names for k, (c, t, _) in enumerate(describe(scan(spark, sf_dir, n)))]
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string")
+
+
+def view_shape(spark: SparkSession, sql: str) -> str:
+    """The shape of a view's text, from its parsed plan: projection, union_all, join or parquet; others are an error."""
+    names, todo = [], [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+    while todo:
+        node = todo.pop()
+        names.append(node.nodeName())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    text = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString().lower()
+    if "Distinct" in names or "Aggregate" in names or ("Union" in names and "Join" in names):
+        raise ContractError("a view is a projection, a UNION ALL, a join or a Parquet scan")
+    if "Union" in names:
+        return "union_all"
+    if "Join" in names:
+        return "join"
+    return "parquet" if "read_parquet" in text or "[parquet," in text else "projection"

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+import pickle
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidemark.operators.simulation import MINUTE, MinuteAccount, MinutePolicy
+
 
 def windowed_bars(ticks: DataFrame, interval: str, late: str, code: str = "code", time: str = "ts", price: str = "price", volume: str = "volume") -> DataFrame:
     """Bars of completed windows; events later than the watermark are dropped by it.
@@ -86,3 +90,79 @@ def forward_labels(bars: DataFrame, horizon: int, code: str = "code") -> DataFra
         yield pd.DataFrame(rows, columns=["code", "dt", "label_end", "future_return"])
 
     return bars.groupBy(code).applyInPandasWithState(step, LABEL, LABEL_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+class HacSums:
+    """Sums for a mean with a Bartlett-kernel standard error, in one pass and memory of the lag's size."""
+
+    def __init__(self, lag: int):
+        self.lag, self.n, self.total = lag, 0, 0.0
+        self.products = [0.0] * (lag + 1)  # of values k apart, uncentred
+        self.head: list[float] = []
+        self.tail: list[float] = []
+
+    def add(self, value: float) -> None:
+        self.products[0] += value * value
+        for k, old in enumerate(reversed(self.tail), 1):
+            self.products[k] += value * old
+        if len(self.head) < self.lag:
+            self.head.append(value)
+        self.tail = [*self.tail, value][-self.lag :] if self.lag else []
+        self.n, self.total = self.n + 1, self.total + value
+
+    def estimate(self) -> tuple[float, float | None]:
+        mean = self.total / self.n
+        long_run = self.products[0] - self.n * mean * mean
+        for k in range(1, min(self.lag, self.n - 1) + 1):
+            # sum of (x_i - m)(x_(i-k) - m) over i: each side misses k values at one end
+            sides = 2 * self.total - sum(self.head[:k]) - sum(self.tail[-k:])
+            long_run += 2 * (1 - k / (self.lag + 1)) * (self.products[k] - mean * sides + (self.n - k) * mean * mean)
+        return mean, math.sqrt(long_run) / self.n if long_run > 0 else None
+
+
+HAC = "sample_size bigint, estimate double, standard_error double"
+
+
+def _kept(start: Callable, step: Callable) -> Callable:
+    """A stateful function whose state is one object, kept as bytes."""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = pickle.loads(state.get[0]) if state.exists else start(key)  # noqa: S301  our own bytes
+        yield step(key, held, pd.concat(list(batches)))
+        state.update((pickle.dumps(held),))
+
+    return run
+
+
+def hac_means(values: DataFrame, key: str, order: str, value: str, lag: int) -> DataFrame:
+    """After each micro-batch, every touched key's mean so far with its standard error; values come in order."""
+    kind = values.schema[key].dataType.simpleString()
+
+    def step(of: tuple, sums: HacSums, batch: pd.DataFrame) -> pd.DataFrame:
+        for x in batch.sort_values(order)[value].dropna():
+            sums.add(float(x))
+        return pd.DataFrame([(of[0], sums.n, *(sums.estimate() if sums.n else (None, None)))], columns=[key, "sample_size", "estimate", "standard_error"])
+
+    return values.groupBy(key).applyInPandasWithState(_kept(lambda of: HacSums(lag), step), f"`{key}` {kind}, {HAC}", "held binary", "update", GroupStateTimeout.NoTimeout)
+
+
+def simulate_minutes(events: DataFrame, policy: MinutePolicy, opening: int) -> DataFrame:
+    """Minute targets traded bar by bar as micro-batches bring them; see ``simulation.minute_events`` for the rows.
+
+    The account is the state. Events of a batch are taken in their order; a session's ``close`` is sent
+    when the next session begins.
+    """
+    order = ["time", "what", "code", "dt", "seq"]
+
+    def step(of: tuple, account: MinuteAccount, batch: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in batch.sort_values(order).to_dict("records"):
+            out += account.step({k: None if v is None or v is pd.NaT or v != v else v for k, v in row.items()})
+        return pd.DataFrame(out, columns=[c.split()[0] for c in MINUTE.split(", ")], dtype=object)
+
+    return events.groupBy("account").applyInPandasWithState(_kept(lambda of: MinuteAccount(int(of[0]), policy, opening), step), MINUTE, "held binary", "append", GroupStateTimeout.NoTimeout)
+
+
+def start(flow: DataFrame, sink: str, checkpoint: str, mode: str = "append", trigger: dict | None = None):
+    """Write a flow as Parquet exactly once: the sink's log and the checkpoint name what was committed."""
+    return flow.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode(mode).trigger(**(trigger or {"availableNow": True})).start()
