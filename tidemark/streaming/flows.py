@@ -143,7 +143,7 @@ def hac_means(values: DataFrame, key: str, order: str, value: str, lag: int) ->
             sums.add(float(x))
         return pd.DataFrame([(of[0], sums.n, *(sums.estimate() if sums.n else (None, None)))], columns=[key, "sample_size", "estimate", "standard_error"])
 
-    return values.groupBy(key).applyInPandasWithState(_kept(lambda of: HacSums(lag), step), f"`{key}` {kind}, {HAC}", "held binary", "update", GroupStateTimeout.NoTimeout)
+    return values.groupBy(key).applyInPandasWithState(_kept(lambda of: HacSums(lag), step), f"`{key}` {kind}, {HAC}", "held binary", "append", GroupStateTimeout.NoTimeout)
 
 
 def simulate_minutes(events: DataFrame, policy: MinutePolicy, opening: int) -> DataFrame:
