@@ -116,3 +116,40 @@ def test_components(spark):
     out = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert out == {**{k: 0 for k in range(60)}, **{100 + k: 100 for k in range(50)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_one_large_group_is_not_expanded(spark, monkeypatch):
+    """20 000 near copies of a document: rows made stay within three for each, and nothing is lost."""
+    made, plain = [], near.grouped
+    monkeypatch.setattr(near, "grouped", lambda rows, *more: (made.append(rows.count()), plain(rows, *more))[1])
+    rng, n = random.Random(8), 20_000
+    base, rows, alone = [f"b{i}" for i in range(100)], [], set()
+    for k in range(n):
+        words, edits = list(base), 3 if k % 10 == 9 else rng.randrange(3)  # of three edits far apart, 81 of 111 shingles are left
+        for at in rng.sample(range(4, 96, 6), edits):
+            words[at] = f"w{k}x{at}"
+        if edits == 3:
+            alone.add(k)
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in near.near_dedup(docs).collect()}
+    assert got == {k: k if k in alone else 0 for k in range(n)}
+    assert made and sum(made) <= 3 * n
+
+
+def test_pairs_at_the_threshold_are_found(spark):
+    """2000 pairs of similarity 0.75 to 0.78 and of sets from 20 to 1500 shingles: every one is a link."""
+    rng, rows, pairs = random.Random(3), [], []
+    while len(pairs) < 2000:
+        k, n = len(pairs), rng.choice((24, 40, 80, 200, 500, 1500))
+        words = [f"p{k}i{i}" for i in range(n)]
+        other = words[: n - rng.randrange(max(2, n // 3))] if rng.random() < 0.5 else list(words)
+        if len(other) == n:
+            for at in range(2, n, rng.choice((33, 36, 38, 40, 45))):
+                other[at] = f"q{k}i{at}"
+        a, b = shingle_set(" ".join(words)), shingle_set(" ".join(other))
+        if 0.75 <= len(a & b) / len(a | b) <= 0.78:
+            pairs.append((2 * k, 2 * k + 1))
+            rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = {r.doc_id: r.component_id for r in near.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert sum(got[b] == a for a, b in pairs) / len(pairs) == 1.0

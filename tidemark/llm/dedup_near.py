@@ -22,8 +22,8 @@ Links are contracted as they are confirmed, so that a group of copies never expa
   comes from a count of shingles in a table of fixed size. Groups of such a shingle of at most
   ``SMALL`` classes are paired whole, larger ones with a pivot again; confirmed and contracted;
 * of a large group that still lies in several components, each class outside the largest one is
-  compared on full sets with that component (once, however many shingles bring them together) and
-  with the group's other classes outside it, in blocks.
+  compared on full sets with that component and with the others outside it, in blocks, once however
+  many shingles bring them together.
 
 Every pair of classes that shares a key is so confirmed, joined through others, or proven to be no
 link; work beyond rows in proportion to the input is done only for classes that share rare
@@ -339,53 +339,52 @@ def _shared_counts(items: list[np.ndarray], split: int) -> np.ndarray:
 
 
 def _across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(u, v): components linked on full sets between the ``left`` and ``right`` rows of a group.
+    """(u, v): components linked on full sets between the ``left`` and ``right`` rows (key, rep, comp, items) of a key.
 
-    Both hold kind, key, rep, comp, items; kind and key name the group. Each block of left classes
-    meets each block of right ones and hands back a forest of their links.
+    Each block of left classes meets each block of right ones and hands back a forest of their links.
     """
-    group = ("kind", "key")
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
-        sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("items")).alias("bytes"))
-        return sizes.select(*group, F.expr(f"cast(greatest(ceil(n / {BLOCK}), ceil(bytes / {BLOCK_BYTES})) as long)").alias(name))
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("items")).alias("bytes"))
+        return sizes.select("key", F.expr(f"cast(greatest(ceil(n / {BLOCK}), ceil(bytes / {BLOCK_BYTES})) as long)").alias(name))
 
-    sizes = blocks(left, "lefts").join(blocks(right, "rights"), list(group))
+    sizes = blocks(left, "lefts").join(blocks(right, "rights"), "key")
     place = "pmod(xxhash64(rep, 5), {})"
-    a = left.join(sizes, list(group)).withColumn("i", F.expr(place.format("lefts"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1))).withColumn("asks", F.lit(True))
-    b = right.join(sizes, list(group)).withColumn("j", F.expr(place.format("rights"))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1))).withColumn("asks", F.lit(False))
-    names = [*group, "i", "j", "asks", "comp", "items"]
+    a = left.join(sizes, "key").withColumn("i", F.expr(place.format("lefts"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1))).withColumn("asks", F.lit(True))
+    b = right.join(sizes, "key").withColumn("j", F.expr(place.format("rights"))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1))).withColumn("asks", F.lit(False))
+    names = ["key", "i", "j", "asks", "comp", "items"]
 
     def link(batches: list[pa.RecordBatch]) -> tuple:
-        asks = np.concatenate([b.column(4).to_numpy(zero_copy_only=False) for b in batches])
-        comp = np.concatenate([b.column(5).to_numpy() for b in batches])
-        items = [np.frombuffer(x.as_buffer(), np.uint64) for b in batches for x in b.column(6)]
+        asks = np.concatenate([b.column(3).to_numpy(zero_copy_only=False) for b in batches])
+        comp = np.concatenate([b.column(4).to_numpy() for b in batches])
+        items = [np.frombuffer(x.as_buffer(), np.uint64) for b in batches for x in b.column(5)]
         one, two = np.flatnonzero(asks), np.flatnonzero(~asks)
         if not len(one) or not len(two):
             return [], []
         shared = _shared_counts([items[k] for k in (*one, *two)], len(one))
-        size = np.array([len(x) for x in items])
-        mask = 100 * shared >= PERCENT * (size[one][:, None] + size[two][None, :] - shared)
+        size = np.array([len(x) for x in items], np.float32)
+        mask = (100 + PERCENT) * shared >= PERCENT * (size[one][:, None] + size[two][None, :])
         return forest(mask & (comp[one][:, None] != comp[two][None, :]), comp[one], comp[two])
 
-    return grouped(a.select(*names).unionByName(b.select(*names)), 4, link)
+    return grouped(a.select(*names).unionByName(b.select(*names)), 3, link)
 
 
 def _rest(held: DataFrame, labels: DataFrame, full: DataFrame) -> DataFrame:
-    """(u, v): links between components of large groups, ``held``: token, rep; ``labels``: rep, comp; ``full``: rep, items."""
+    """(u, v): links between components of large groups, ``held``: token, rep; ``labels``: rep, comp; ``full``: rep, items.
+
+    A group's largest component is its major. Classes outside it ask: they meet the major, and each
+    other, once for all groups with that major.
+    """
     members = written(held.join(labels, "rep").select("token", "rep", "comp"), "members", slim=True)
     each = members.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max(F.struct("c", "comp")).alias("best"), F.count(F.lit(1)).alias("parts"))
-    major = each.where("parts > 1").select("token", F.col("best.comp").alias("major"))
-    minors = written(members.join(major, "token").where("comp <> major").select("token", "rep", "comp", "major"), "minors", slim=True)
-    asking = minors.select(F.lit(0).cast("long").alias("kind"), F.col("major").alias("key"), "rep", "comp").distinct()
-    bodies = members.select(F.lit(0).cast("long").alias("kind"), F.col("comp").alias("key"), "rep", "comp").distinct().join(minors.select(F.col("major").alias("key")).distinct(), "key", "left_semi")
-    among = minors.select(F.lit(1).cast("long").alias("kind"), F.col("token").alias("key"), "rep", "comp")
+    major = each.where("parts > 1").select("token", F.col("best.comp").alias("key"))
+    asking = written(members.join(major, "token").where("comp <> key").select("key", "rep", "comp").distinct(), "asking", slim=True)
+    bodies = members.select(F.col("comp").alias("key"), "rep", "comp").distinct().join(asking.select("key").distinct(), "key", "left_semi")
     sets = full.select("rep", "items")
-    names = ["kind", "key", "rep", "comp"]
-    left = written(asking.select(*names).unionByName(among).join(sets, "rep"), "left")
-    right = written(bodies.select(*names).unionByName(among).join(sets, "rep"), "right")
+    left = written(asking.join(sets, "rep"), "left")
+    right = written(asking.unionByName(bodies).join(sets, "rep"), "right")
     out = written(_across(left, right).distinct(), "edges", slim=True)
-    release(members, minors, left, right)
+    release(members, asking, left, right)
     return out
 
 
