@@ -42,3 +42,27 @@ def test_rows_against_plain_groups(spark, everywhere):
 def test_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert exact.exact_dedup(docs, digest_all=True).collect() == [] and exact.exact_dedup(docs).collect() == []
+
+
+def test_the_least_long_is_an_id(spark):
+    docs = spark.createDataFrame([(-(1 << 63), "a"), (2, "a"), ((1 << 63) - 1, "b")], "doc_id long, text string")
+    assert {(r.doc_id, r.keep_id, r.kept) for r in exact.exact_dedup(docs, digest_all=True).collect()} == {(-(1 << 63), -(1 << 63), True), (2, -(1 << 63), False), ((1 << 63) - 1, (1 << 63) - 1, True)}
+
+
+def test_very_long_texts(spark):
+    long = "word " * 400_000
+    rows = [(1, long + "x"), (2, long + "y"), (3, long.replace(" ", "\n") + "x"), (4, long + " x")]
+    out = exact.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in out) == [(1, 4, False), (2, 2, True), (3, 4, False), (4, 4, True)]
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [*ROWS, (1, "a b"), (20, "u v"), (20, "w"), (20, "uv "), (21, "w"), (22, " w "), (None, "solo"), (None, "a\tb   "), (30, "z"), (30, "z")]
+    docs = spark.createDataFrame([(k, t, n) for n, (k, t) in enumerate(rows)], "doc_id long, text string, odd int")
+    out = exact.keep_first(docs).collect()
+    groups = {}
+    for key, text in rows:
+        groups.setdefault(norm(text), []).append((-len(text or ""), key is None, key or 0))
+    want = sorted((str(None if none else key), n, -size) for n, (size, none, key) in ((n, min(g)) for n, g in groups.items()))
+    assert sorted((str(r.doc_id), norm(r.text), len(r.text or "")) for r in out) == want
+    assert out[0].asDict().keys() == {"doc_id", "text", "odd"}

@@ -156,3 +156,24 @@ def test_edges_of_the_input(spark):
 def test_the_query_counts_code_points(spark, tmp_path):
     spark.createDataFrame([(1, "u", "<p>é\U0001f600x", 5, 6)], "page_id long, url string, html string, key int, text int").write.parquet(f"{tmp_path}/pages.parquet")
     assert [tuple(r) for r in page.op5_html(spark, str(tmp_path)).collect()] == [(1, "u", "é\U0001f600x", 3)]
+
+
+def test_names_of_prose_are_kept():
+    parts = ("related-work", "social-history", "notice-period", "share-holders", "adventure", "commentary")
+    inside = "".join(f'<section class="{p}"><p>Text of {p}.</p></section>' for p in parts)
+    furniture = ("related-posts", "social-share-buttons", "cookie-notice", "ad-slot-2", "comments", "newsletterSignup", "site_footer", "sidebar")
+    around = "".join(f'<div class="{p}"><p>Not this {p}.</p></div>' for p in furniture)
+    assert page.extract(f"<article><p>First.</p>{inside}{around}</article>", None, NEVER) == "\n\n".join(["First.", *(f"Text of {p}." for p in parts)])
+
+
+def test_references_end_with_their_text():
+    assert page.extract("<article><p>a &am<b>p;</b> b &amp; c &lt<i>;</i></p></article>", None, NEVER) == "a &amp; b & c <;"
+
+
+def test_quoted_attributes_of_any_length():
+    assert page.extract(f'<article><p title="{"x" * 9000}>LEAK">Hello</p></article>', None, NEVER) == "Hello"
+
+
+def test_a_very_long_page(spark):
+    markup = "<article>" + "".join(f"<p>Paragraph {k} of it.</p>" for k in range(60_000)) + "</article>"
+    assert page.extract(markup, "http://a.example", NEVER).count("\n\n") == 59_999

@@ -86,3 +86,13 @@ def test_many_languages_share_the_sample(spark, monkeypatch):
     docs = spark.createDataFrame([(k, "the cat and the dog" if k % 2 else "der Hund und die Katze", "en" if k % 2 else "de") for k in range(4000)] + [(5000, "le chat", "fr"), (5001, "le chat", "fr")], "doc_id long, text string, lang string")
     assert sorted(langid.learn(docs).languages) == ["de", "en", "fr"]
     assert langid.learn(docs).predict("le chat")[0] == "fr" and langid.learn(docs).predict("the dog")[0] == "en"
+
+
+def test_extra_columns_ties_and_long_texts(spark):
+    rows = [(k, t, lang, 1, 2) for k, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 20)]
+    rows += [(100, "the cat " * 200_000, None, 1, 2), (101, "qqq", None, 1, 2), (102, "1 2 3", None, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, found int, row int")
+    out = {r.doc_id: r for r in langid.identify(docs).collect()}
+    assert out[100].lang_pred == "en" and out[101].score == 0 and out[102].lang_pred == "und"
+    kept = langid.keep_identified(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(range(40)) | {100}

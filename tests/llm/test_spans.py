@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from tidemark.llm import pii, secrets
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -149,3 +151,23 @@ def run(spark, query, docs, tmp={}):
     at = tempfile.mkdtemp()
     docs.write.parquet(f"{at}/documents.parquet")
     return query(spark, at).collect()
+
+
+def test_context_is_whole_words_on_either_side():
+    assert pii.spans_of("During testing, order 123-45-6789 arrived") == []
+    assert [s["kind"] for s in pii.spans_of("Number 123-45-6789 (SSN)")] == ["ssn"]
+    assert pii.spans_of("123-45-6789" + " x" * 60 + " ssn") == []
+    assert pii.score("ip", "the ship 1.2.3.4", 9, 16) == pii.PRIOR["ip"] and pii.score("ip", "the ip 1.2.3.4", 7, 14) > pii.PRIOR["ip"]
+    cut = "a" * pii.LOOK + "ssns"
+    assert pii.score("ssn", "123-45-6789 " + cut[: pii.LOOK - 4] + " ssnx", 0, 11) == pii.PRIOR["ssn"]
+
+
+@pytest.mark.parametrize("text", ["AT61 1904 3002 3457 3201", "AT61 1904 3002 3457 3201 and", "AT61 1904 3002 3457 3201 BANK", "AT611904300234573201", "to AT61 1904 3002 3457 3201, now", "XXAT AT61 1904 3002 3457 3201 IBAN OF OURS"])
+def test_account_numbers_end_where_their_country_says(text):
+    found = [s for s in pii.spans_of(text) if s["kind"] == "iban"]
+    assert [s["value"].replace(" ", "") for s in found] == ["AT611904300234573201"]
+
+
+def test_account_numbers_of_other_countries_and_wrong_ones():
+    assert [s["kind"] for s in pii.spans_of("iban XX86 0000 0000 0000 000")] in ([], ["iban"])
+    assert pii.ibans("AT62 1904 3002 3457 3201") == [] and pii.ibans("AT61 1904 3002 3457 32011") == []

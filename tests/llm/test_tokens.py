@@ -154,3 +154,33 @@ def test_patterns_hold_the_histogram():
                     held[s] += t * n
             assert held == Counter(histogram)
     assert sum(n for _, n in packing.pack({1: 10_000}, 2048)) == 5
+
+
+def test_lookup_finds_all_documents_of_a_repeated_key(spark, monkeypatch):
+    monkeypatch.setattr(tokenbin, "SEGMENT_DOCS", 4)
+    rows = [(7, f"word {k}") for k in range(30)] + [(7, "same")] * 9 + [(0, "zero")] * 6 + [(None, "none")] * 7 + [(k, f"other {k}") for k in range(8, 40)]
+    shards = tokenbin.write_shards(spark.createDataFrame(rows, "doc_id long, text string"), WORD)
+    got = Counter((r.doc_id, crc(r.ids)) for r in tokenbin.lookup(shards, [7, 0, 12, -3]).collect())
+    assert got == Counter((k, crc(i)) for k, i in plain_ids(rows, tokenbin.END) if k in (7, 0, 12))
+    assert Counter(r.doc_id for r in tokenbin.read_all(shards).collect()) == Counter(k for k, _ in rows)
+    assert tokenbin.lookup(shards, []).collect() == []
+    every = [r for r in tokenbin.lookup(shards, list(range(10_000))).collect()]
+    assert len(every) == len(rows) - 7
+
+
+def test_equal_rows_go_to_several_shards(spark):
+    docs = spark.createDataFrame([(1, "same text")] * 4000, "doc_id long, text string").repartition(4)
+    shards = tokenbin.write_shards(docs, WORD)
+    assert max(r.n for r in shards.groupBy((shards.place / (1 << 32)).cast("long").alias("shard")).agg({"docs": "sum"}).toDF("shard", "n").collect()) < 2500
+    assert tokenbin.read_all(shards).count() == 4000 == tokenbin.lookup(shards, [1]).count()
+
+
+def test_every_seed_is_another_function():
+    h = [tokenbin.hashes(np.arange(50), np.ones(50), np.zeros(50), seed) for seed in range(4)]
+    assert len(np.unique(np.concatenate(h))) == 200
+    assert all(sorted(tokenbin.build(x)[1].tolist()) == list(range(50)) for x in h)
+
+
+def test_extra_columns_with_names_of_ours(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "x", 2, 3), (2, None, 6, "y", 3, 4)], "doc_id long, text string, key int, hash string, part int, place int")
+    assert tokenbin.read_all(tokenbin.write_shards(docs, WORD)).count() == 2 == packing.pack_documents(docs, WORD).count()

@@ -78,3 +78,11 @@ def test_boxes_skip_distant_blocks(spark, monkeypatch):
     n = blocks.count()
     assert vector._pairs(blocks, eps).count() < 0.5 * n * (n + 1) / 2
     assert result(spark, rows) == brute(rows)
+
+
+def test_extra_columns_and_both_precisions(spark):
+    rows = [(k, [1.0, 0.1 * (k % 7), 0.2], "l", 1, 2, 3) for k in range(30)]
+    for kind in ("array<float>", "array<double>"):
+        docs = spark.createDataFrame(rows, f"vec_id long, embedding {kind}, label string, code int, part int, rep int")
+        got = sorted((r.vec_id, r.n_links, r.component_id) for r in vector.vector_dedup(docs).collect())
+        assert got == brute([(k, v, lab) for k, v, lab, *_ in rows])

@@ -102,18 +102,20 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     told apart by their text's digest too.
     """
     decided = written(exact_dedup(docs, key, text), "decided")
-    rows, id_ = docs.alias("d"), F.col(f"d.`{key}`")
-    odd = written(decided.groupBy(F.col(key).alias("odd")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 or odd is null").select("odd"), "odd", slim=True)
-    gone = written(decided.where(~F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("gone")).distinct(), "gone", slim=True)
-    plain = rows.join(gone, id_ == F.col("gone"), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("id"))  # no column of ours can clash
+    odd = written(decided.groupBy(F.col(f"`{key}`").alias("odd")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 or odd is null").select("odd"), "odd", slim=True)
+    gone = written(decided.where(~F.col("kept") & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("gone")).distinct(), "gone", slim=True)
+    plain = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
     if odd.isEmpty():
-        return plain
-    plain = plain.join(odd, id_.eqNullSafe(F.col("odd")), "left_anti").select("d.*")
-    mine = rows.join(odd, id_.eqNullSafe(F.col("odd")), "left_semi").select(F.struct("d.*").alias("row"), id_.alias("id"), F.length(F.coalesce(F.col(f"d.`{text}`"), F.lit(""))).alias("n"), F.sha2(normalised(F.col(f"d.`{text}`")), 256).alias("sha"))
+        return plain.select("row.*")
+    plain = plain.join(odd, F.col("id").eqNullSafe(F.col("odd")), "left_anti")
+    told = F.col(f"row.`{text}`")
+    mine = rows.join(odd, F.col("id").eqNullSafe(F.col("odd")), "left_semi").select("row", "id", F.length(F.coalesce(told, F.lit(""))).alias("n"), F.sha2(normalised(told), 256).alias("sha"))
     winners = decided.where("group_size > 1").groupBy("text_sha256").agg(F.first("keep_id").alias("keep"))
     best = mine.join(winners, F.col("sha") == F.col("text_sha256"), "left").where(F.col("text_sha256").isNull() | F.col("id").eqNullSafe(F.col("keep")))
     # of rows with one id and text, one; the bare key is grouped, never a text
-    return plain.unionByName(best.groupBy("id", "sha").agg(F.max_by("row", "n").alias("row")).select("row.*"))
+    one = best.groupBy("id", "sha").agg(F.max_by("row", "n").alias("row"))
+    return plain.select("row").unionByName(one.select("row")).select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
