@@ -153,7 +153,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         e = encoder(ByteEncoder, path)
         return {"key": batch.column(0)} | give(e, *e.encode_all(batch.column(1)))
 
-    short = map_batches(rows.where(size <= LONG), direct, f"key {kind}, {columns}")
+    short = map_batches(rows.where(size <= LONG), direct, f"key {kind}, {columns}", keep=True)
     # the written table fixes the numbers of rows, which tell repeated rows apart
     long = written(rows.where(size > LONG).withColumn("row", F.monotonically_increasing_id()), "long")
 
@@ -178,8 +178,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         out = give(e, ids.astype(np.int32), np.array([len(ids)]))
         return pd.DataFrame({"row": [group["row"].iloc[0]]} | {c: x.to_pylist() if isinstance(x, pa.Array) else x for c, x in out.items()})
 
-    blocks = map_batches(long.select("row", "text"), cut, "row long, block int, kind string, run int, content string")
-    parts = map_batches(blocks.repartition("row", "block"), part, "row long, block int, kind string, run int, ids binary")
+    blocks = map_batches(long.select("row", "text"), cut, "row long, block int, kind string, run int, content string", keep=True)
+    parts = map_batches(blocks.repartition("row", "block"), part, "row long, block int, kind string, run int, ids binary", keep=True)
     done = parts.groupBy("row").applyInPandas(whole, f"row long, {columns}")
     joined = long.select("key", "row").join(done, "row").drop("row")
     return short.unionByName(joined).withColumnRenamed("key", key)
@@ -194,7 +194,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
         e = encoder(ByteEncoder, path)
         return {key: batch.column(0), ids: batch.column(1), "text": [t.decode() for t in e.decode_all(*_runs(batch.column(1)))]}
 
-    return map_batches(rows, run, f"`{key}` {kind}, `{ids}` array<int>, text string")
+    return map_batches(rows, run, f"`{key}` {kind}, `{ids}` array<int>, text string", keep=True)
 
 
 def digests(e: ByteEncoder, ids: np.ndarray, ends: np.ndarray) -> dict:

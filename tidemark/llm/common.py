@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -78,12 +80,36 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+#: Large tables that modules keep in a worker process from task to task.
+HELD: list[dict] = []
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def forget() -> None:
+    """Empty what modules keep in this process, for work that does not need it."""
+    if any(HELD):
+        for held in HELD:
+            held.clear()
+        give_back()
+
+
 def _typed(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
 
 
-def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``run`` takes a pyarrow RecordBatch and returns a dict of columns (or None for no rows)."""
+def map_batches(df: DataFrame, run: Callable, schema: StructType | str, keep: bool = False) -> DataFrame:
+    """``run`` takes a pyarrow RecordBatch and returns a dict of columns (or None for no rows).
+
+    A worker that runs it first forgets the tables of other work, unless ``keep`` says that they are used.
+    """
     short_batches(df.sparkSession)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
@@ -92,6 +118,8 @@ def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataF
     arrow = to_arrow_schema(schema)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            forget()
         for batch in batches:
             if batch.num_rows:
                 out = run(batch)

@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from tidemark.llm.common import HELD, give_back
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary: printing Latin-1 bytes
@@ -34,6 +36,7 @@ def byte_letters() -> list[str]:
 LETTERS = {byte: ord(letter) for byte, letter in enumerate(byte_letters())}
 
 _encoders: dict[tuple[str, str], object] = {}
+HELD.append(_encoders)
 
 
 def load(path: str) -> Tokenizer:
@@ -47,22 +50,35 @@ class Pieces:
     """Ids of short pieces of text, kept in arrays and looked up a whole batch at a time.
 
     A piece of at most 16 bytes is its own key, two 64-bit words, so a lookup is exact. The table is
-    open-addressed; it is emptied when it is full, which only costs time.
+    open-addressed and doubles as it fills, up to ``MOST`` pieces; then it is emptied, which only costs
+    time.
     """
 
-    SLOTS, MOST = 1 << 21, 1_300_000
+    FIRST_BITS, MOST = 16, 1_300_000
     #: Masks that keep the first n bytes of a little-endian word.
     KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
     def __init__(self, width: np.dtype):
         self.width = width
-        self.low, self.high, self.entry = np.zeros(self.SLOTS, np.uint64), np.zeros(self.SLOTS, np.uint64), np.empty(self.SLOTS, np.int32)
-        self.starts, self.sizes, self.pool = np.zeros(self.MOST + 1, np.int64), np.zeros(self.MOST + 1, np.int64), np.zeros(1 << 20, width)
         self.clear()
 
     def clear(self) -> None:
-        self.entry.fill(-1)
         self.count = self.used = 0
+        self._slots(self.FIRST_BITS)
+        self.starts, self.sizes, self.pool = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32), np.zeros(1 << 14, self.width)
+
+    def _slots(self, bits: int) -> None:
+        self.bits, self.mask = bits, (1 << bits) - 1
+        self.low, self.high, self.entry = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    @staticmethod
+    def _room(held: np.ndarray, used: int, more: int) -> np.ndarray:
+        """An array with room for more, a quarter longer than it must be."""
+        if used + more <= len(held):
+            return held
+        out = np.zeros((used + more) * 5 // 4, held.dtype)
+        out[:used] = held[:used]
+        return out
 
     @classmethod
     def keys(cls, data: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +90,7 @@ class Pieces:
     def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         x = (low ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0x9E3779B97F4A7C15)
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (x >> np.uint64(43)).astype(np.int64)  # 21 bits
+        return (x >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Entries of keys; -1 where a key is not held."""
@@ -82,30 +98,41 @@ class Pieces:
         out = self.entry[slot]
         left = np.flatnonzero((out >= 0) & ((self.low[slot] != low) | (self.high[slot] != high)))
         while len(left):
-            slot[left] = (slot[left] + 1) & (self.SLOTS - 1)
+            slot[left] = (slot[left] + 1) & self.mask
             out[left] = self.entry[slot[left]]
             left = left[(out[left] >= 0) & ((self.low[slot[left]] != low[left]) | (self.high[slot[left]] != high[left]))]
         return out
 
+    def _put(self, low: np.ndarray, high: np.ndarray, entry: np.ndarray) -> None:
+        slot, left = self._slot(low, high), np.arange(len(low))
+        while len(left):
+            free = left[self.entry[slot[left]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.entry[slot[put]], self.low[slot[put]], self.high[slot[put]] = entry[put], low[put], high[put]
+            waiting = np.ones(len(low), bool)
+            waiting[put] = False
+            left = left[waiting[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+
     def add(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """Hold distinct new keys with their ids."""
         n = len(low)
-        if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), self.width)])
+        bits = self.bits
+        while (self.count + n) * 8 > 5 << bits:
+            bits += 1
+        if bits > self.bits:
+            held = self.entry >= 0
+            old = self.low[held], self.high[held], self.entry[held]
+            self._slots(bits)
+            self._put(*old)
+        self.pool = self._room(self.pool, self.used, len(ids))
+        self.starts, self.sizes = self._room(self.starts, self.count, n), self._room(self.sizes, self.count, n)
         self.pool[self.used : self.used + len(ids)] = ids
         new = np.arange(self.count, self.count + n)
         self.sizes[new], self.starts[new] = sizes, self.used + np.cumsum(sizes) - sizes
         self.used, self.count = self.used + len(ids), self.count + n
-        slot, left = self._slot(low, high), np.arange(n)
-        while len(left):
-            free = left[self.entry[slot[left]] < 0]
-            _, first = np.unique(slot[free], return_index=True)
-            put = free[first]
-            self.entry[slot[put]], self.low[slot[put]], self.high[slot[put]] = new[put], low[put], high[put]
-            waiting = np.ones(n, bool)
-            waiting[put] = False
-            left = left[waiting[left]]
-            slot[left] = (slot[left] + 1) & (self.SLOTS - 1)
+        self._put(low, high, new)
 
 
 class _Encoder:
@@ -116,13 +143,19 @@ class _Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
-        self.vocabulary = self.tokenizer.get_vocab()
-        self.last = max(self.vocabulary.values())
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = max(vocabulary.values())
+        self._learn(vocabulary)
         self.width = np.dtype("<u2") if self.last < 1 << 16 else np.dtype("<u4")
         self.pieces = Pieces(self.width)
         bare = json.loads(self.tokenizer.to_str())
         bare["normalizer"], bare["pre_tokenizer"], bare["added_tokens"] = None, {"type": "WhitespaceSplit"}, []
         self.bare = Tokenizer.from_str(json.dumps(bare))
+        del vocabulary, bare
+        give_back()
+
+    def _learn(self, vocabulary: dict[str, int]) -> None:
+        """What an encoder needs of the vocabulary."""
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.width) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -175,7 +208,7 @@ class _Encoder:
             ids, sizes = self._fresh(texts)
             table.add(low[distinct], high[distinct], ids, sizes)
             entry[new] = table.find(low[new], high[new])
-        counts, starts, pool = table.sizes[entry], table.starts[entry], table.pool
+        counts, starts, pool = table.sizes[entry].astype(np.int64), table.starts[entry].astype(np.int64), table.pool
         long = np.flatnonzero(~short)
         if len(long):
             texts = [bytes(data[a : a + s]).decode() for a, s in zip(at[long].tolist(), size[long].tolist(), strict=True)]
@@ -222,10 +255,9 @@ class WordEncoder(_Encoder):
     MARKS = np.zeros(256, bool)
     MARKS[list(b".,!?;:|")] = True
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def _learn(self, vocabulary: dict[str, int]) -> None:
         self.ends = np.zeros(self.last + 1, bool)
-        for token, at in self.vocabulary.items():
+        for token, at in vocabulary.items():
             self.ends[at] = token.endswith("</w>")
 
     def _alone(self, texts: pa.Array) -> pa.Array:
@@ -277,9 +309,6 @@ class ByteEncoder(_Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.token = [""] * (self.last + 1)
-        for token, at in self.vocabulary.items():
-            self.token[at] = token
         self.special = {t.content: at for at, t in self.tokenizer.get_added_tokens_decoder().items()}
         if any(c.isspace() for t in self.special for c in t):
             raise ValueError("an added token holds white space")
@@ -289,6 +318,11 @@ class ByteEncoder(_Encoder):
         self.bytes = _table([t.encode() if t in self.special else bytes(byte_of[c] for c in t) for t in self.token])
         self.decimals = _table([b"%d," % at for at in range(len(self.token))])
 
+    def _learn(self, vocabulary: dict[str, int]) -> None:
+        self.token = [""] * (self.last + 1)
+        for token, at in vocabulary.items():
+            self.token[at] = token
+
     def _alone(self, texts: pa.Array) -> pa.Array:
         return pc.or_(pc.match_substring_regex(texts, self.ODD), pc.greater(pc.binary_length(texts), self.LARGE))
 
