@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -50,16 +51,28 @@ class Preprocessor:
 
 def fit_preprocessor(train: DataFrame, columns: Sequence[str], target: str = "target", select: int | None = None, standardise: bool = True) -> Preprocessor:
     """Fill with training medians, scale by population deviation (0: 1), keep the ``select`` features
-    that correlate most with the target, ties by name. Two aggregates over the training rows."""
+    that correlate most with the target, ties by name.
+
+    One aggregate gives medians and moments of what is there, and so those of what will be filled; only
+    a choice of features reads the training rows again.
+    """
     number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-    first = train.agg(*[F.coalesce(F.median(number(c)), F.lit(0.0)).alias(c) for c in columns]).first()
-    medians = {c: float(first[c]) for c in columns}
-    fill = lambda c: F.coalesce(number(c), F.lit(medians[c]))
-    second = train.agg(*[x for c in columns for x in (F.avg(fill(c)).alias(f"{c}__m"), F.stddev_pop(fill(c)).alias(f"{c}__s"), correlation(fill(c), F.col(target).cast("double")).alias(f"{c}__r"))]).first()
-    scales = {c: float(second[f"{c}__s"] or 0.0) or 1.0 for c in columns}
+    parts = [x.alias(f"{c}__{k}") for c in columns for k, x in (("d", F.coalesce(F.median(number(c)), F.lit(0.0))), ("n", F.count(number(c))), ("m", F.coalesce(F.avg(number(c)), F.lit(0.0))), ("v", F.coalesce(F.var_pop(number(c)), F.lit(0.0))))]
+    first = train.agg(F.count(F.lit(1)).alias("rows"), *parts).first()
+    medians, means, scales = {}, {}, {}
+    for c in columns:
+        median, n, mean, variance = (first[f"{c}__{k}"] for k in "dnmv")
+        rows, lost = max(first["rows"], 1), first["rows"] - n
+        whole = (n * mean + lost * median) / rows
+        spread = math.sqrt((n * (variance + (mean - whole) ** 2) + lost * (median - whole) ** 2) / rows)
+        medians[c], means[c], scales[c] = float(median), float(whole), spread or 1.0
+    second = {}
+    if select is not None and select < len(columns):
+        fill = lambda c: F.coalesce(number(c), F.lit(medians[c]))
+        second = train.agg(*[correlation(fill(c), F.col(target).cast("double")).alias(f"{c}__r") for c in columns]).first()
     strength = lambda c: 0.0 if (r := second[f"{c}__r"]) is None or r != r else abs(r)
     chosen = tuple(columns) if select is None or select >= len(columns) else tuple(sorted(columns, key=lambda c: (-strength(c), c))[:select])
-    return Preprocessor(tuple(columns), chosen, medians, {c: float(second[f"{c}__m"]) for c in columns}, scales, standardise)
+    return Preprocessor(tuple(columns), chosen, medians, means, scales, standardise)
 
 
 @dataclass(frozen=True)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import pit, ranking
+from tidemark.operators.ledger import fold
 from tidemark.operators.pit import guard
 from tidemark.plans.series import rounded
 from tidemark.registry import query as register
@@ -67,18 +67,22 @@ def example_time_series(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spaced(events: DataFrame, entity: str, day: str, gap: int, key: str) -> DataFrame:
-    """Events of each entity at least ``gap`` days after the one kept before: a greedy, sequential choice."""
-    schema = events.schema
+    """Events of each entity at least ``gap`` days after the one kept before: a greedy, sequential choice, streamed by entity."""
+    names = events.columns
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        keep, last = [], None
-        for when, _, at in sorted(zip(pd.to_datetime(group[day]), group[key], range(len(group)), strict=True)):
-            if last is None or (when - last).days >= gap:
-                keep.append(at)
-                last = when
-        return group.iloc[keep]
+    def start(_) -> tuple:
+        last = None
 
-    return events.groupBy(entity).applyInPandas(choose, schema)
+        def step(e: dict) -> list[tuple]:
+            nonlocal last
+            if last is not None and (e[day] - last).days < gap:
+                return []
+            last = e[day]
+            return [tuple(e[n] for n in names)]
+
+        return step, tuple
+
+    return fold(events, entity, [day, key], start, events.schema)
 
 
 def event_study(revisions: DataFrame, prices: DataFrame, gap: int) -> DataFrame:
@@ -91,14 +95,20 @@ def event_study(revisions: DataFrame, prices: DataFrame, gap: int) -> DataFrame:
     return chosen.join(steps, ["instrument", "event_day"]).where("next is not null").select("event_id", "instrument", "revision", "surprise", (F.try_divide("next", "base") - 1).alias("window_return"))
 
 
-@register("example_event_study")
+@register(
+    "example_event_study",
+    f"""WITH RECURSIVE p AS (SELECT instrument, session, close, LEAD(close) OVER (PARTITION BY instrument ORDER BY session) AS nxt FROM ({_CLOSES})),
+e AS (SELECT event_id, user_id AS instrument, CAST(ts AS DATE) AS d, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS revision, value FROM events),
+k(instrument, d, event_id) AS (SELECT instrument, d, event_id FROM e QUALIFY ROW_NUMBER() OVER (PARTITION BY instrument ORDER BY d, event_id) = 1
+ UNION ALL SELECT * FROM (SELECT e.instrument, e.d, e.event_id FROM k JOIN e ON e.instrument = k.instrument AND e.d >= k.d + 2 QUALIFY ROW_NUMBER() OVER (PARTITION BY e.instrument ORDER BY e.d, e.event_id) = 1))
+SELECT e.event_id, e.instrument, e.revision, ROUND(e.value * e.revision, 6) AS surprise, ROUND(p.nxt / p.close - 1, 6) AS window_return FROM k JOIN e USING (event_id) JOIN p ON p.instrument = e.instrument AND p.session = e.d WHERE p.nxt IS NOT NULL""",
+)
 def example_event_study(spark: SparkSession, d: str) -> DataFrame:
-    signups = scan(spark, d, "events").where("event_type = 'signup'")
     day = F.col("ts").cast("date")
-    revisions = signups.withColumn("revision", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+    revisions = scan(spark, d, "events").withColumn("revision", F.explode(F.array(F.lit(1), F.lit(2)))).select(
         "event_id", F.col("user_id").alias("instrument"), day.alias("event_day"), "revision", (F.col("value") * F.col("revision")).alias("surprise"), (F.col("ts") + F.expr("make_dt_interval(0, cast(event_id % 3 as int) * (revision - 1))")).alias("available_at"), F.col("ts").alias("decision_at"),
     )
-    return event_study(revisions, closes(spark, d).select("instrument", "session", "close"), 2)
+    return rounded(event_study(revisions, closes(spark, d).select("instrument", "session", "close"), 2), "surprise", "window_return")
 
 
 def term_structure(contracts: DataFrame, product: str) -> DataFrame:

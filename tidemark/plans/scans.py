@@ -95,7 +95,10 @@ def json_rows(spark: SparkSession, d: str) -> DataFrame:
     return json_array_rows(rows, ["event_id"], "tags", "tag", kinds=["a", "b"], dates=["day"])
 
 
-@register("schema_discovery")
+_KINDS = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float' WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE CASE WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' ELSE lower(column_type) END END"
+
+
+@register("schema_discovery", " UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(ROW_NUMBER() OVER () - 1 AS INTEGER) AS position, column_name, {_KINDS} AS data_type FROM (DESCRIBE SELECT * FROM {t})" for t in ("orders", "lineitem", "events")))
 def schema_discovery(spark: SparkSession, d: str) -> DataFrame:
     return discover(spark, d, ["orders", "lineitem", "events"])
 
