@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Rows and bytes in one Arrow batch. Documents may hold megabytes, so a batch is kept short.
-ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,19 +59,37 @@ def written(df: DataFrame, what: str = "t", slim: bool = False, options: dict |
     path = f"{scratch_dir(spark)}/tidemark/{what}-{uuid.uuid4().hex}"
     out = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if slim else df
     out.write.options(compression="zstd", **(options or {})).parquet(path)
+    SCRATCH.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
 
 
+#: Folders that this driver has written and not deleted.
+SCRATCH: list[str] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in SCRATCH:
+        SCRATCH.remove(path)
+
+
 def release(*frames: DataFrame) -> None:
     """Delete tables made by :func:`written` that no later plan reads."""
     for df in frames:
-        path = getattr(df, "_tidemark_path", None)
-        if path:
-            jvm = df.sparkSession._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        if path := getattr(df, "_tidemark_path", None):
+            _delete(df.sparkSession, path)
+
+
+def kept_alone(make: Callable[[], DataFrame], what: str) -> DataFrame:
+    """What ``make`` gives, written; every scratch table made on the way is deleted then."""
+    before = set(SCRATCH)
+    out = written(make(), what)
+    for path in [p for p in SCRATCH if p not in before and p != out._tidemark_path]:
+        _delete(out.sparkSession, path)
+    return out
 
 
 def short_batches(spark: SparkSession) -> None:

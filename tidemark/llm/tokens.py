@@ -8,13 +8,13 @@ live in the worker process, are bounded and survive from task to task.
 
 from __future__ import annotations
 
-import json
 import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from tidemark.llm.common import HELD, give_back
 
@@ -148,10 +148,9 @@ class _Encoder:
         self._learn(vocabulary)
         self.width = np.dtype("<u2") if self.last < 1 << 16 else np.dtype("<u4")
         self.pieces = Pieces(self.width)
-        bare = json.loads(self.tokenizer.to_str())
-        bare["normalizer"], bare["pre_tokenizer"], bare["added_tokens"] = None, {"type": "WhitespaceSplit"}, []
-        self.bare = Tokenizer.from_str(json.dumps(bare))
-        del vocabulary, bare
+        self.bare = Tokenizer(self.tokenizer.model)  # the same model, not another one
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        del vocabulary
         give_back()
 
     def _learn(self, vocabulary: dict[str, int]) -> None:
