@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import kept_alone, release, table, written
 from tidemark.llm.dedup_exact import keep_first
 from tidemark.llm.dedup_near import near_dedup
 from tidemark.llm.langid import keep_identified
@@ -67,7 +67,8 @@ STAGES = [("language", language), ("exact", exact), ("near", near), ("secrets",
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, kept_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
