@@ -107,7 +107,8 @@ def test_intents_close_the_old_contract_first(spark):
     days = spark.createDataFrame([(day(n),) for n in (2, 3, 4, 5, 8, 9)], "session date")
     out = simulation.futures_intents(targets, days).orderBy("session", "leg").collect()
     assert [(r.session.day, r.target_sequence, r.contract, r.side, r.contracts, r.offset) for r in out] == [(3, 0, "a", "buy", 3, "open"), (4, 1, "a", "sell", 2, "close_yesterday"), (5, 2, "a", "sell", 1, "close_yesterday"), (5, 2, "b", "sell", 2, "open"), (8, 3, "b", "buy", 2, "close_yesterday"), (8, 3, "b", "buy", 2, "open")]
-    assert "no later session" in fails(simulation.futures_intents(targets, days.where("session < '2024-01-09'")))
+    late = targets.where("session < '2024-01-08'").unionAll(spark.createDataFrame([("p", day(8), "b", 5)], targets.schema))
+    assert "no later session" in fails(simulation.futures_intents(late, days.where("session < '2024-01-09'")))
     assert "two targets" in fails(simulation.futures_intents(targets.unionAll(targets), days))
 
 

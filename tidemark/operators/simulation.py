@@ -224,8 +224,8 @@ def futures_intents(targets: DataFrame, sessions: DataFrame, session: str = "ses
     """Order intents of target positions: each target is traded in the next session, an old contract closed first.
 
     ``targets``: product, session, contract, target_quantity; ``sessions``: the calendar. Positions
-    are those of days before, so that every closing leg closes yesterday's. A target without a later
-    session is an error, and so is a product with two targets in one. Rows: product, session (of the
+    are those of days before, so that every closing leg closes yesterday's. A target that has to be
+    traded without a later session is an error, and so is a product with two targets in one. Rows: product, session (of the
     execution), target_session, target_sequence, leg, contract, side, contracts, offset.
     """
     from tidemark.operators.pit import guard
