@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows and bytes in one Arrow batch. Documents may hold megabytes, so a batch is kept short.
-ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
+#: Rows and bytes in one Arrow batch. Work on a batch of texts takes many times its bytes, so it is kept short.
+ARROW_ROWS, ARROW_BYTES = 2048, 512 << 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +105,7 @@ HELD: list[dict] = []
 def give_back() -> None:
     """Return freed memory to the system, where the C library can."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):
@@ -113,10 +114,9 @@ def give_back() -> None:
 
 def forget() -> None:
     """Empty what modules keep in this process, for work that does not need it."""
-    if any(HELD):
-        for held in HELD:
-            held.clear()
-        give_back()
+    for held in HELD:
+        held.clear()
+    give_back()
 
 
 def _typed(values, kind: pa.DataType) -> pa.Array:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, short_batches, table, written
+from tidemark.llm.common import documents, give_back, map_batches, short_batches, table, written
 from tidemark.llm.tokens import WordEncoder, encoder
 
 LENGTH, END = 2048, 1
@@ -91,6 +91,7 @@ def pieces_of(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     fields = PIECES.format(rows.schema[key].dataType.simpleString())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encode, part, seen = encoder(WordEncoder, path), TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
         for batch in batches:
             at, out = [], []

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructType
 
-from tidemark.llm.common import documents, map_batches, short_batches, table, written
+from tidemark.llm.common import documents, give_back, map_batches, short_batches, table, written
 from tidemark.llm.tokens import WordEncoder, encoder
 
 END = 2
@@ -150,6 +150,7 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     schema = to_arrow_schema(FORMAT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encode, shard = encoder(WordEncoder, path), TaskContext.get().partitionId()
         tail = np.array([end], encode.width).tobytes()
         segment, local, keys, parts, size, end_of, since = 0, 0, [], [], 0, (), 0
