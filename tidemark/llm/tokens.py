@@ -8,6 +8,7 @@ live in the worker process, are bounded and survive from task to task.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -35,6 +36,9 @@ def byte_letters() -> list[str]:
 #: Latin-1 characters, read as bytes, to their letters.
 LETTERS = {byte: ord(letter) for byte, letter in enumerate(byte_letters())}
 
+# a task has one core: threads of the library's own only hold memory
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 _encoders: dict[tuple[str, str], object] = {}
 HELD.append(_encoders)
 
