@@ -1,7 +1,9 @@
 """Conservation checks of trading results: what must add up, as rows of what does not.
 
 Tables: orders, fills, costs, cash, positions, valuations with the columns named in each check.
-Every check returns (check, key, expected, stated) rows, empty when all is well.
+Every check returns (check, key, expected, stated) rows, empty when all is well. Ids belong to a
+portfolio where all tables of a check have one. Tables are stacked and compared in windows, so that
+a result that lies by portfolio is checked where it lies.
 """
 
 from __future__ import annotations
@@ -16,20 +18,34 @@ def _rows(df: DataFrame, check: str, key: str, expected, stated) -> DataFrame:
     return df.select(F.lit(check).alias("check"), F.col(key).cast("string").alias("key"), expected.cast("string").alias("expected"), stated.cast("string").alias("stated"))
 
 
+def _stacked(parents: DataFrame, children: DataFrame, key: str) -> tuple[DataFrame, Window]:
+    """Rows of two tables over each other (``__child`` tells which), with the window of all rows of a ``key``."""
+    scope = [c for c in ("portfolio_id",) if c in parents.columns and c in children.columns]
+    rows = parents.withColumn("__child", F.lit(False)).unionByName(children.withColumn("__child", F.lit(True)), allowMissingColumns=True)
+    return rows, Window.partitionBy(*scope, key)
+
+
 def fill_integrity(orders: DataFrame, fills: DataFrame) -> DataFrame:
-    """Every fill names an order of its instrument, and notional = price * quantity * multiplier."""
-    o = orders.select(F.col("order_id").alias("__o"), F.col("instrument_id").alias("__i"))
-    both = fills.join(o, fills["order_id"] == o["__o"], "left")
+    """Every fill names an order of its instrument, and notional = price * quantity * multiplier.
+
+    Where an order id repeats, a fill is compared with the least and the greatest of its instruments.
+    """
+    scope = [c for c in ("portfolio_id",) if c in orders.columns and c in fills.columns]
+    rows, w = _stacked(orders.select(*scope, "order_id", "instrument_id"), fills.select(*scope, "order_id", "instrument_id", "fill_id"), "order_id")
+    ordered = F.when(~F.col("__child") & F.col("order_id").isNotNull(), F.col("instrument_id"))
+    rows = rows.withColumn("__low", F.min(ordered).over(w)).withColumn("__high", F.max(ordered).over(w)).where("__child")
+    wrong = rows.withColumn("__i", F.explode(F.array_distinct(F.array("__low", "__high")))).where(~F.col("__i").eqNullSafe(F.col("instrument_id")))
     product = (F.col("execution_price_units").cast("decimal(19,0)") * F.col("quantity").cast("decimal(19,0)")).cast(WIDE) * F.col("contract_multiplier")
-    wrong = both.where(~F.col("__i").eqNullSafe(F.col("instrument_id")))
-    off = both.where(~product.cast(WIDE).eqNullSafe(F.col("notional_units").cast(WIDE)))
+    off = fills.where(~product.cast(WIDE).eqNullSafe(F.col("notional_units").cast(WIDE)))
     return _rows(wrong, "fill_reference", "fill_id", F.col("__i"), F.col("instrument_id")).unionByName(_rows(off, "fill_notional", "fill_id", product.cast(WIDE), F.col("notional_units")))
 
 
 def order_closure(orders: DataFrame, fills: DataFrame) -> DataFrame:
     """An order's filled quantity is the sum of its fills, and its status follows."""
-    done = fills.groupBy(F.col("order_id").alias("__o")).agg(F.sum("quantity").alias("__filled"))
-    both = orders.join(done, F.col("order_id") == F.col("__o"), "left").withColumn("__filled", F.coalesce("__filled", F.lit(0)))
+    scope = [c for c in ("portfolio_id",) if c in orders.columns and c in fills.columns]
+    rows, w = _stacked(orders.select(*scope, "order_id", "requested_quantity", "filled_quantity", "status"), fills.select(*scope, "order_id", "quantity"), "order_id")
+    filled = F.sum(F.when(F.col("order_id").isNotNull(), F.col("quantity"))).over(w)
+    both = rows.withColumn("__filled", F.coalesce(filled, F.lit(0))).where("not __child")
     status = F.when(F.col("__filled") == 0, F.col("status")).when(F.col("__filled") == F.col("requested_quantity"), F.lit("filled")).otherwise(F.when(F.col("status") == "filled", F.lit("partially_filled")).otherwise(F.col("status")))
     a = both.where(F.col("__filled") != F.col("filled_quantity"))
     b = both.where(~status.eqNullSafe(F.col("status")) | ((F.col("__filled") == 0) & (F.col("status") == "filled")))
@@ -38,11 +54,15 @@ def order_closure(orders: DataFrame, fills: DataFrame) -> DataFrame:
 
 def fee_closure(fills: DataFrame, costs: DataFrame) -> DataFrame:
     """A fill's fee is the sum of its costs; costs name fills."""
-    paid = costs.groupBy(F.col("fill_id").alias("__f")).agg(F.sum("amount_units").alias("__paid"))
-    both = fills.join(paid, F.col("fill_id") == F.col("__f"), "left")
-    off = both.where(~F.col("__paid").eqNullSafe(F.col("fee_units").cast("bigint")))
-    lost = costs.join(fills.select(F.col("fill_id").alias("__f")), F.col("fill_id") == F.col("__f"), "left_anti")
-    return _rows(off, "fill_fee", "fill_id", F.col("__paid"), F.col("fee_units")).unionByName(_rows(lost, "cost_reference", "cost_id", F.lit(None), F.col("fill_id")))
+    scope = [c for c in ("portfolio_id",) if c in fills.columns and c in costs.columns]
+    rows, w = _stacked(fills.select(*scope, "fill_id", "fee_units"), costs.select(*scope, "fill_id", "cost_id", "amount_units"), "fill_id")
+    named = F.col("fill_id").isNotNull()
+    rows = rows.withColumn("__paid", F.sum(F.when(named, F.col("amount_units"))).over(w)).withColumn("__fills", F.count_if(named & ~F.col("__child")).over(w))
+    off = ~F.col("__child") & ~F.col("__paid").eqNullSafe(F.col("fee_units").cast("bigint"))
+    lost = F.col("__child") & (F.col("__fills") == 0)
+    fee = F.struct(F.lit("fill_fee").alias("check"), F.col("fill_id").cast("string").alias("key"), F.col("__paid").cast("string").alias("expected"), F.col("fee_units").cast("string").alias("stated"))
+    cost = F.struct(F.lit("cost_reference").alias("check"), F.col("cost_id").cast("string").alias("key"), F.lit(None).cast("string").alias("expected"), F.col("fill_id").cast("string").alias("stated"))
+    return rows.where(off | lost).select(F.when(off, fee).otherwise(cost).alias("f")).select("f.*")
 
 
 def cash_conservation(cash: DataFrame) -> DataFrame:

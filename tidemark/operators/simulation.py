@@ -285,9 +285,7 @@ def project_cash(orders: DataFrame, opening: int) -> dict[str, DataFrame]:
         "costs": done.select(F.col("account").alias("portfolio_id"), F.concat("order_id", F.lit(":c")).alias("cost_id"), F.concat("order_id", F.lit(":f")).alias("fill_id"), F.lit("transaction_fee").alias("cost_type"), F.col("fee_units").alias("amount_units")),
     }
     change = -sign * F.col("notional_units") - F.col("fee_units")
-    last = F.row_number().over(Window.partitionBy("account", "day").orderBy(F.desc("seq"))) == 1
-    moved = orders.groupBy(F.col("account").alias("a"), F.col("day").alias("dd")).agg(F.sum(F.when(F.col("filled") > 0, change).otherwise(0)).alias("trade_cash_change_units"))
-    ends = orders.withColumn("__last", last).where("__last").join(moved, (F.col("account") == F.col("a")) & (F.col("day") == F.col("dd")))
+    ends = orders.groupBy("account", "day").agg(F.sum(F.when(F.col("filled") > 0, change).otherwise(0)).alias("trade_cash_change_units"), *[F.max_by(c, "seq").alias(c) for c in ("cash_units", "nav_units")])
     out["cash"] = ends.select(F.col("account").alias("portfolio_id"), F.concat_ws("@", F.col("account").cast("string"), "day").alias("snapshot_id"), F.col("day").alias("valuation_time"), F.lit(opening).cast("bigint").alias("opening_cash_units"), "trade_cash_change_units", F.lit(0).cast("bigint").alias("non_trade_cash_change_units"), F.col("cash_units").alias("total_cash_units"))
     day = done.groupBy(F.col("account").alias("portfolio_id"), F.col("code").alias("instrument_id"), F.col("day").alias("valuation_time")).agg(F.sum(sign * F.col("filled")).alias("trade_quantity_change"))
     w = Window.partitionBy("portfolio_id", "instrument_id").orderBy("valuation_time").rowsBetween(Window.unboundedPreceding, 0)

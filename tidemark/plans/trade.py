@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import checks, ledger, simulation, trading
 from tidemark.registry import query as register
+from tidemark.sources.store import kept
 from tidemark.sources.tables import scan
 
 POLICY = trading.CashPolicy()
@@ -25,7 +26,8 @@ _ORDERS = f"""SELECT l_orderkey * 100 + {_LINE} AS id, o_custkey AS account, l_p
 
 def orders(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    rows = scan(spark, d, "lineitem").join(scan(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).join(scan(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    # orders last: their join and the window share an exchange
+    rows = scan(spark, d, "lineitem").join(scan(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey")).join(scan(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
     price = F.round(F.col("p_retailprice") * 100).cast("bigint")
     return rows.select(
         (F.col("l_orderkey") * 100 + F.row_number().over(w)).alias("id"), F.col("o_custkey").alias("account"), F.col("l_partkey").alias("code"), F.when(F.col("l_returnflag") == "R", "sell").otherwise("buy").alias("side"), (F.col("l_quantity") * 20).cast("bigint").alias("quantity"),
@@ -429,10 +431,9 @@ _FILLS = "SELECT id, account, day, quantity, quantity * open_units AS n, GREATES
 
 def _simulated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The result tables of purchases that all fill, with faults put into costs, cash and positions."""
-    w = Window.partitionBy("account").orderBy("day", "id")
-    rows = orders(spark, d).select("account", F.row_number().over(w).cast("bigint").alias("seq"), F.col("id").cast("string").alias("order_id"), F.col("day").cast("date").cast("string").alias("day"), F.col("code").cast("string").alias("code"), F.lit("buy").alias("side"), "quantity", F.lit(False).alias("paused"), "open_units", (F.col("open_units") + 1).alias("high_limit_units"), F.lit(0).cast("bigint").alias("low_limit_units"), F.col("quantity").alias("capacity"))
+    rows = orders(spark, d).select("account", F.col("id").alias("seq"), F.col("id").cast("string").alias("order_id"), F.col("day").cast("date").cast("string").alias("day"), F.col("code").cast("string").alias("code"), F.lit("buy").alias("side"), "quantity", F.lit(False).alias("paused"), "open_units", (F.col("open_units") + 1).alias("high_limit_units"), F.lit(0).cast("bigint").alias("low_limit_units"), F.col("quantity").alias("capacity"))
     policy = trading.CashPolicy(lot=20, slippage_units=0)
-    tables = simulation.project_cash(ledger.simulate_cash(rows, policy, 10_000_000_000_000).join(rows.select("order_id", "day"), "order_id"), 10_000_000_000_000)
+    tables = simulation.project_cash(kept(ledger.simulate_cash(rows, policy, 10_000_000_000_000, ["day", "seq"], dated=True), "account"), 10_000_000_000_000)
     costs, cash, positions = tables["costs"], tables["cash"], tables["positions"]
     return tables | {
         "costs": costs.withColumn("amount_units", F.col("amount_units") + F.when(F.split("cost_id", ":")[0].cast("bigint") % 97 == 0, 1).otherwise(0)),

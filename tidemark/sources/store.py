@@ -7,6 +7,7 @@ never finished. Paths are opened by Spark alone.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,22 @@ def publication_summary(factors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_factor, by_reason
 
 
+def kept(df: DataFrame, by: str) -> DataFrame:
+    """``df`` written once, bucketed by a column, and read back: what reads it often computes it once,
+    and windows and groups within ``by`` need no exchange.
+
+    The files lie under ``spark.checkpoint.dir`` (without one, in the warehouse) until the driver ends.
+    """
+    spark = df.sparkSession
+    name = f"kept_{uuid.uuid4().hex}"
+    writer = df.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), by)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        writer = writer.option("path", f"{folder.rstrip('/')}/tidemark/{name}")
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
 class Bundle:
     """Materialized frames by request id: merged from parts, selected by request."""
 
