@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 import duckdb
 import pytest
 
-from tidemark.operators import checks
+from pyspark.sql import functions as F
+
+from tidemark.operators import checks, simulation
 from tests.test_oracle import QUERIES, SF, SQL, rows
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -58,3 +60,10 @@ def test_ids_belong_to_a_portfolio(spark):
     assert found == []
     assert [tuple(r) for r in checks.fee_closure(fills.where("portfolio_id = 1"), costs).collect()] == [("cost_reference", "c", None, "f")]
     assert [tuple(r) for r in checks.fill_integrity(orders.where("portfolio_id = 2"), fills).collect()] == [("fill_reference", "f", None, "a")]
+
+
+def test_margin_beyond_the_equity_is_a_free_equity_below_zero(spark, differing):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").crossJoin(spark.range(20)).withColumn("l_suppkey", F.col("l_suppkey") + 10 * F.col("id")).withColumn("l_quantity", F.col("l_quantity") * 100)
+    assert differing("futures_portfolio", lineitem=lines.drop("id")) == ([], [], 0)
+    parts = spark.createDataFrame([(DAY.date(), 5, 1, 200)], "session date, pnl_units bigint, fee_units bigint, margin_units bigint")
+    assert [r.free_equity_units for r in simulation.combine_products(parts, 100, strict=False).collect()] == [-95]

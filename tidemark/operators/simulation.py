@@ -261,14 +261,18 @@ def futures_contributions(simulated: DataFrame, categories: DataFrame, opening:
     return both.select("product", "category", "session", "pnl_units", "fee_units", "margin_units", "equity_units")
 
 
-def combine_products(contributions: DataFrame, opening: int) -> DataFrame:
-    """A portfolio by session: one opening equity and what all products added to it; margin beyond the equity is an error."""
+def combine_products(contributions: DataFrame, opening: int, strict: bool = True) -> DataFrame:
+    """A portfolio by session: one opening equity and what all products added to it.
+
+    Margin beyond the equity is an error if ``strict``, else a free equity below zero.
+    """
     from tidemark.operators.pit import guard
 
     day = contributions.groupBy("session").agg(F.sum("pnl_units").alias("pnl_units"), F.sum("fee_units").alias("fee_units"), F.sum("margin_units").alias("margin_units"))
     total = F.sum("pnl_units").over(Window.orderBy("session").rowsBetween(Window.unboundedPreceding, 0))  # one row a session
     day = day.withColumn("equity_units", F.lit(opening) + total)
-    day = day.where(guard(F.col("margin_units") <= F.col("equity_units"), "the products' margin passes the portfolio's equity"))
+    if strict:
+        day = day.where(guard(F.col("margin_units") <= F.col("equity_units"), "the products' margin passes the portfolio's equity"))
     return day.select("session", "pnl_units", "fee_units", "margin_units", "equity_units", (F.col("equity_units") - F.col("margin_units")).alias("free_equity_units"))
 
 
