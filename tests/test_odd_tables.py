@@ -7,6 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import ratio
 from tidemark.operators import checks, simulation
 from tests.test_oracle import QUERIES, SF, SQL, rows
 
@@ -14,6 +15,11 @@ EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 DAY = datetime(2024, 1, 2)
 
 
+def plain(found):
+    """Rows with NaN as text, which is not null."""
+    return [tuple("nan" if v != v else v for v in r) for r in found]
+
+
 @pytest.fixture
 def differing(spark, tmp_path):
     """Rows of a query that the SQL lacks, and the other way round, with some tables of its own."""
@@ -29,7 +35,7 @@ def differing(spark, tmp_path):
         df = QUERIES[name](spark, str(folder))
         found = duck.execute(SQL[name])
         columns = [c[0] for c in found.description]
-        got, want = rows(df.columns, df.collect()), rows(columns, found.fetchall())
+        got, want = rows(df.columns, plain(df.collect())), rows(columns, plain(found.fetchall()))
         return [r for r in got if r not in want], [r for r in want if r not in got], len(got) - len(want)
 
     return run
@@ -67,3 +73,25 @@ def test_margin_beyond_the_equity_is_a_free_equity_below_zero(spark, differing):
     assert differing("futures_portfolio", lineitem=lines.drop("id")) == ([], [], 0)
     parts = spark.createDataFrame([(DAY.date(), 5, 1, 200)], "session date, pnl_units bigint, fee_units bigint, margin_units bigint")
     assert [r.free_equity_units for r in simulation.combine_products(parts, 100, strict=False).collect()] == [-95]
+
+
+def zeros(days, users=6):
+    """One event an hour on some days; users' values are zero at times of their own."""
+    return [(datetime(2024, 1, n, h, 5 * (u % 3), u), u, 0 if (n * 24 + h + u) % (u + 2) == 0 else n + h + u) for n in days for h in range(24) for u in range(users)]
+
+
+ZEROS = {
+    "example_cross_section": lambda: [(datetime(2024, 1, n, 12), u, (u * n) % 3) for n in (8, 9, 10) for u in range(1, 9)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ZEROS))
+def test_a_return_from_zero_is_that_of_the_sql(spark, differing, name):
+    assert differing(name, events=events(spark, ZEROS[name]())) == ([], [], 0)
+
+
+def test_ratio_is_that_of_ieee_754(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = spark.createDataFrame([(1.0, 0.0), (-1.0, 0.0), (1.0, -0.0), (0.0, 0.0), (nan, 0.0), (inf, 0.0), (6.0, 4.0), (None, 0.0), (1.0, None)], "a double, b double")
+    got = [str(r[0]) for r in rows.select(ratio(F.col("a"), F.col("b"))).collect()]
+    assert got == ["inf", "-inf", "-inf", "nan", "nan", "inf", "1.5", "None", "None"]

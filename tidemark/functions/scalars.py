@@ -23,6 +23,15 @@ def floor_ratio(numerator: Column, denominator: Column | int) -> Column:
     return F.call_function("div", numerator - F.pmod(numerator, bottom), bottom)
 
 
+def ratio(numerator: Column, denominator: Column) -> Column:
+    """numerator / denominator of doubles as IEEE 754 has it: over zero it is an infinity, or NaN from zero and NaN; null only from null."""
+    top, bottom = numerator.cast("double"), denominator.cast("double")
+    # Spark has one zero: -0.0 compares equal to 0.0, and its sign shows in the text alone
+    sign = F.signum(top) * F.when(bottom.cast("string") == "-0.0", F.lit(-1.0)).otherwise(F.lit(1.0))
+    over_zero = F.when(F.isnan(top) | (top == 0), F.lit(math.nan)).otherwise(sign * F.lit(math.inf))
+    return F.when(top.isNull() | bottom.isNull(), F.lit(None).cast("double")).when(bottom == 0, over_zero).otherwise(F.try_divide(top, bottom))
+
+
 def half_up(value: Column, digits: int) -> Column:
     """Round half away from zero, in decimal arithmetic."""
     return F.round(value.cast("decimal(38,12)"), digits)
