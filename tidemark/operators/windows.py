@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
+from tidemark.functions.scalars import ratio
 
 
 def lag(df: DataFrame, entity: Sequence[str], order: Sequence[str], column: str, periods: int, name: str) -> DataFrame:
@@ -66,7 +67,7 @@ def forward_label(df: DataFrame, entity: Sequence[str], order: Sequence[str], pr
     if horizon < 1:
         raise ContractError("a label looks ahead at least one row")
     w = Window.partitionBy(*entity).orderBy(*order)
-    return df.withColumn(name, F.try_divide(F.lead(price, horizon).over(w), F.col(price)) - 1).withColumn(f"{name}_available", F.lead(available, horizon).over(w))
+    return df.withColumn(name, ratio(F.lead(price, horizon).over(w), F.col(price)) - 1).withColumn(f"{name}_available", F.lead(available, horizon).over(w))
 
 
 def session_index(calendar: DataFrame, date: str) -> DataFrame:
