@@ -88,6 +88,7 @@ ZEROS = {
     "label_forward": lambda: zeros((2,)),
     "labels_intraday": lambda: [(DAY + timedelta(minutes=15 * k, seconds=u), u, (k * u) % 4) for k in range(60) for u in range(1, 4)],
     "labels_next_open": lambda: [(DAY + timedelta(minutes=15 * k, seconds=u), u, (k * u + 3) % 4) for k in range(60) for u in range(1, 4)],
+    "signals_intraday": lambda: zeros((2, 3)),
 }
 
 
