@@ -102,3 +102,10 @@ def test_ratio_is_that_of_ieee_754(spark):
     rows = spark.createDataFrame([(1.0, 0.0), (-1.0, 0.0), (1.0, -0.0), (0.0, 0.0), (nan, 0.0), (inf, 0.0), (6.0, 4.0), (None, 0.0), (1.0, None)], "a double, b double")
     got = [str(r[0]) for r in rows.select(ratio(F.col("a"), F.col("b"))).collect()]
     assert got == ["inf", "-inf", "-inf", "nan", "nan", "inf", "1.5", "None", "None"]
+
+
+def test_the_newest_fact_is_that_of_value_and_id_together(spark, differing):
+    """More than 10 000 ids outweigh a hundredth of value; at 10 000 the greater value stands."""
+    ids = [(1, 0.05, "view"), (9_000, 0.04, "view"), (10_001, 0.04, "view"), (10_001 + 1, 0.0, "purchase"), (10_500, 0.04, "view"), (10_501, 0.0, "purchase"), (40_000, 0.02, "view"), (40_001, 0.0, "purchase")]
+    rows_ = [(n, DAY + timedelta(seconds=n), 1, kind, value, "{}") for n, value, kind in ids]
+    assert differing("asof_versions", events=spark.createDataFrame(rows_, EVENTS).coalesce(1)) == ([], [], 0)

@@ -79,17 +79,18 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     return (out.where("__hit") if how == "inner" else out).drop("__hit")
 
 
-def asof_versions(consumers: DataFrame, facts: DataFrame, on: Sequence[str], consumer: Sequence[str], clock: str, available: Sequence[str], order: Sequence[str]) -> DataFrame:
+def asof_versions(consumers: DataFrame, facts: DataFrame, on: Sequence[str], consumer: Sequence[str], clock: str, available: Sequence[str], order: Sequence[str], greatest: Sequence[str] = ()) -> DataFrame:
     """For each consumer the newest version, by ``order``, of all that were available at its clock.
 
     ``consumer`` is the consumers' key. Versions are not ordered by availability, so this is an
-    equi join on ``on`` with an aggregate that keeps one version for each consumer.
+    equi join on ``on`` with an aggregate that keeps one version for each consumer. Columns named as
+    ``greatest`` are the greatest of all available versions, not the newest one's.
     """
     facts = facts.select(*[F.col(c).alias(f"f_{c}") for c in facts.columns])
     seen = reduce(and_, [F.col(f"f_{a}") <= F.col(clock) for a in available])
     both = consumers.join(facts, reduce(and_, [F.col(c) == F.col(f"f_{c}") for c in on]) & seen)
     best = F.max_by(F.struct(*[c for c in both.columns if c.startswith("f_")]), F.struct(*[F.col(f"f_{c}") for c in order]))
-    return both.groupBy(*consumer, clock).agg(best.alias("__best"), F.count(F.lit(1)).alias("versions")).select(*consumer, clock, "versions", *[F.col(f"__best.{c}").alias(c[2:]) for c in facts.columns if c[2:] not in (*consumer, clock)])
+    return both.groupBy(*consumer, clock).agg(best.alias("__best"), F.count(F.lit(1)).alias("versions"), *[F.max(f"f_{c}").alias(f"__top_{c}") for c in greatest]).select(*consumer, clock, "versions", *[F.col(f"__top_{c[2:]}" if c[2:] in greatest else f"__best.{c}").alias(c[2:]) for c in facts.columns if c[2:] not in (*consumer, clock)])
 
 
 def latest_revision(facts: DataFrame, economic: Sequence[str], available: str, revision: str, as_of: Column) -> DataFrame:
