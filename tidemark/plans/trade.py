@@ -431,9 +431,13 @@ _FILLS = "SELECT id, account, day, quantity, quantity * open_units AS n, GREATES
 
 def _simulated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The result tables of purchases that all fill, with faults put into costs, cash and positions."""
-    rows = orders(spark, d).select("account", F.col("id").alias("seq"), F.col("id").cast("string").alias("order_id"), F.col("day").cast("date").cast("string").alias("day"), F.col("code").cast("string").alias("code"), F.lit("buy").alias("side"), "quantity", F.lit(False).alias("paused"), "open_units", (F.col("open_units") + 1).alias("high_limit_units"), F.lit(0).cast("bigint").alias("low_limit_units"), F.col("quantity").alias("capacity"))
+    rows = orders(spark, d).select("account", F.col("id").alias("seq"), F.col("day").cast("date").alias("day"), "code", "quantity", "open_units")
+    derived = {
+        "order_id": F.col("seq").cast("string"), "day": F.col("day").cast("string"), "code": F.col("code").cast("string"), "side": F.lit("buy"), "paused": F.lit(False),
+        "high_limit_units": F.col("open_units") + 1, "low_limit_units": F.lit(0).cast("bigint"), "capacity": F.col("quantity"),
+    }
     policy = trading.CashPolicy(lot=20, slippage_units=0)
-    tables = simulation.project_cash(kept(ledger.simulate_cash(rows, policy, 10_000_000_000_000, ["day", "seq"], dated=True), "account"), 10_000_000_000_000)
+    tables = simulation.project_cash(kept(ledger.simulate_cash(rows, policy, 10_000_000_000_000, ["day", "seq"], True, derived), "account"), 10_000_000_000_000)
     costs, cash, positions = tables["costs"], tables["cash"], tables["positions"]
     return tables | {
         "costs": costs.withColumn("amount_units", F.col("amount_units") + F.when(F.split("cost_id", ":")[0].cast("bigint") % 97 == 0, 1).otherwise(0)),
