@@ -97,6 +97,13 @@ def test_a_return_from_zero_is_that_of_the_sql(spark, differing, name):
     assert differing(name, events=events(spark, ZEROS[name]())) == ([], [], 0)
 
 
+@pytest.mark.parametrize("name", ["labels_intraday", "labels_next_open"])
+def test_a_return_between_two_roundings_is_that_of_the_sql(spark, differing, name):
+    """57.63 / 6.40 - 1 is 8.0046875, which times 10^6 is a double below its half."""
+    ticks = [(DAY + timedelta(minutes=15 * k, seconds=u), u, v) for u, last in enumerate((57.63, 3.17, 9.63, 12.81), 1) for k, v in enumerate((5, 6.40, 5, last))]
+    assert differing(name, events=events(spark, ticks)) == ([], [], 0)
+
+
 def test_ratio_is_that_of_ieee_754(spark):
     inf, nan = float("inf"), float("nan")
     rows = spark.createDataFrame([(1.0, 0.0), (-1.0, 0.0), (1.0, -0.0), (0.0, 0.0), (nan, 0.0), (inf, 0.0), (6.0, 4.0), (None, 0.0), (1.0, None)], "a double, b double")

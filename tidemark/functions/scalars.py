@@ -37,6 +37,13 @@ def half_up(value: Column, digits: int) -> Column:
     return F.round(value.cast("decimal(38,12)"), digits)
 
 
+def round_binary(value: Column, digits: int) -> Column:
+    """A double rounded half away from zero as DuckDB's ROUND does: by the double value * 10^digits, not by its decimal text."""
+    power = F.lit(10.0**digits)
+    rounded = F.round(value * power) / power
+    return F.when(finite(rounded), rounded).otherwise(value)
+
+
 def finite(value: Column) -> Column:
     """True for numbers that are neither null, NaN nor infinite."""
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(math.inf))
