@@ -1,5 +1,6 @@
 """Queries against their DuckDB text on small tables with odd rows: full days, zero prices, shared codes."""
 
+import cProfile
 from datetime import datetime, timedelta
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio
-from tidemark.operators import checks, simulation
+from tidemark.operators import checks, ledger, simulation, trading
 from tests.test_oracle import QUERIES, SF, SQL, rows
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -58,6 +59,21 @@ def test_a_result_is_simulated_once(spark, name):
     assert plan.count("MapInArrow") <= 1
 
 
+def test_a_simulated_order_takes_few_calls(monkeypatch):
+    """The fold of a result's orders is most of its time: at most 40 calls for each."""
+    found = {}
+    monkeypatch.setattr(ledger, "fold", lambda *a, **k: found.update(start=a[3]))
+    ledger.simulate_cash(None, trading.CashPolicy(lot=20, slippage_units=0), 10_000_000_000_000, ["day", "seq"], True, {})
+    step, _ = found["start"](1)
+    rows_ = [{"seq": k, "order_id": str(k), "day": str(k // 4), "code": str(k % 7), "side": "buy", "quantity": 20, "paused": False, "open_units": 900, "high_limit_units": 901, "low_limit_units": 0, "capacity": 20} for k in range(400)]
+    watch = cProfile.Profile()
+    watch.enable()
+    filled = [step(r)[0][6] for r in rows_]
+    watch.disable()
+    assert filled == [20] * 400
+    assert sum(e.callcount for e in watch.getstats()) < 40 * 400
+
+
 def test_ids_belong_to_a_portfolio(spark):
     orders = spark.createDataFrame([(p, "o", i, 10, 10, "filled") for p, i in ((1, "a"), (2, "b"))], "portfolio_id bigint, order_id string, instrument_id string, requested_quantity bigint, filled_quantity bigint, status string")
     fills = spark.createDataFrame([(p, "f", "o", i, 10, 7, 1, 70, p) for p, i in ((1, "a"), (2, "b"))], "portfolio_id bigint, fill_id string, order_id string, instrument_id string, quantity bigint, execution_price_units bigint, contract_multiplier int, notional_units bigint, fee_units bigint")

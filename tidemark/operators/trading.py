@@ -35,8 +35,10 @@ class CashPolicy:
 
     # the same rules on Python integers, for folds
     def fee(self, side: str, notional: int) -> int:
-        up = lambda ppm: -(-notional * ppm // PPM)
-        return max(self.minimum_commission, up(self.commission_ppm)) + up(self.transfer_ppm) + (up(self.sell_tax_ppm) if side == "sell" else 0)
+        short = -notional
+        commission = -(short * self.commission_ppm // PPM)
+        out = (commission if commission > self.minimum_commission else self.minimum_commission) - short * self.transfer_ppm // PPM
+        return out - short * self.sell_tax_ppm // PPM if side == "sell" else out
 
     def affordable(self, cash: int, wanted: int, price: int) -> int:
         """The most lots, in shares, that cash pays for with fees: the estimate without fees, lowered until it fits."""
